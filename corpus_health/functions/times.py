@@ -11,6 +11,11 @@ from pyspark.sql import functions as F
 KNOWN_TIME = r"^\d{4}-\d{2}-\d{2}( \d{2}:\d{2})?$"
 
 
+def to_minute(ts: Column) -> Column:
+    """Without seconds; by way of text, as date_trunc would go through the session zone."""
+    return F.substring(ts.cast("timestamp_ntz").cast("string"), 1, 16).try_cast("timestamp_ntz")
+
+
 def timestamp(value: datetime) -> Column:
     """A literal without zone, whatever the session zone is."""
     return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")

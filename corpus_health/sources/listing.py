@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpus_health.functions import measures, text
+from corpus_health.functions import measures, text, times
 
 
 def normalize_listing(items: DataFrame) -> DataFrame:
@@ -17,7 +17,6 @@ def normalize_listing(items: DataFrame) -> DataFrame:
     ext = F.lower(F.coalesce("file_type", F.lit("")))
     size = F.coalesce(F.col("file_size").try_cast("bigint"), F.lit(0).cast("bigint"))
     rel_path = text.relative_path(F.col("file_ref"), F.col("site_url"))
-    minute = lambda name: F.date_trunc("minute", F.col(name)).cast("timestamp_ntz").alias(name)
     return files.select(
         "site",
         "site_url",
@@ -30,8 +29,8 @@ def normalize_listing(items: DataFrame) -> DataFrame:
         size.alias("size_bytes"),
         measures.kib(size).alias("size_kb"),
         measures.mib(size).alias("size_mb"),
-        minute("created_ts"),
-        minute("modified_ts"),
+        times.to_minute(F.col("created_ts")).alias("created_ts"),
+        times.to_minute(F.col("modified_ts")).alias("modified_ts"),
         F.col("author.lookup_value").alias("created_by"),
         F.col("editor.lookup_value").alias("modified_by"),
         "version",

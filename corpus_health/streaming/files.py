@@ -21,7 +21,7 @@ KEYS = ["site_url", "path"]
 def stream_files(
     spark: SparkSession,
     folder: str,
-    schema: T.StructType = FILES,
+    schema: T.StructType | str = FILES,
     max_files_per_trigger: int = 1000,
 ) -> DataFrame:
     """Survey batches as they land, each exactly once."""
