@@ -48,9 +48,12 @@ class Estate:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return fixtures.load(self.spark, self.sf_dir, name)
+        if name not in self._tables:
+            self._tables[name] = fixtures.load(self.spark, self.sf_dir, name)
+        return self._tables[name]
 
     @cached_property
     def files(self) -> DataFrame:
@@ -1178,7 +1181,7 @@ def s19_site_report(e):
         n("years").alias("n_years"),
         n("recent_post").alias("n_post"),
         n("large_files").alias("n_large"),
-        "n_archives",
+        F.col("oversize_archives").alias("n_archives"),
         F.try_element_at("large_files", F.lit(1))["size_bytes"].alias("largest"),
         F.try_element_at("top_users", F.lit(1))["modified_by"].alias("first_user"),
         "extra_bytes",
@@ -1426,7 +1429,7 @@ def _landed_batches(e: Estate) -> str:
 
 
 def _stream(e: Estate) -> DataFrame:
-    return streams.stream_files(e.spark, _landed_batches(e), max_files_per_trigger=4)
+    return streams.stream_files(e.spark, _landed_batches(e), max_files_per_trigger=8)
 
 
 def _finish(stream_query) -> None:

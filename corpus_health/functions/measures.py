@@ -13,17 +13,23 @@ def gb(bytes_: Column | str) -> Column:
     return _col(bytes_).cast("double") / F.lit(GB)
 
 
+def half_even(value: Column, digits: int) -> Column:
+    """A double rounded half to even, without the decimal arithmetic of bround."""
+    scale = F.lit(10.0**digits)
+    return F.rint(value * scale) / scale
+
+
 def gb2(bytes_: Column | str) -> Column:
-    """Gigabytes with two decimals, half to even."""
-    return F.bround(gb(bytes_), 2)
+    """Gigabytes with two decimals."""
+    return half_even(gb(bytes_), 2)
 
 
 def kib(bytes_: Column | str) -> Column:
-    return F.bround(_col(bytes_) / F.lit(1024.0), 1)
+    return half_even(_col(bytes_) / F.lit(1024.0), 1)
 
 
 def mib(bytes_: Column | str) -> Column:
-    return F.bround(_col(bytes_) / F.lit(1048576.0), 2)
+    return half_even(_col(bytes_) / F.lit(1048576.0), 2)
 
 
 def pct(part: Column | str, whole: Column | str) -> Column:

@@ -43,14 +43,16 @@ def file_ext(file_name: Column) -> Column:
 
 def file_stem(file_name: Column) -> Column:
     """File name without its last extension, lower case."""
-    return F.lower(F.regexp_replace(file_name, r"\.[^.]*$", ""))
+    after_dot = F.substring_index(file_name, ".", -1)
+    stem = F.substring(file_name, F.lit(1), F.length(file_name) - F.length(after_dot) - 1)
+    return F.lower(F.when(F.instr(file_name, ".") > 0, stem).otherwise(file_name))
 
 
 def category(ext: Column) -> Column:
-    """First category whose list holds the extension."""
+    """Category of a lower-case extension."""
     out = None
     for name, exts in c.CATEGORIES.items():
-        hit = F.lower(ext).isin(exts)
+        hit = ext.isin(exts)
         out = F.when(hit, F.lit(name)) if out is None else out.when(hit, F.lit(name))
     return out.otherwise(F.lit(c.OTHER_CATEGORY))
 
@@ -65,8 +67,10 @@ def special_format(ext: Column) -> Column:
 
 def site_path(site_url: Column) -> Column:
     """Server-relative path of a site: no scheme, host or trailing slash."""
-    no_host = F.regexp_replace(site_url, r"^[A-Za-z]+://[^/]*", "")
-    return F.regexp_replace(no_host, "/+$", "")
+    scheme = F.locate("://", site_url)
+    slash = F.call_function("locate", F.lit("/"), site_url, scheme + 3)
+    path = F.when(slash > 0, F.substring(site_url, slash, F.length(site_url))).otherwise(F.lit(""))
+    return F.rtrim(F.when(scheme > 0, path).otherwise(site_url), F.lit("/"))
 
 
 def relative_path(path: Column, site_url: Column) -> Column:
@@ -89,12 +93,13 @@ def folder_of(rel_path: Column, file_name: Column) -> Column:
 
 def depth_of(rel_path: Column) -> Column:
     """Number of folders above the file, 0 when the path is unknown."""
-    return F.coalesce(F.size(F.split(rel_path, "/")) - 1, F.lit(0))
+    slashes = F.length(rel_path) - F.length(F.replace(rel_path, F.lit("/")))
+    return F.coalesce(slashes, F.lit(0))
 
 
 def top_folder(folder: Column) -> Column:
     """First folder below the default library; files above it get a common name."""
-    parts = F.filter(F.split(folder, "/"), lambda p: ~p.isin(c.ROOT_FOLDERS))
+    parts = F.array_except(F.split(folder, "/"), strings(c.ROOT_FOLDERS))
     return F.coalesce(F.try_element_at(parts, F.lit(1)), F.lit(c.NO_FOLDER))
 
 

@@ -75,7 +75,8 @@ def clean(files_raw: DataFrame, params: Params) -> DataFrame:
 
 
 def categorize(files: DataFrame) -> DataFrame:
-    return files.withColumn("category", text.category(F.col("ext")))
+    lower = files.withColumn("_ext", F.lower("ext"))
+    return lower.withColumn("category", text.category(F.col("_ext"))).drop("_ext")
 
 
 def special_formats(files: DataFrame) -> DataFrame:
@@ -124,8 +125,8 @@ def enrich(files: DataFrame, params: Params) -> DataFrame:
     files = drop_system_files(drop_system_libraries(files))
     if "ext" not in files.columns:
         files = files.withColumn("ext", text.file_ext(F.col("file_name")))
-    files = size_units(categorize(files))
     rel_path = text.relative_path(F.col("path"), F.col("site_url"))
-    files = files.withColumn("depth", text.depth_of(rel_path))
+    files = size_units(categorize(files.withColumn("_rel", rel_path)))
+    files = files.withColumn("depth", text.depth_of(F.col("_rel"))).drop("_rel")
     files = flag_post(files, params.migrated_at)
     return flag_inactive(files, params.migrated_at, params.inactive_years)

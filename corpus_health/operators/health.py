@@ -120,7 +120,7 @@ def dup_volume(
 
 def folder_similarity(a: Column, b: Column) -> Column:
     """Shared folder names over all folder names; 1 for two files without folder."""
-    a, b = (F.filter(text.folder_parts(f), lambda p: p != "") for f in (a, b))
+    a, b = (F.array_remove(text.folder_parts(f), "") for f in (a, b))
     names = F.size(F.array_union(a, b))
     return F.when(names == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / names)
 
@@ -133,28 +133,42 @@ def legacy_volume(
     Old documents without a converted file of the same name beside them, zips
     over the migration limit, and any listed binary format.
     """
+    readable_too = F.col("ext").isin("doc", "docx", "xls", "xlsx")
+    some = _of_sites(files, keys).where(readable_too | _unreadable(binary_exts))
+    cells = _folder_cells(some, binary_exts, keys)
+    return cells.groupBy(*keys).agg(F.sum(_legacy_bytes()).alias("legacy_bytes"))
+
+
+def _folder_cells(
+    files: DataFrame, binary_exts: Iterable[str], keys: Sequence[str], **more: Column
+) -> DataFrame:
+    """Sums per folder; documents in a cell with those of the same name.
+
+    A converted file sits in the cell of its original, so no join looks for it.
+    All other files share one cell per folder.
+    """
     ext, size = F.col("ext"), F.col("size_bytes")
     unreadable = _unreadable(binary_exts)
-    # the converted file sits in the same group, so no join looks for it
-    beside = (
-        _of_sites(files, keys)
-        .where(ext.isin("doc", "docx", "xls", "xlsx") | unreadable)
-        .groupBy(*keys, "folder", text.file_stem(F.col("file_name")).alias("stem"))
-        .agg(
-            F.sum(F.when((ext == "doc") & ~unreadable, size)).alias("doc"),
-            F.sum(F.when((ext == "xls") & ~unreadable, size)).alias("xls"),
-            F.coalesce(F.bool_or(ext == "docx"), F.lit(False)).alias("has_docx"),
-            F.coalesce(F.bool_or(ext == "xlsx"), F.lit(False)).alias("has_xlsx"),
-            F.sum(F.when(unreadable, size)).alias("unreadable"),
-        )
+    document = ext.isin("doc", "docx", "xls", "xlsx")
+    stem = F.when(document, text.file_stem(F.col("file_name"))).alias("stem")
+    return files.groupBy(*keys, "folder", stem).agg(
+        F.sum(F.when((ext == "doc") & ~unreadable, size)).alias("doc"),
+        F.sum(F.when((ext == "xls") & ~unreadable, size)).alias("xls"),
+        F.coalesce(F.bool_or(ext == "docx"), F.lit(False)).alias("has_docx"),
+        F.coalesce(F.bool_or(ext == "xlsx"), F.lit(False)).alias("has_xlsx"),
+        F.sum(F.when(unreadable, size)).alias("unreadable"),
+        *[value.alias(name) for name, value in more.items()],
     )
+
+
+def _legacy_bytes() -> Column:
+    """Legacy bytes of a folder cell."""
     zero = F.lit(0).cast("bigint")
-    volume = (
+    return (
         F.coalesce(F.when(~F.col("has_docx"), F.col("doc")), zero)
         + F.coalesce(F.when(~F.col("has_xlsx"), F.col("xls")), zero)
         + F.coalesce("unreadable", zero)
     )
-    return beside.groupBy(*keys).agg(F.sum(volume).alias("legacy_bytes"))
 
 
 def junk_volume(
@@ -239,29 +253,36 @@ def file_scores(
     `overlap="sum"` adds the three noise volumes, floor 0; `"union"` counts each
     file once. Without volume there is nothing to score: NULL.
     """
+    if overlap not in ("sum", "union"):
+        raise ValueError("overlap must be 'sum' or 'union'")
     keys = list(keys)
+    size, zero = F.col("size_bytes"), F.lit(0).cast("bigint")
     active = times.within(
         F.col("modified_ts"),
         times.days_before(params.as_of, params.activity_days),
         times.timestamp(params.as_of),
     )
+    # total, active, legacy and junk bytes from one pass, by way of folder cells
+    folders = _folder_cells(
+        _of_sites(files, keys),
+        params.binary_exts,
+        keys,
+        bytes=F.sum(size),
+        active_bytes=F.sum(F.when(active, size)),
+    )
     junk = text.in_folder_named(F.col("folder"), params.junk_folders)
-    size = F.col("size_bytes")
-    volumes = _of_sites(files, keys).groupBy(*keys).agg(
-        F.sum(size).alias("bytes"),
-        F.sum(F.when(active, size)).alias("active_bytes"),
-        F.sum(F.when(junk, size)).alias("junk_bytes"),
+    volumes = folders.groupBy(*keys).agg(
+        F.sum("bytes").alias("bytes"),
+        F.sum("active_bytes").alias("active_bytes"),
+        F.sum(_legacy_bytes()).alias("legacy_bytes"),
+        F.sum(F.when(junk, F.col("bytes"))).alias("junk_bytes"),
     )
     if overlap == "union":
+        parts = ["noise_bytes"]
         noise = noise_volume(files, params, keys)
-    elif overlap == "sum":
-        noise = dup_volume(files, similar, keys).join(
-            legacy_volume(files, params.binary_exts, keys), keys, "full"
-        )
     else:
-        raise ValueError("overlap must be 'sum' or 'union'")
-    zero = F.lit(0).cast("bigint")
-    parts = ["noise_bytes"] if overlap == "union" else ["dup_bytes", "legacy_bytes", "junk_bytes"]
+        parts = ["dup_bytes", "legacy_bytes", "junk_bytes"]
+        noise = dup_volume(files, similar, keys)
     joined = volumes.join(noise, keys, "left").withColumns(
         {p: F.coalesce(p, zero) for p in [*parts, "active_bytes"]}
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpus_health import constants as c
 from corpus_health.functions import text
+from corpus_health.functions.measures import half_even
 from corpus_health.params import Params
 
 
@@ -51,8 +52,8 @@ def site_columns(sites: DataFrame) -> DataFrame:
     lock = F.col("lock_state")
     return sites.withColumns(
         {
-            "storage_gb": F.bround(mb / F.lit(1024.0), 2),
-            "storage_mb": F.bround(mb, 0),
+            "storage_gb": half_even(mb / F.lit(1024.0), 2),
+            "storage_mb": half_even(mb, 0),
             "owner": F.coalesce(F.nullif(F.col("owner"), F.lit("")), F.lit(c.NO_OWNER)),
             "hub_id": _given_id("hub_id"),
             "lock_state": F.when(text.same_text(lock, c.UNLOCKED), F.lit(c.NOT_LOCKED)).otherwise(
@@ -141,7 +142,7 @@ def backlog_totals(sites: DataFrame) -> DataFrame:
     storage = F.sum(F.col("storage_gb").cast("decimal(18,2)")).cast("double")
     return sites.agg(
         F.count("*").alias("n_sites"),
-        F.coalesce(F.bround(storage, 1), F.lit(0.0)).alias("storage_gb"),
+        F.coalesce(half_even(storage, 1), F.lit(0.0)).alias("storage_gb"),
     )
 
 

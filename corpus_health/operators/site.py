@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from corpus_health import constants as c
 from corpus_health.functions import text
-from corpus_health.functions.measures import gb, gb2, pct, width
+from corpus_health.functions.measures import gb, gb2, half_even, pct, width
 from corpus_health.plans.cells import SITE, by_site, cells, known_in, of_dim
 from corpus_health.plans.skew import top_k
 
@@ -33,7 +33,7 @@ def profile_of(parts: DataFrame, dim: str) -> DataFrame:
         F.count_if(known_in("library")).alias("libraries"),
         F.count_if(known_in("modified_by")).alias("users"),
         F.max("depth_max").alias("depth_max"),
-        F.bround(once("depth_sum") / once("n"), 1).alias("depth_mean"),
+        half_even(once("depth_sum") / once("n"), 1).alias("depth_mean"),
         F.min("first").alias("first_modified"),
         F.max("last").alias("last_modified"),
         once("post").alias("post"),
@@ -250,10 +250,17 @@ def decisions(files: DataFrame, dups: DataFrame | None = None) -> DataFrame:
     return decisions_of(format_counts(files), totals)
 
 
+DECISION_COUNTS = ["n_archives", "n_heic", "n_xlsm", "n_xlsb", "n_video", "video_bytes"]
+
+
 def decisions_of(counts: DataFrame, dup_totals: DataFrame) -> DataFrame:
-    facts = counts.join(
-        dup_totals.select(SITE, F.col("extra_files").alias("n_dups"), "extra_gb"), SITE, "left"
-    )
+    facts = counts.join(dup_totals, SITE, "left")
+    listed = decision_list(F.col("extra_files"), F.col("extra_gb"))
+    return facts.select(SITE, F.explode(listed).alias("d")).select(SITE, "d.*")
+
+
+def decision_list(n_dups: Column, dup_gb: Column) -> Column:
+    """The decisions that hold, in order and numbered; beside DECISION_COUNTS."""
     macros = F.when(F.col("n_xlsm") > 0, F.lit("xlsm")).otherwise(F.lit("xlsb"))
     n_macros = F.when(F.col("n_xlsm") > 0, F.col("n_xlsm")).otherwise(F.col("n_xlsb"))
     found = F.array_compact(
@@ -265,18 +272,21 @@ def decisions_of(counts: DataFrame, dup_totals: DataFrame) -> DataFrame:
                 F.col("n_video") > 0, "orange", "video", "n_video", gb("video_bytes"), c.TAG_VIDEO
             ),
             _decision(
-                F.col("extra_gb") > c.DUPLICATE_DECISION_GB,
-                "gold", "duplicates", "n_dups", F.col("extra_gb"), c.TAG_DUPLICATES,
+                dup_gb > c.DUPLICATE_DECISION_GB,
+                "gold", "duplicates", n_dups, dup_gb, c.TAG_DUPLICATES,
             ),
         )
     )
     none = _decision(F.lit(True), "green", "none", F.lit(0), None, c.TAG_READY)
     listed = F.when(F.size(found) > 0, found).otherwise(F.array(none))
-    return facts.select(SITE, F.posexplode(listed).alias("pos", "d")).select(
-        SITE, (F.col("pos") + 1).alias("num"), "d.*"
+    return F.transform(
+        listed, lambda d, i: F.struct((i + 1).alias("num"), *[d[f].alias(f) for f in DECISION_FIELDS])
     )
 
 
+DECISION_FIELDS = ["colour", "subject", "n", "gb", "tag"]
+
+
 def _decision(holds, colour: str, subject, n, gigabytes, tag: str) -> Column:
     subject = F.lit(subject) if isinstance(subject, str) else subject
     n = F.col(n) if isinstance(n, str) else n

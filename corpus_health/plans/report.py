@@ -1,15 +1,29 @@
-"""One nested row per site with every section of its report."""
+"""One nested row per site with every section of its report.
+
+The breakdowns by category, extension, special format, year, user and folder
+come from one scan and one shuffle of the files. Each map task and each reducer
+trims them to what a report shows, so a site never arrives whole in one task,
+and the arrays of a report stay short however large its site is.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpus_health import constants as c
+from corpus_health.functions import text
+from corpus_health.functions.measures import gb, gb2, half_even, pct, width
 from corpus_health.operators import site
 from corpus_health.params import Params
+from corpus_health.plans import cells
 from corpus_health.plans.cells import SITE
 
-KEEP = {"users": 20, "folders": 20, "extensions": 15, "duplicates": 15, "large": 20, "post": 50}
+KEEP = {"modified_by": 20, "top_folder": 20, "ext": 15}
+KEEP_DUPLICATES, KEEP_LARGE, KEEP_POST = 15, 20, 50
+
+WHOLE = ["category", "special", "year"]  # few values: shown without limit
+DIMS = [*WHOLE, *KEEP]
 
 
 def site_report(
@@ -17,40 +31,165 @@ def site_report(
 ) -> DataFrame:
     """Profile, status and all limited sections of every site.
 
-    Only tables already limited per site are collected into arrays, so a row
-    stays small however large its site is; the unlimited lists (oversize
-    archives, checked-out files) are counted here and written as tables.
-
-    `files` is read once per section, each time only the columns the section
-    needs, so land the clean frame as Parquet first. Land `site.duplicates` too
-    and pass it when the report is written more than once.
+    Unlimited lists (oversize archives, checked-out files) are counted here and
+    written as tables of their own. Land `site.duplicates` and pass it when it
+    is needed again elsewhere.
     """
+    files = files.where(F.col(SITE).isNotNull())
     dups = site.duplicates(files) if duplicates is None else duplicates
     dup_totals = site.duplicate_totals(dups)
-    counts = site.format_counts(files)
-    head = site.site_status(site.site_profile(files))
-    parts = {
-        "categories": _rows(site.site_categories(files), "rank"),
-        "extensions": _rows(site.site_extensions(files, KEEP["extensions"]), "rank"),
-        "special_formats": _rows(site.site_special_formats(files), "ext"),
-        "top_duplicates": _rows(site.top_duplicates(dups, KEEP["duplicates"]), "rank"),
-        "years": _rows(site.activity_by_year(files, params.migrated_at), "year"),
-        "top_users": _rows(site.site_users(files, KEEP["users"]), "rank"),
-        "folders": _rows(site.site_folders(files, KEEP["folders"]), "rank"),
-        "recent_post": _rows(site.site_recent_post(files, KEEP["post"]), "rank"),
-        "large_files": _rows(site.large_files(files, params.large_mb, KEEP["large"]), "rank"),
-        "decisions": _rows(site.decisions_of(counts, dup_totals), "num"),
-    }
-    report = head.join(
+    people = cells.cells(files, [SITE], ["library", "modified_by"])
+    distinct = people.groupBy(SITE).agg(
+        F.count_if(cells.known_in("library")).alias("libraries"),
+        F.count_if(cells.known_in("modified_by")).alias("users"),
+    )
+    report = _sections(files, params).join(distinct, SITE, "left")
+    report = report.join(
         dup_totals.select(SITE, "extra_files", "extra_bytes", "extra_gb"), SITE, "left"
-    ).join(counts.select(SITE, "n_archives"), SITE, "left")
-    for name, rows in parts.items():
-        report = report.join(rows.withColumnRenamed("rows", name), SITE, "left")
-    return report.withColumns({name: F.coalesce(name, F.array()) for name in parts})
+    )
+    lists = {
+        "top_duplicates": site.top_duplicates(dups, KEEP_DUPLICATES),
+        "recent_post": site.site_recent_post(files, KEEP_POST),
+        "large_files": site.large_files(files, params.large_mb, KEEP_LARGE),
+    }
+    for name, rows in lists.items():
+        report = report.join(_as_array(rows, name), SITE, "left")
+        report = report.withColumn(name, F.coalesce(name, F.array()))
+    decided = site.decision_list(F.col("extra_files"), F.col("extra_gb"))
+    report = report.withColumn("decisions", decided).drop(*site.DECISION_COUNTS)
+    return site.site_status(report)
+
+
+def _sections(files: DataFrame, params: Params) -> DataFrame:
+    """Totals of each site and its breakdowns as arrays."""
+    ext = F.nullif(F.col("ext"), F.lit(""))
+    rows = files.withColumns(
+        {
+            "ext": ext,
+            "special": F.when(ext.isin(list(c.SPECIAL_FORMATS)), ext),
+            "year": F.year("modified_ts"),
+            "top_folder": text.top_folder(F.col("folder")),
+        }
+    )
+    over = F.count_if(F.col("size_bytes") > c.MIGRATION_LIMIT_BYTES).alias("over")
+    aggs = [value.alias(name) for name, value in cells.measures(files).items()]
+    dim = F.coalesce(*[F.when(F.grouping(d) == 0, F.lit(d)) for d in DIMS], F.lit("site"))
+    sets = [[F.col(SITE), F.col(d)] for d in DIMS] + [[F.col(SITE)]]
+    known = F.coalesce(*[F.col(d).cast("string") for d in DIMS]).isNotNull()
+    found = (
+        rows.groupingSets(sets, SITE, *DIMS)
+        .agg(dim.alias("dim"), over, *aggs)
+        .where(known | (F.col("dim") == "site"))
+    )
+
+    # values of an unlimited dimension are groups of their own, so all rank first
+    by_files = F.when(F.col("dim") == "modified_by", F.col("files")).otherwise(F.col("bytes"))
+    group = Window.partitionBy(SITE, "dim", *WHOLE).orderBy(F.desc(by_files), *KEEP)
+    limit = F.lit(None)
+    for name, k in KEEP.items():
+        limit = F.when(F.col("dim") == name, k).otherwise(limit)
+    trimmed = (
+        found.withColumn("rank", F.row_number().over(group))
+        .where(F.col("rank") <= max(KEEP.values()))
+        .where(F.coalesce(F.col("rank") <= limit, F.lit(True)))
+    )
+
+    in_site = lambda name: F.max(F.when(F.col("dim") == "site", F.col(name)))
+    special = lambda exts, value: F.sum(F.when(F.col("special").isin(exts), F.col(value)))
+    array = lambda name, *fields: F.array_sort(
+        F.collect_list(F.when(F.col("dim") == name, F.struct(*fields)))
+    ).alias(f"_{name}")
+    largest = -F.col("bytes")
+    sites = trimmed.groupBy(SITE).agg(
+        *[in_site(name).alias(name) for name in cells.measures(files)],
+        special(["zip"], "over").alias("n_archives"),
+        special(["heic"], "n").alias("n_heic"),
+        special(["xlsm"], "n").alias("n_xlsm"),
+        special(["xlsb"], "n").alias("n_xlsb"),
+        special(c.VIDEO_FORMATS, "n").alias("n_video"),
+        special(c.VIDEO_FORMATS, "bytes").alias("video_bytes"),
+        array("category", largest.alias("_order"), "category", "files", "bytes"),
+        array("ext", "rank", "ext", "files", "bytes"),
+        array("special", "special", "files", "bytes"),
+        array("year", "year", "files", "bytes"),
+        array("modified_by", "rank", "modified_by", "files", "bytes", "post", "last"),
+        array("top_folder", "rank", "top_folder", "files", "bytes"),
+    )
+    return _shown(sites, params)
+
+
+def _shown(sites: DataFrame, params: Params) -> DataFrame:
+    """Sums -> the figures a report shows, with the shares of the site."""
+    n, all_bytes = F.col("n"), F.col("bytes")
+    most = lambda name, field: F.array_max(F.transform(f"_{name}", lambda x: x[field]))
+
+    def rows(name: str, **fields) -> Column:
+        return F.transform(
+            f"_{name}", lambda x: F.struct(*[f(x).alias(field) for field, f in fields.items()])
+        )
+
+    files = lambda x: x["files"]
+    size = lambda x: gb(x["bytes"])
+    share_files = lambda x: pct(x["files"], n)
+    share_bytes = lambda x: pct(x["bytes"], all_bytes)
+    rank = lambda x: x["rank"]
+    note = lambda field: lambda x: text.special_format(x["special"])[field]
+    zero = F.lit(0).cast("bigint")
+    counts = {name: F.coalesce(name, zero) for name in site.DECISION_COUNTS if name != "video_bytes"}
+    return sites.withColumns(counts).select(
+        SITE,
+        n.alias("files"),
+        all_bytes.alias("bytes"),
+        gb(all_bytes).alias("gb"),
+        "depth_max",
+        half_even(F.col("depth_sum") / n, 1).alias("depth_mean"),
+        F.col("first").alias("first_modified"),
+        F.col("last").alias("last_modified"),
+        "post",
+        pct("post", n).alias("pct_post"),
+        "inactive",
+        "checked_out",
+        F.col("n_archives").alias("oversize_archives"),
+        *site.DECISION_COUNTS,
+        rows(
+            "category",
+            category=lambda x: x["category"], files=files, gb=size,
+            pct_files=share_files, pct_gb=share_bytes,
+        ).alias("categories"),
+        rows(
+            "ext",
+            rank=rank, ext=lambda x: x["ext"], files=files, gb=size, pct_gb=share_bytes,
+            special=lambda x: text.special_format(x["ext"]).isNotNull(),
+        ).alias("extensions"),
+        rows(
+            "special",
+            ext=lambda x: x["special"], label=note("label"), note=note("note"),
+            files=files, gb=size, pct_gb=share_bytes,
+            alert=lambda x: site.format_alert(x["special"], gb(x["bytes"])),
+        ).alias("special_formats"),
+        rows(
+            "year",
+            year=lambda x: x["year"], files=files, gb=size,
+            width=lambda x: width(x["files"], most("year", "files")),
+            is_post=lambda x: x["year"] >= params.migrated_at.year,
+        ).alias("years"),
+        rows(
+            "modified_by",
+            rank=rank, modified_by=lambda x: x["modified_by"], files=files,
+            pct_files=share_files, gb=lambda x: gb2(x["bytes"]),
+            post=lambda x: x["post"], last_modified=lambda x: x["last"],
+        ).alias("top_users"),
+        rows(
+            "top_folder",
+            rank=rank, top_folder=lambda x: x["top_folder"], files=files, gb=size,
+            pct_files=share_files,
+            width=lambda x: width(x["bytes"], most("top_folder", "bytes")),
+        ).alias("folders"),
+    )
 
 
-def _rows(section: DataFrame, order: str) -> DataFrame:
-    """The rows of a section as one ordered array per site."""
-    fields = [name for name in section.columns if name not in (SITE, order)]
-    row = F.struct(order, *fields)
-    return section.groupBy(SITE).agg(F.array_sort(F.collect_list(row)).alias("rows"))
+def _as_array(section: DataFrame, name: str) -> DataFrame:
+    """The rows of a limited section as one array per site, in order of rank."""
+    fields = [field for field in section.columns if field not in (SITE, "rank")]
+    row = F.struct("rank", *fields)
+    return section.groupBy(SITE).agg(F.array_sort(F.collect_list(row)).alias(name))

@@ -12,6 +12,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from corpus_health.params import Params
+from corpus_health.sources.shared import spread
 
 PARAMS = Params(migrated_at=datetime(1999, 7, 1), as_of=datetime(2001, 11, 5))
 
@@ -128,9 +129,16 @@ UNION ALL SELECT site_url, 'user_4' AS owner FROM sites WHERE lock_state = 'Read
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One fixture view; it reads only the tables and earlier views it names."""
-    ctes = [f"{t} AS (SELECT * FROM parquet.`{sf_dir}/{t}.parquet`)" for t in BASE_TABLES]
-    ctes += [f"{view} AS ({VIEWS[view]})" for view in needed(name) if view != name]
-    return spark.sql(f"WITH {', '.join(ctes)} {VIEWS[name]}")
+    views = needed(name)
+    used = " ".join(VIEWS[view] for view in views)
+    tables = {
+        t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in BASE_TABLES if f" {t}" in used
+    }
+    if "lineitem" in tables:
+        tables["lineitem"] = spread(tables["lineitem"], "l_orderkey", "l_linenumber")
+    ctes = [f"{t} AS (SELECT * FROM {{{t}}})" for t in tables]
+    ctes += [f"{view} AS ({VIEWS[view]})" for view in views if view != name]
+    return spark.sql(f"WITH {', '.join(ctes)} {VIEWS[name]}", **tables)
 
 
 def needed(name: str) -> list[str]:
