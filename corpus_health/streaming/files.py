@@ -84,9 +84,10 @@ def stream_site_metrics(
 ) -> StreamingQuery:
     """Keep summary and health index of every site current.
 
-    A batch is landed under its number, then the metrics of the site buckets it
-    touched are rebuilt from landed files and replace those buckets only. A
-    bucket is rebuilt as a distributed job, so a large site in it is no limit.
+    A batch is landed under its number, then snapshot and metrics of the site
+    buckets it touched are rebuilt from landed files and replace those buckets
+    only. A bucket is rebuilt as a distributed job, so a large site in it is no
+    limit.
     """
 
     def update(batch: DataFrame, batch_id: int) -> None:
@@ -102,16 +103,22 @@ def stream_site_metrics(
         numbers = [row["bucket"] for row in touched]
         if not numbers:
             return
-        live = landed.where(F.col("bucket").isin(numbers)).select(*batch.columns)
+        of_touched = F.col("bucket").isin(numbers)
+        latest = refresh.latest_snapshot(landed.where(of_touched).select(*batch.columns))
+        replace(latest, "latest")  # written once, read by every part of the metrics
+        live = spark.read.parquet(f"{out}/latest").where(of_touched).drop("bucket")
         own = sites.where(site_bucket(buckets).isin(numbers))
-        metrics = site_metrics(refresh.latest_snapshot(live), own, accounts, params)
+        replace(site_metrics(live, own, accounts, params), "metrics")
+
+    def replace(rows: DataFrame, name: str) -> None:
+        """Overwrite the buckets the rows belong to, and no others."""
         (
-            metrics.withColumn("bucket", site_bucket(buckets))
-            .hint("rebalance", "bucket")
+            rows.withColumn("bucket", site_bucket(buckets))
+            .hint("rebalance", "bucket", "site_url")
             .write.partitionBy("bucket")
             .mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .parquet(f"{out}/metrics")
+            .parquet(f"{out}/{name}")
         )
 
     return (

@@ -20,7 +20,7 @@ BASE_TABLES = ["customer", "lineitem", "orders", "supplier"]
 
 VIEWS: dict[str, str] = {}
 
-# The views of FIXTURES.md.
+# The views of FIXTURES.md; artifacts has its two versions as a union.
 VIEWS["files"] = """
 SELECT t.*, concat(replace(site_url, 'https://tenant.example', ''), '/', folder, '/', file_name) AS path FROM (
 SELECT s_name AS site,
@@ -94,7 +94,7 @@ SELECT concat('https://tenant.example/sites/s', cast(s_suppkey AS string)) AS si
   CASE WHEN s_suppkey % 5 = 0 THEN concat('priority_', cast(s_suppkey AS string))
        ELSE concat('auto_', cast(s_suppkey AS string), '_', cast(v AS string)) END AS artifact,
   TIMESTAMP_NTZ '2001-11-01 00:00:00' + INTERVAL '1' DAY * cast(v AS int) AS written_ts
-FROM supplier JOIN (SELECT 1 AS v UNION ALL SELECT 2 AS v) x ON true
+FROM (SELECT s_suppkey, 1 AS v FROM supplier UNION ALL SELECT s_suppkey, 2 AS v FROM supplier) x
 WHERE s_suppkey % 2 = 1
 """
 
@@ -116,8 +116,8 @@ SELECT concat('Sub of ', site) AS site, concat(site_url, '/sub') AS site_url, si
 FROM sites WHERE is_hub OR has_retention
 """
 VIEWS["inventory_runs"] = """
-SELECT sites.*, TIMESTAMP_NTZ '2001-11-01 00:00:00' + INTERVAL '1' DAY * v AS run_ts
-FROM sites JOIN (SELECT 0 AS v UNION ALL SELECT 3 AS v) x ON v = 0 OR NOT is_hub
+SELECT sites.*, TIMESTAMP_NTZ '2001-11-01 00:00:00' AS run_ts FROM sites
+UNION ALL SELECT sites.*, TIMESTAMP_NTZ '2001-11-04 00:00:00' AS run_ts FROM sites WHERE NOT is_hub
 """
 VIEWS["owners"] = """
 SELECT site_url, owner FROM sites
