@@ -93,7 +93,7 @@ def stream_site_metrics(
     def update(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = batch.withColumn("bucket", site_bucket(buckets))
-        rows.hint("rebalance", "bucket", "site_url").write.partitionBy("bucket").mode(
+        rows.hint("rebalance", "bucket").write.partitionBy("bucket").mode(
             "overwrite"
         ).parquet(f"{out}/files/batch_id={batch_id}")
         landed = spark.read.parquet(f"{out}/files")
@@ -114,7 +114,7 @@ def stream_site_metrics(
         """Overwrite the buckets the rows belong to, and no others."""
         (
             rows.withColumn("bucket", site_bucket(buckets))
-            .hint("rebalance", "bucket", "site_url")
+            .hint("rebalance", "bucket")
             .write.partitionBy("bucket")
             .mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
