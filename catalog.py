@@ -929,8 +929,14 @@ FROM coverage WHERE NOT ({BAND} = 'main' AND coalesce(report_kind, '') LIKE 'pri
     ("coverage",),
 )
 def x6_band_listing(e):
-    main, mid, minor = (portfolio.band_listing(e.coverage, name) for name in portfolio.BANDS)
-    return main.unionByName(mid).unionByName(minor)
+    return portfolio.band_listing(e.coverage)
+
+
+@query(
+    f"SELECT 'mid' AS band, site_url, gb, report FROM coverage WHERE {BAND} = 'mid'", ("coverage",)
+)
+def x6_band_listing_of_one(e):
+    return portfolio.band_listing(e.coverage, "mid").select("band", "site_url", "gb", "report")
 
 
 @query(

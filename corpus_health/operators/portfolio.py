@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from corpus_health import constants as c
 from corpus_health.functions.measures import big_sum, gb, pct
 
-BANDS = ("main", "mid", "minor")
-
 
 def band(gigabytes: Column, main: float = 10.0, mid: float = 1.0) -> Column:
     return F.when(gigabytes >= main, "main").when(gigabytes >= mid, "mid").otherwise("minor")
@@ -80,13 +78,16 @@ def priority_list(reports: DataFrame, summary: DataFrame, artifacts: DataFrame)
 
 
 def band_listing(
-    coverage: DataFrame, band_name: str, main: float = 10.0, mid: float = 1.0
+    coverage: DataFrame, band_name: str | None = None, main: float = 10.0, mid: float = 1.0
 ) -> DataFrame:
-    """Sites of one band, largest first; the main band leaves listed sites to their own section."""
-    sites = size_band(coverage, main, mid).where(F.col("band") == band_name)
-    if band_name == "main":
-        listed = F.col("report_kind").isin(c.LISTED, c.LISTED_MISSING)
-        sites = sites.where(F.col("report_kind").isNull() | ~listed)
+    """Sites of one band, or of all, largest first.
+
+    The main band leaves listed sites to their own section.
+    """
+    listed = F.coalesce(F.col("report_kind").isin(c.LISTED, c.LISTED_MISSING), F.lit(False))
+    sites = size_band(coverage, main, mid).where((F.col("band") != "main") | ~listed)
+    if band_name is not None:
+        sites = sites.where(F.col("band") == band_name)
     return sites.select(
         "band", "site", "site_url", "gb", "files", "pct_post", "last_modified", "recommendation",
         "report_kind", "report",

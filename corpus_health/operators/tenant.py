@@ -84,7 +84,10 @@ def recommendation_counts(summary: DataFrame) -> DataFrame:
 
 
 def archive_candidates(summary: DataFrame) -> DataFrame:
-    """Sites to archive by volume, with their width against the largest."""
+    """Sites to archive by volume, with their width against the largest.
+
+    Reads `summary` twice, once for the largest: land it first when files are many.
+    """
     sites = summary.where(F.col("recommendation") == c.ARCHIVE)
     largest = sites.select(F.max("bytes")).scalar()
     return sites.withColumn("width", width(F.col("bytes"), largest)).orderBy(

@@ -48,6 +48,8 @@ def salted_join(
     side is repeated for each, so no task receives a whole hot key. Spark still
     broadcasts the small side when its measured size allows.
     """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"{how}: the repeated side must not be preserved")
     rest = [name for name in big.columns if name not in on]
     spread = big.withColumn("_salt", _salt(rest, salts))
     copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))

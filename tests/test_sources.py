@@ -25,6 +25,8 @@ def write(folder, name, header, *rows, bom=False, tail=""):
 
 @pytest.fixture
 def folder(tmp_path):
+    tmp_path = tmp_path / "año 1+2 %"  # paths are not URLs
+    tmp_path.mkdir()
     write(tmp_path, "Cl_B_Docs_North_20210101_080000.csv", HEADER, ROW, {**ROW, "Nombre_Archivo": 'a,"b"'}, bom=True)
     old = [h for h in HEADER[::-1] if h not in ("Archivo_Bloqueado", "Profundidad_Carpeta")]
     write(tmp_path, "Cl_B_Docs_Resumen_20210102_080000.csv", old, {**ROW, "Sitio": "B", "Biblioteca": ""})
