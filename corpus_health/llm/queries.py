@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpus_health.llm import bpe, fingerprints, jaccard, language, mixing, quality, secrets, sharding
+from corpus_health.llm import bpe, fingerprints, jaccard, language, mixing, quality, repeats, secrets, sharding
 
 RANKS = "byte_bpe_50k.tiktoken"
 SHARDS = [f"shard-{i:03d}" for i in range(256)]
@@ -38,6 +38,10 @@ def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(documents(spark, sf_dir))
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_edited(documents(spark, sf_dir))
 
@@ -51,7 +55,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sharding, op2_language, op4_bpe, op5_jaccard, op6_mix, op8_fingerprints, op9_quality, op10_secrets)
+    f.__name__: f for f in (op1_sharding, op2_language, op4_bpe, op5_jaccard, op6_mix, op7_repeats, op8_fingerprints, op9_quality, op10_secrets)
 }
 
 ORACLE_SQL: dict[str, str] = {
