@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpus_health.llm import bpe, fingerprints, jaccard, language, mixing, quality, repeats, secrets, sharding
+from corpus_health.llm import bpe, fingerprints, jaccard, language, mixing, quality, repeats, secrets, sharding, weaklabels
 
 RANKS = "byte_bpe_50k.tiktoken"
 SHARDS = [f"shard-{i:03d}" for i in range(256)]
@@ -26,6 +26,10 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict_all(documents(spark, sf_dir))
 
 
+def op3_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weaklabels.classify(documents(spark, sf_dir))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), public_tokenizers.path(RANKS))
 
@@ -55,7 +59,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sharding, op2_language, op4_bpe, op5_jaccard, op6_mix, op7_repeats, op8_fingerprints, op9_quality, op10_secrets)
+    f.__name__: f for f in (op1_sharding, op2_language, op3_weak_labels, op4_bpe, op5_jaccard, op6_mix, op7_repeats, op8_fingerprints, op9_quality, op10_secrets)
 }
 
 ORACLE_SQL: dict[str, str] = {
