@@ -277,7 +277,8 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """
     ids = join(docs, threshold)
     stay = ids.where("class_id is not null").select(F.col("class_id").alias("_stays")).distinct()
-    order = Window.partitionBy("_stays").orderBy(F.col("text").asc_nulls_last())
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    kept = docs.join(stay, F.col("doc_id") == F.col("_stays")).withColumn("_place", F.row_number().over(order))
-    return kept.where("_place = 1").select(*names).unionByName(docs.where("doc_id is null"))
+    # the row travels as one value, so that none of its columns can clash with ours
+    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
+    order = Window.partitionBy("_stays").orderBy(F.col("_text").asc_nulls_last())
+    kept = rows.join(stay, F.col("_id") == F.col("_stays")).withColumn("_place", F.row_number().over(order))
+    return kept.where("_place = 1").select("_row.*").unionByName(docs.where("doc_id is null"))

@@ -10,8 +10,6 @@ Every draw depends on the document alone, so a task that runs again repeats it.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -75,6 +73,22 @@ def copies(rate: Column, seed: str, *key: Column) -> Column:
     return F.when(rate > 0, F.aggregate(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), F.lit(0), draw)).otherwise(F.lit(0))
 
 
+def _drawn(docs: DataFrame, weights, size, seed: str, key: str, source: str) -> DataFrame:
+    """_doc (a row as one value, so that its columns clash with none of ours), _copy and _place, in the mix's order."""
+    by = rates(docs, weights, size, source)
+    few = by.count() <= BROADCAST_SOURCES
+    rows = docs.select(F.struct("*").alias("_doc"), F.col(key).alias("_key"), F.col(source).alias("_of"))
+    rated = rows.join(F.broadcast(by) if few else by, F.col("_of").eqNullSafe(F.col("_source")))
+    many = rated.select("_doc", "_key", copies(F.col("_rate"), seed, F.col("_key")).alias("_copies")).where("_copies > 0")
+    each = many.select("_doc", "_key", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)).alias("_copy"))
+    text = F.concat_ws(
+        "|", F.lit(f"{seed}/place"), F.coalesce(F.col("_key").cast("string"), F.lit("\x00")), F.col("_copy").cast("string")
+    )
+    order = F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint")
+    placed = each.withColumn("_place", order).repartition(F.col("_place"))
+    return placed.sortWithinPartitions("_place", "_key", "_copy").drop("_key")
+
+
 def mix(
     docs: DataFrame,
     weights: dict[str | None, float] | None = None,
@@ -82,24 +96,16 @@ def mix(
     seed: str = SEED,
     key: str = "doc_id",
     source: str = "source",
-    copy: str = "copy",
-    place: str = "place",
+    copy: str | None = "copy",
+    place: str | None = "place",
 ) -> DataFrame:
     """Each document as often as it is drawn, in random order: its columns, the copy's number from 0, its place.
 
     Rows with the same key and source are drawn alike, nulls being a key and a source
     too. Documents drawn 0 times are absent, an empty table stays empty. Columns named
-    like `copy` and `place` already there are an error.
+    like `copy` and `place` are replaced; where these are None, nothing is added.
     """
-    if clash := {copy, place} & set(docs.columns):
-        raise ValueError(f"the table already has columns {sorted(clash)}")
-    by = rates(docs, weights, size, source)
-    few = by.count() <= BROADCAST_SOURCES
-    drawn = docs.select("*", F.col(source).alias("_of")).join(
-        F.broadcast(by) if few else by, F.col("_of").eqNullSafe(F.col("_source"))
-    )
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    many = drawn.select(*names, copies(F.col("_rate"), seed, F.col(key)).alias("_copies")).where("_copies > 0")
-    each = many.select(*names, F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)).alias(copy))
-    order = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(f"{seed}/place"), *(F.coalesce(c.cast("string"), F.lit("\x00")) for c in (F.col(key), F.col(copy)))).cast("binary")), 1, 15), 16, 10).cast("bigint")
-    return each.withColumn(place, order).repartition(F.col(place)).sortWithinPartitions(place, key, copy)
+    docs = docs.drop(*(n for n in (copy, place) if n and n not in (key, source)))
+    drawn = _drawn(docs, weights, size, seed, key, source)
+    added = [F.col(c).alias(n) for c, n in (("_copy", copy), ("_place", place)) if n]
+    return drawn.select("_doc.*", *added)

@@ -67,15 +67,14 @@ def assign(docs: DataFrame, shards: Sequence[str], key: str = "doc_id", slots: i
 
     The table is broadcast: it has `slots` rows, however many documents there are.
     Equal keys go to one shard; null keys go together. Rows are neither dropped nor
-    repeated. A column named like `into` already there is an error.
+    repeated. A column named like `into` is replaced.
     """
-    if into in docs.columns:
-        raise ValueError(f"the table already has a column {into}")
     table = F.broadcast(table_frame(docs.sparkSession, shards, slots))
-    placed = docs.select("*", slot(F.col(key), slots).alias("_slot_of_key"))
-    return placed.join(table, F.col("_slot_of_key") == F.col("_slot")).select(
-        *(F.col(f"`{c}`") for c in docs.columns), F.col("_shard").alias(into)
-    )
+    # the row travels as one value, so that none of its columns can clash with ours
+    placed = docs.drop(into) if into != key else docs
+    placed = placed.select(F.struct("*").alias("_row"), slot(F.col(key), slots).alias("_slot_of_key"))
+    rest = placed.join(table, F.col("_slot_of_key") == F.col("_slot"))
+    return rest.select("_row.*", F.col("_shard").alias(into))
 
 
 def write_shards(docs: DataFrame, path: str, shards: Sequence[str], key: str = "doc_id", slots: int = SLOTS) -> None:

@@ -29,7 +29,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as they are drawn, all sources with the same share, in random order."""
-    return mixing.mix(docs, copy="_copy", place="_place").drop("_copy", "_place")
+    return mixing.mix(docs, copy=None, place=None)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
