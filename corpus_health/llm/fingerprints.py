@@ -72,7 +72,11 @@ def with_bins(df: DataFrame, text: str, into: str) -> DataFrame:
         last = f"{d}{r}"
     least = F.array_min(last)
     df = df.withColumn(f"{d}least", least)
-    low = F.transform(last, lambda x: F.coalesce(x, F.col(f"{d}least")).bitwiseAND(F.lit((1 << KEPT_BITS) - 1)).cast("tinyint"))
+    # the bin's number goes into its bits, so that one value in many bins agrees by chance in each anew
+    low = F.transform(
+        last,
+        lambda x, j: F.xxhash64(F.coalesce(x, F.col(f"{d}least")), j).bitwiseAND(F.lit((1 << KEPT_BITS) - 1)).cast("tinyint"),
+    )
     df = df.withColumn(into, F.when(n > 0, low).otherwise(F.array().cast("array<tinyint>")))
     return df.drop(w, h, s, p, m, f"{d}least", *(f"{d}{r}" for r in range(ROUNDS)))
 
