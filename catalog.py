@@ -348,6 +348,65 @@ def i3_quarantine(e):
     return status.groupBy("status").agg(F.count("path").alias("n"))
 
 
+def _write_lines(frame: DataFrame, header: str, folder: str, name: str) -> None:
+    """A survey whose lines are given as they are."""
+    lines = frame.toDF(header).coalesce(1)
+    lines.write.options(header=True, quote="", sep="\t").csv(f"{folder}/Client_B_Docs_{name}.csv")
+
+
+def _write_runs(e: Estate) -> str:
+    """Two runs over the same files, one with a line that does not fit, and a file that is no survey."""
+    folder = e.folder("surveys-runs")
+    raw = e.table("files_raw")
+    for name, rows in {
+        "North_20011101_080000": raw,
+        "North_20011102_080000": raw.where("library IS NOT NULL"),
+    }.items():
+        _survey_layout(rows, RAW_COLUMNS).write.options(header=True, quoteAll=True, escape='"').csv(
+            f"{folder}/Client_B_Docs_{name}.csv"
+        )
+    names = _survey_layout(raw, RAW_COLUMNS).columns
+    one = e.table("sites").orderBy("site_url").limit(1)
+    _write_lines(one.select(F.lit('"too","few"')), ",".join(names), folder, "South_20011103_080000")
+    _write_lines(one.select(F.lit('"x"')), ",".join(names[2:]), folder, "West_20011103_080000")
+    return folder
+
+
+@query(
+    f"""SELECT site_url, path, library, coalesce(try_cast(size_bytes AS BIGINT), 0) AS size_bytes,
+  CASE v WHEN 1 THEN DATE '2001-11-01' ELSE DATE '2001-11-02' END AS survey_date FROM (
+  SELECT * FROM (SELECT *, 1 AS v FROM files_raw UNION ALL SELECT *, 2 AS v FROM files_raw WHERE library IS NOT NULL)
+  QUALIFY row_number() OVER (PARTITION BY site_url, path ORDER BY v DESC, site DESC NULLS LAST, library DESC NULLS LAST,
+    folder DESC NULLS LAST, file_name DESC NULLS LAST, size_bytes DESC NULLS LAST, created_ts DESC NULLS LAST,
+    modified_ts DESC NULLS LAST, created_by DESC NULLS LAST, modified_by DESC NULLS LAST, checked_out DESC NULLS LAST) = 1)
+WHERE {KEPT_LIBRARY} AND {KEPT_FILE}
+UNION ALL SELECT '(row)', '"too","few"', NULL, 0, NULL
+UNION ALL SELECT '(file)', 'missing columns: Sitio, URL_Sitio', NULL, 0, NULL""",
+    ("files_raw",),
+)
+def i1_ingest(e):
+    """From survey files to clean files, landed by date and read back, with what was left out."""
+    files, rows, bad = surveys.ingest(e.spark, _write_runs(e), PARAMS, "Client")
+    out = e.folder("ingested")
+    for _ in range(2):  # landing again changes nothing
+        sinks.write_files(files, out)
+    names = ["site_url", "path", "library", "size_bytes", "survey_date"]
+    left_out = rows.select(F.lit("(row)").alias("site_url"), F.col("line").alias("path")).unionByName(
+        bad.select(F.lit("(file)").alias("site_url"), F.col("problem").alias("path"))
+    )
+    left_out = left_out.select(
+        "site_url", "path", F.lit(None).cast("string").alias("library"),
+        F.lit(0).cast("bigint").alias("size_bytes"), F.lit(None).cast("date").alias("survey_date"),
+    )
+    return e.spark.read.parquet(out).select(*names).unionByName(left_out)
+
+
+@query("SELECT 'missing columns: Sitio, URL_Sitio' AS problem, 1 AS n", ("sites",))
+def i3_bad_files(e):
+    bad = surveys.bad_files(e.spark, _write_runs(e), "Client")
+    return bad.groupBy("problem").agg(F.count("path").cast("int").alias("n"))
+
+
 @query(
     """SELECT count(*) AS n, count(*) FILTER (WHERE size_bytes IS NOT NULL AND try_cast(size_bytes AS BIGINT) IS NULL) AS bad_size,
   count(*) FILTER (WHERE size_bytes IS NULL) AS no_size,
@@ -762,16 +821,25 @@ def r7_latest_snapshot_without_missing(e):
     return refresh.latest_snapshot(e.files, drop_missing=True)
 
 
+@query(
+    f"""SELECT l.* FROM latest l LEFT JOIN (SELECT site_url, max(survey_no) AS ended FROM runs
+  WHERE status = '{c.OK}' GROUP BY ALL) USING (site_url) WHERE ended IS NULL OR survey_no >= ended""",
+    ("latest", "runs"),
+)
+def r7_latest_snapshot_of_ok_runs(e):
+    return refresh.latest_snapshot(e.files, drop_missing=True, runs=e.table("runs"))
+
+
 @query(
     """SELECT site_url, coalesce(libraries, 0) AS libraries, coalesce(files, 0) AS files,
   CASE WHEN files > 0 THEN 'OK' ELSE 'SinArchivos' END AS status
-FROM sites LEFT JOIN (SELECT site_url, count(DISTINCT library) AS libraries, count(*) AS files FROM files
-  WHERE size_bytes >= 17000000 GROUP BY ALL) USING (site_url)""",
-    ("sites", "files"),
+FROM visited_sites LEFT JOIN (SELECT site_url, count(DISTINCT library) AS libraries, count(*) AS files
+  FROM files GROUP BY ALL) USING (site_url)""",
+    ("visited_sites", "files"),
 )
 def r8_survey_rows(e):
-    """Over large files only, so that some sites have none."""
-    return refresh.survey_rows(e.files.where("size_bytes >= 17000000"), e.sites)
+    """Subsites were visited too and have no files."""
+    return refresh.survey_rows(e.files, e.table("visited_sites"))
 
 
 # --- whole estate ----------------------------------------------------------------
@@ -1141,14 +1209,19 @@ def s18_decisions(e):
     return site.decisions(e.clean)
 
 
-@query(
-    f"SELECT * FROM (WITH clean AS (SELECT * FROM clean WHERE ext IN ('docx', 'xlsb', 'zip') AND size_bytes > 12000000), counts AS ({COUNTS}) {DECISIONS})",
-    ("clean", "dups"),
+def s18_decisions_of_plain_sites(e):
+    """Beside the other sites, subsites with one file each: some need one decision, some none."""
+    return site.decisions(clean.enrich(e.table("more_files"), PARAMS))
+
+
+QUERIES["s18_decisions_of_plain_sites"] = Query(
+    s18_decisions_of_plain_sites,
+    duckdb_sql(
+        f"SELECT * FROM (WITH counts AS ({COUNTS}) {DECISIONS})",
+        ("clean", "dups", "more_files"),
+        overrides={"clean": _clean("more_files")},
+    ),
 )
-def s18_decisions_of_some_formats(e):
-    """Over a few formats, so that some sites skip decisions and some have none."""
-    some = e.clean.where("ext IN ('docx', 'xlsb', 'zip') AND size_bytes > 12000000")
-    return site.decisions(some, site.duplicates(e.clean))
 
 
 def _landed_report(e: Estate) -> DataFrame:
@@ -1233,12 +1306,12 @@ def h3_score_sharing(e):
 
 
 @query(
-    "SELECT site_url, (sum(size_bytes) FILTER (WHERE copy_no > 1))::BIGINT AS dup_bytes FROM flagged WHERE size_bytes > 0 GROUP BY ALL",
+    """SELECT site_url, coalesce(sum(size_bytes) FILTER (WHERE copy_no > 1), 0)::BIGINT AS dup_bytes
+FROM flagged WHERE size_bytes > 0 GROUP BY ALL""",
     ("flagged",),
 )
 def h4_dup_volume(e):
-    every = health.dup_volume(e.clean)
-    return every.withColumn("dup_bytes", F.nullif(F.col("dup_bytes"), F.lit(0)))
+    return health.dup_volume(e.clean)
 
 
 @query(
@@ -1256,19 +1329,21 @@ def h4_dup_volume_similar(e):
 
 
 @query(
-    "SELECT site_url, sum(size_bytes)::BIGINT AS legacy_bytes FROM flagged WHERE legacy GROUP BY ALL",
+    f"""SELECT site_url, coalesce(sum(size_bytes) FILTER (WHERE legacy), 0)::BIGINT AS legacy_bytes
+FROM flagged WHERE ext IN ('doc', 'docx', 'xls', 'xlsx') OR {BIG_ZIP} GROUP BY ALL""",
     ("flagged",),
 )
 def h5_legacy_volume(e):
-    return health.legacy_volume(e.clean).where("legacy_bytes > 0")
+    return health.legacy_volume(e.clean)
 
 
 @query(
-    "SELECT site_url, sum(size_bytes)::BIGINT AS legacy_bytes FROM flagged WHERE legacy OR ext IN ('dwg', 'xer') GROUP BY ALL",
+    f"""SELECT site_url, coalesce(sum(size_bytes) FILTER (WHERE legacy OR ext IN ('dwg', 'xer')), 0)::BIGINT AS legacy_bytes
+FROM flagged WHERE ext IN ('doc', 'docx', 'xls', 'xlsx', 'dwg', 'xer') OR {BIG_ZIP} GROUP BY ALL""",
     ("flagged",),
 )
 def h5_legacy_volume_with_binaries(e):
-    return health.legacy_volume(e.clean, ["dwg", "XER"]).where("legacy_bytes > 0")
+    return health.legacy_volume(e.clean, ["dwg", "XER"])
 
 
 @query(

@@ -70,6 +70,8 @@ def clean(files_raw: DataFrame, params: Params) -> DataFrame:
     """Text rows as surveyed -> typed rows with activity flags."""
     files = drop_system_files(drop_system_libraries(files_raw))
     files = parse_checkout(coerce_numbers(parse_times(files)))
+    if "depth" not in files.columns:
+        files = files.withColumn("depth", F.lit(0))
     files = flag_post(files, params.migrated_at)
     return flag_inactive(files, params.migrated_at, params.inactive_years)
 
@@ -127,6 +129,8 @@ def enrich(files: DataFrame, params: Params) -> DataFrame:
         files = files.withColumn("ext", text.file_ext(F.col("file_name")))
     rel_path = text.relative_path(F.col("path"), F.col("site_url"))
     files = size_units(categorize(files.withColumn("_rel", rel_path)))
+    if "checked_out" not in files.columns:
+        files = files.withColumn("checked_out", F.lit(False))
     files = files.withColumn("depth", text.depth_of(F.col("_rel"))).drop("_rel")
     files = flag_post(files, params.migrated_at)
     return flag_inactive(files, params.migrated_at, params.inactive_years)

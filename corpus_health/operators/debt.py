@@ -24,7 +24,10 @@ def departed_user_content(files: DataFrame, accounts: DataFrame) -> DataFrame:
         .groupBy("site_url", "modified_by")
         .agg(F.count("*").alias("files"), F.sum("size_bytes").alias("bytes"))
     )
-    known = accounts.select(F.col("account").alias("modified_by"), "enabled")
+    # an account listed more than once is enabled if one of its lines says so
+    known = accounts.groupBy(F.col("account").alias("modified_by")).agg(
+        F.bool_or("enabled").alias("enabled")
+    )
     state = F.when(F.col("enabled").isNull(), "unknown").otherwise("disabled")
     return (
         by_user.join(known, "modified_by", "left")

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from corpus_health import constants as c
 from corpus_health.functions import text, times
 from corpus_health.params import Params, check_weights
-from corpus_health.plans.skew import salted_join
 
 SITE_KEY = ("site_url",)
 DIMENSIONS = tuple(c.WEIGHTS)
@@ -111,11 +110,14 @@ def dup_volume(
         .where("copies > 1")
         .select(*copy_of, F.col("kept.folder").alias("kept_folder"))
     )
-    compared = salted_join(by_folder, kept, copy_of, "inner")
+    # each row by itself: the kept copy's folder gives all its copies but the kept one, so no
+    # group is put together again after the join and Spark may split a large one
+    compared = by_folder.join(kept, copy_of)
     alike = folder_similarity(F.col("folder"), F.col("kept_folder")) >= similar
-    groups = compared.groupBy(*copy_of).agg(F.sum(F.when(alike, F.col("n"))).alias("copies"))
-    extra = F.col("size_bytes") * (F.col("copies") - 1)
-    return groups.groupBy(*keys).agg(F.sum(extra).alias("dup_bytes"))
+    counted = F.when(alike, F.col("n")).otherwise(0) - F.when(
+        F.col("folder") == F.col("kept_folder"), 1
+    ).otherwise(0)
+    return compared.groupBy(*keys).agg(F.sum(F.col("size_bytes") * counted).alias("dup_bytes"))
 
 
 def folder_similarity(a: Column, b: Column) -> Column:
@@ -181,33 +183,29 @@ def junk_volume(
 
 def noise_volume(files: DataFrame, params: Params, keys: Sequence[str] = SITE_KEY) -> DataFrame:
     """Bytes that are duplicate, legacy or junk, each file counted once."""
-    sized = _of_sites(files, keys).where("size_bytes > 0")
     junk = text.in_folder_named(F.col("folder"), params.junk_folders)
     rows = (
-        sized.withColumns({"ext": F.coalesce("ext", F.lit("")), "folder": _folder()})
+        _of_sites(files, keys)
+        .withColumns({"ext": F.coalesce("ext", F.lit("")), "folder": _folder()})
         .groupBy(*keys, "folder", "file_name", "size_bytes", "ext")
         .agg(F.count("*").alias("n"), F.min("path").alias("path"))
         .withColumn("stem", F.coalesce(text.file_stem(F.col("file_name")), F.lit("")))
         .withColumn("marked", junk | _unreadable(params.binary_exts))
     )
-    beside = [*keys, "folder", "stem", "ext"]
-    converted = (
-        _of_sites(files, keys)
-        .where(F.col("ext").isin("docx", "xlsx"))
-        .select(
-            *keys,
-            _folder().alias("folder"),
-            F.coalesce(text.file_stem(F.col("file_name")), F.lit("")).alias("stem"),
-            F.substring("ext", 1, 3).alias("ext"),
-        )
-        .distinct()
-        .withColumn("converted", F.lit(True))
+    # a converted file stands beside its original: same folder and stem, the same format's newer
+    # extension; other formats share no cell, so a folder of them is not put in one place
+    document = F.when(F.col("ext").isin("doc", "docx"), "doc").when(
+        F.col("ext").isin("xls", "xlsx"), "xls"
     )
+    apart = F.when(document.isNull(), F.xxhash64("file_name", "size_bytes", "ext"))
+    beside = Window.partitionBy(*keys, "folder", "stem", "_document", "_apart")
+    converted = F.max(F.col("ext").isin("docx", "xlsx")).over(beside)
     old = F.col("ext").isin("doc", "xls")
-    old_rows = salted_join(rows.where(old), converted, beside, "left")
-    unconverted = F.col("marked") | F.col("converted").isNull()
-    flagged = rows.where(~old).unionByName(
-        old_rows.withColumn("marked", unconverted).drop("converted")
+    flagged = (
+        rows.withColumns({"_document": document, "_apart": apart})
+        .withColumn("marked", F.col("marked") | (old & ~converted))
+        .drop("_document", "_apart")
+        .where("size_bytes > 0")
     )
     # copies after the first are noise; the first is noise only when marked itself
     groups = flagged.groupBy(*keys, "file_name", "size_bytes", "ext").agg(
@@ -259,8 +257,8 @@ def file_scores(
     size, zero = F.col("size_bytes"), F.lit(0).cast("bigint")
     active = times.within(
         F.col("modified_ts"),
-        times.days_before(params.as_of, params.activity_days),
-        times.timestamp(params.as_of),
+        times.days_before(params.today, params.activity_days),
+        times.timestamp(params.today),
     )
     # total, active, legacy and junk bytes from one pass, by way of folder cells
     folders = _folder_cells(

@@ -40,7 +40,7 @@ def refresh_plan(
     """Decision for every candidate site, those to run by size first."""
     candidates = inventory.refresh_candidates(sites, params)
     days = params.refresh_days if days is None else days
-    plan = refresh_reason(candidates, surveys, params.as_of, days)
+    plan = refresh_reason(candidates, surveys, params.today, days)
     return plan.orderBy(F.desc("run"), F.desc("storage_gb"), "site_url")
 
 
@@ -72,7 +72,10 @@ def failed_sites(surveys: DataFrame) -> DataFrame:
 
 
 def latest_snapshot(
-    files: DataFrame, version: str = "survey_no", drop_missing: bool = False
+    files: DataFrame,
+    version: str = "survey_no",
+    drop_missing: bool = False,
+    runs: DataFrame | None = None,
 ) -> DataFrame:
     """Newest row of each file across surveys.
 
@@ -81,7 +84,9 @@ def latest_snapshot(
     before the shuffle, so a file seen in very many rows costs one row per task.
 
     `drop_missing` also drops files that the newest survey of their site no
-    longer lists: a survey lists everything that exists.
+    longer lists: a survey lists everything that exists. With `runs` (site_url,
+    the version and its status), only a run that came to its end drops files: a
+    file stays from the newest finished run on, and a site without one keeps all.
     """
     keys = ["site_url", "path"]
     order = [F.desc_nulls_last(version)] + [
@@ -91,9 +96,11 @@ def latest_snapshot(
     latest = files.withColumn("_n", F.row_number().over(newest)).where("_n = 1").drop("_n")
     if not drop_missing:
         return latest
-    last = files.groupBy("site_url").agg(F.max(version).alias("_last"))
-    current = salted_join(latest, last, ["site_url"], "inner")
-    return current.where(F.col(version) == F.col("_last")).select(*files.columns)
+    ended = files if runs is None else runs.where(F.col("status") == c.OK)
+    last = ended.groupBy("site_url").agg(F.max(version).alias("_last"))
+    current = salted_join(latest, last, ["site_url"], "inner" if runs is None else "left")
+    listed = F.col("_last").isNull() | (F.col(version) >= F.col("_last"))
+    return current.where(listed).select(*files.columns)
 
 
 def survey_rows(files: DataFrame, sites: DataFrame) -> DataFrame:

@@ -54,7 +54,8 @@ def site_summary(files: DataFrame) -> DataFrame:
 
 def top_category(files: DataFrame) -> DataFrame:
     """Most frequent category of each site; the first by name among equals."""
-    counts = files.groupBy("site", "site_url", "category").agg(F.count("*").alias("n"))
+    named = files.where("site IS NOT NULL AND site_url IS NOT NULL")
+    counts = named.groupBy("site", "site_url", "category").agg(F.count("*").alias("n"))
     return counts.groupBy("site", "site_url").agg(_most_frequent().alias("top_category"))
 
 
@@ -109,14 +110,16 @@ def category_stats(files: DataFrame) -> DataFrame:
     sums = by_site.groupBy("category").agg(
         F.sum("n").alias("n"), F.sum("files").alias("files"), big_sum("bytes").alias("bytes")
     )
-    everything = Window.partitionBy()  # at most 14 rows
+    # totals of the estate from the same sums: one more row of the grouping, not a window over all
+    every = by_site.agg(F.sum("n").alias("n"), big_sum("bytes").alias("bytes"))
+    all_files, all_bytes = every.select("n").scalar(), every.select("bytes").scalar()
     return (
         sums.select(
             "category",
             "files",
             gb("bytes").alias("gb"),
-            pct(F.col("files"), F.sum("n").over(everything)).alias("pct_files"),
-            pct(F.col("bytes"), F.sum("bytes").over(everything)).alias("pct_gb"),
+            pct(F.col("files"), all_files).alias("pct_files"),
+            pct(F.col("bytes"), all_bytes).alias("pct_gb"),
         )
         .where("category IS NOT NULL")
         .orderBy(F.desc("gb"), "category")

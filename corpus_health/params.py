@@ -35,16 +35,33 @@ class Params:
     junk_folders: tuple[str, ...] = tuple(c.JUNK_FOLDERS)
     binary_exts: tuple[str, ...] = ()
     weights: Mapping[str, float] = field(default_factory=lambda: dict(c.WEIGHTS))
+    # rows of the limited lists of a site report; each list's total is reported beside it
+    report_users: int = 20
+    report_folders: int = 20
+    report_exts: int = 15
+    report_duplicates: int = 15
+    report_large: int = 20
+    report_post: int = 50
 
     def __post_init__(self) -> None:
         check_weights(self.weights)
 
+    @property
+    def today(self) -> datetime:
+        """The day that ages are counted to; a batch names it, so that a repeated job gives the same."""
+        if self.as_of is None:
+            raise ValueError("Params.as_of is not set: ages and activity need the day they are counted to")
+        return self.as_of
+
     def with_(self, **changes) -> "Params":
         return replace(self, **changes)
 
     @classmethod
     def from_config(cls, config: Mapping, as_of: datetime | None = None) -> "Params":
-        """Build from a parsed client configuration; raises on missing or bad fields."""
+        """Build from a parsed client configuration; raises on missing or bad fields.
+
+        A setting that is absent or null has its default; 0 stays 0, for every number.
+        """
         client = config.get("cliente") or {}
         for name in ("nombre", "tenant_prefix", "carpeta_local"):
             if not client.get(name):
@@ -59,11 +76,11 @@ class Params:
         return cls(
             migrated_at=migrated_at,
             as_of=as_of,
-            inactive_years=int(dates.get("inactividad_anios") or 2),
-            refresh_days=int((config.get("refresh") or {}).get("dias_umbral") or 7),
-            main_gb=float(sizes.get("gb_principal") or 10.0),
-            mid_gb=float(sizes.get("gb_mediano") or 1.0),
-            large_mb=int(sizes.get("mb_archivo_grande") or 100),
+            inactive_years=int(_given(dates, "inactividad_anios", 2)),
+            refresh_days=int(_given(config.get("refresh") or {}, "dias_umbral", 7)),
+            main_gb=float(_given(sizes, "gb_principal", 10.0)),
+            mid_gb=float(_given(sizes, "gb_mediano", 1.0)),
+            large_mb=int(_given(sizes, "mb_archivo_grande", 100)),
             root_url=client.get("sharepoint_url", ""),
             legacy_label=legacy.get("label") or c.LEGACY_LABEL,
             legacy_templates=tuple(legacy.get("templates") or c.LEGACY_TEMPLATES),
@@ -73,6 +90,11 @@ class Params:
         )
 
 
+def _given(settings: Mapping, name: str, default):
+    value = settings.get(name)
+    return default if value is None else value
+
+
 def check_weights(weights: Mapping[str, float]) -> None:
     """A weight profile names all six dimensions and sums to one."""
     if set(weights) != set(c.WEIGHTS):

@@ -17,7 +17,13 @@ SITE = "site_url"
 
 
 def measures(files: DataFrame) -> dict[str, Column]:
-    """What a cell knows about its rows; Spark drops what a query does not read."""
+    """What a cell knows about its rows; Spark drops what a query does not read.
+
+    Surveys of some ages lack the check-out mark and the depth: nobody holds a
+    file then, and the depth is 0.
+    """
+    held = F.col("checked_out") if "checked_out" in files.columns else F.lit(False)
+    depth = F.col("depth") if "depth" in files.columns else F.lit(0)
     known = {
         "n": F.count("*"),
         "files": F.count("file_name"),
@@ -26,12 +32,10 @@ def measures(files: DataFrame) -> dict[str, Column]:
         "inactive": F.count_if("is_inactive"),
         "first": F.min("modified_ts"),
         "last": F.max("modified_ts"),
+        "checked_out": F.count_if(held),
+        "depth_max": F.max(depth),
+        "depth_sum": F.sum(depth),
     }
-    if "checked_out" in files.columns:
-        known["checked_out"] = F.count_if("checked_out")
-    if "depth" in files.columns:
-        known["depth_max"] = F.max("depth")
-        known["depth_sum"] = F.sum("depth")
     return known
 
 

@@ -18,12 +18,11 @@ from corpus_health.operators import site
 from corpus_health.params import Params
 from corpus_health.plans import cells
 from corpus_health.plans.cells import SITE
+from corpus_health.plans.skew import top_k
 
-KEEP = {"modified_by": 20, "top_folder": 20, "ext": 15}
-KEEP_DUPLICATES, KEEP_LARGE, KEEP_POST = 15, 20, 50
-
+LIMITED = ["modified_by", "top_folder", "ext"]  # shown up to a number of rows, with their total
 WHOLE = ["category", "special", "year"]  # few values: shown without limit
-DIMS = [*WHOLE, *KEEP]
+DIMS = [*WHOLE, *LIMITED, "library"]  # libraries are only counted
 
 
 def site_report(
@@ -31,6 +30,8 @@ def site_report(
 ) -> DataFrame:
     """Profile, status and all limited sections of every site.
 
+    `params` says how many rows each limited list has; its total stands beside it
+    (`users`, `n_folders`, `n_extensions`, `n_duplicates`, `n_large`, `post`).
     Unlimited lists (oversize archives, checked-out files) are counted here and
     written as tables of their own. Land `site.duplicates` and pass it when it
     is needed again elsewhere.
@@ -38,19 +39,18 @@ def site_report(
     files = files.where(F.col(SITE).isNotNull())
     dups = site.duplicates(files) if duplicates is None else duplicates
     dup_totals = site.duplicate_totals(dups)
-    people = cells.cells(files, [SITE], ["library", "modified_by"])
-    distinct = people.groupBy(SITE).agg(
-        F.count_if(cells.known_in("library")).alias("libraries"),
-        F.count_if(cells.known_in("modified_by")).alias("users"),
-    )
-    report = _sections(files, params).join(distinct, SITE, "left")
+    found = _breakdowns(files, params)
+    report = _sections(found, files, params).join(_totals(found), SITE, "left")
+    groups = dup_totals.withColumn("n_duplicates", F.col("n_groups"))
     report = report.join(
-        dup_totals.select(SITE, "extra_files", "extra_bytes", "extra_gb"), SITE, "left"
+        groups.select(SITE, "extra_files", "extra_bytes", "extra_gb", "n_duplicates"), SITE, "left"
     )
+    report = report.withColumn("n_duplicates", F.coalesce("n_duplicates", F.lit(0).cast("bigint")))
+    listed = _listed_files(files, params)
     lists = {
-        "top_duplicates": site.top_duplicates(dups, KEEP_DUPLICATES),
-        "recent_post": site.site_recent_post(files, KEEP_POST),
-        "large_files": site.large_files(files, params.large_mb, KEEP_LARGE),
+        "top_duplicates": site.top_duplicates(dups, params.report_duplicates),
+        "recent_post": listed.where("kind = 'post'").drop("kind", "over_limit"),
+        "large_files": listed.where("kind = 'large'").drop("kind"),
     }
     for name, rows in lists.items():
         report = report.join(_as_array(rows, name), SITE, "left")
@@ -60,8 +60,38 @@ def site_report(
     return site.site_status(report)
 
 
-def _sections(files: DataFrame, params: Params) -> DataFrame:
-    """Totals of each site and its breakdowns as arrays."""
+def _listed_files(files: DataFrame, params: Params) -> DataFrame:
+    """The newest changed and the largest files of each site, as `site` has them, from one pass."""
+    large = F.col("size_bytes") > params.large_mb * 1024 * 1024
+    kinds = F.array_compact(F.array(F.when(F.col("is_post"), "post"), F.when(large, "large")))
+    rows = files.where(F.col("is_post") | large).select(SITE, *site.LISTING, F.explode(kinds).alias("kind"))
+    first = [
+        F.when(F.col("kind") == "large", F.col("size_bytes")).desc(),
+        F.when(F.col("kind") == "post", F.col("modified_ts")).desc(),
+    ]
+    order = [*first, *[F.col(name) for name in site.LISTING]]
+    most = max(params.report_post, params.report_large)
+    ranked = top_k(rows, [SITE, "kind"], order, most, hot=True)
+    kept = F.when(F.col("kind") == "post", params.report_post).otherwise(params.report_large)
+    return ranked.where(F.col("rank") <= kept).withColumn(
+        "over_limit", F.col("size_bytes") > c.MIGRATION_LIMIT_BYTES
+    )
+
+
+def _totals(found: DataFrame) -> DataFrame:
+    """How many values each dimension has in a site, and its large files."""
+    values = lambda dim: F.count_if(F.col("dim") == dim)
+    return found.groupBy(SITE).agg(
+        values("library").alias("libraries"),
+        values("modified_by").alias("users"),
+        values("top_folder").alias("n_folders"),
+        values("ext").alias("n_extensions"),
+        F.max(F.when(F.col("dim") == "site", F.col("large"))).alias("n_large"),
+    )
+
+
+def _breakdowns(files: DataFrame, params: Params) -> DataFrame:
+    """One cell for each value of each dimension in a site, and one for the site."""
     ext = F.nullif(F.col("ext"), F.lit(""))
     rows = files.withColumns(
         {
@@ -72,25 +102,36 @@ def _sections(files: DataFrame, params: Params) -> DataFrame:
         }
     )
     over = F.count_if(F.col("size_bytes") > c.MIGRATION_LIMIT_BYTES).alias("over")
+    large = F.count_if(F.col("size_bytes") > params.large_mb * 1024 * 1024).alias("large")
     aggs = [value.alias(name) for name, value in cells.measures(files).items()]
     dim = F.coalesce(*[F.when(F.grouping(d) == 0, F.lit(d)) for d in DIMS], F.lit("site"))
     sets = [[F.col(SITE), F.col(d)] for d in DIMS] + [[F.col(SITE)]]
     known = F.coalesce(*[F.col(d).cast("string") for d in DIMS]).isNotNull()
-    found = (
+    return (
         rows.groupingSets(sets, SITE, *DIMS)
-        .agg(dim.alias("dim"), over, *aggs)
+        .agg(dim.alias("dim"), over, large, *aggs)
         .where(known | (F.col("dim") == "site"))
     )
 
+
+def _sections(found: DataFrame, files: DataFrame, params: Params) -> DataFrame:
+    """Totals of each site and its breakdowns as arrays."""
+    keep = {
+        "modified_by": params.report_users,
+        "top_folder": params.report_folders,
+        "ext": params.report_exts,
+        "library": 0,
+    }
     # values of an unlimited dimension are groups of their own, so all rank first
     by_files = F.when(F.col("dim") == "modified_by", F.col("files")).otherwise(F.col("bytes"))
-    group = Window.partitionBy(SITE, "dim", *WHOLE).orderBy(F.desc(by_files), *KEEP)
+    group = Window.partitionBy(SITE, "dim", *WHOLE).orderBy(F.desc(by_files), *LIMITED)
     limit = F.lit(None)
-    for name, k in KEEP.items():
+    for name, k in keep.items():
         limit = F.when(F.col("dim") == name, k).otherwise(limit)
     trimmed = (
-        found.withColumn("rank", F.row_number().over(group))
-        .where(F.col("rank") <= max(KEEP.values()))
+        found.where("dim != 'library'")
+        .withColumn("rank", F.row_number().over(group))
+        .where(F.col("rank") <= max(1, *keep.values()))
         .where(F.coalesce(F.col("rank") <= limit, F.lit(True)))
     )
 

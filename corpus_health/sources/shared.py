@@ -2,31 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new folder for one run below the folder the cluster shares.
 
-    A local session without such a setting uses a temporary folder; a cluster
-    session without it is refused, since executors could not see the folder.
+    That is `spark.checkpoint.dir`, or the session's warehouse where it is not set.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="corpus-health-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give a source that arrives in fewer splits than cores to all cores.
-
-    One row group cannot be split, so a small table would be processed by one
-    task. A large source has splits enough and is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df

@@ -12,12 +12,15 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from corpus_health.params import Params
-from corpus_health.sources.shared import spread
+from corpus_health.sources.shared import work_dir
 
 PARAMS = Params(migrated_at=datetime(1999, 7, 1), as_of=datetime(2001, 11, 5))
 
 BASE_TABLES = ["customer", "lineitem", "orders", "supplier"]
 
+#: Files that the large table is landed in, whatever its size.
+LINE_FILES = 16
+
 VIEWS: dict[str, str] = {}
 
 # The views of FIXTURES.md; artifacts has its two versions as a union.
@@ -125,6 +128,26 @@ UNION ALL SELECT site_url, 'svc_it' AS owner FROM sites WHERE has_retention
 UNION ALL SELECT site_url, 'user_3' AS owner FROM sites WHERE is_hub
 UNION ALL SELECT site_url, 'user_4' AS owner FROM sites WHERE lock_state = 'ReadOnly'
 """
+# Sites without any file, and sites with a few plain files only.
+VIEWS["visited_sites"] = """
+SELECT site, site_url FROM sites UNION ALL SELECT site, site_url FROM subsites
+"""
+VIEWS["more_files"] = """
+SELECT * FROM files
+UNION ALL SELECT site, site_url, 'Documents' AS library, 'Documents/Plain' AS folder,
+  CASE WHEN template LIKE 'STS%' THEN 'book.xlsb' WHEN template LIKE 'GROUP%' THEN 'clip.mp4' ELSE 'plan.docx' END AS file_name,
+  cast(1000 AS bigint) AS size_bytes, last_activity_ts AS created_ts, last_activity_ts AS modified_ts,
+  'user_1' AS created_by, 'user_1' AS modified_by, false AS checked_out, cast(1 AS int) AS survey_no,
+  concat(replace(site_url, 'https://tenant.example', ''), '/Documents/Plain/', site) AS path
+FROM subsites
+"""
+# Runs of each survey; the newest one of some sites did not come to its end.
+VIEWS["runs"] = """
+SELECT concat('https://tenant.example/sites/s', cast(s_suppkey AS string)) AS site_url, cast(v AS int) AS survey_no,
+  CASE WHEN v = 2 AND s_suppkey % 3 = 0 THEN 'ErrorConexion' WHEN s_suppkey % 10 = 9 THEN 'SinArchivos' ELSE 'OK' END AS status
+FROM (SELECT s_suppkey, 0 AS v FROM supplier UNION ALL SELECT s_suppkey, 1 AS v FROM supplier
+  UNION ALL SELECT s_suppkey, 2 AS v FROM supplier) x
+"""
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -135,12 +158,26 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in BASE_TABLES if f" {t}" in used
     }
     if "lineitem" in tables:
-        tables["lineitem"] = spread(tables["lineitem"], "l_orderkey", "l_linenumber")
+        tables["lineitem"] = spark.read.parquet(_landed_lines(spark, sf_dir))
     ctes = [f"{t} AS (SELECT * FROM {{{t}}})" for t in tables]
     ctes += [f"{view} AS ({VIEWS[view]})" for view in views if view != name]
     return spark.sql(f"WITH {', '.join(ctes)} {VIEWS[name]}", **tables)
 
 
+_landed: dict[tuple[str, str], str] = {}
+
+
+def _landed_lines(spark: SparkSession, sf_dir: str) -> str:
+    """The large table with as many files as tasks should read it; the given one is a single row group."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _landed:
+        folder = work_dir(spark, "lineitem")
+        lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+        lines.repartition(LINE_FILES, "l_orderkey", "l_linenumber").write.parquet(folder)
+        _landed[key] = folder
+    return _landed[key]
+
+
 def needed(name: str) -> list[str]:
     """The view and the views below it, in order."""
     found = {name}

@@ -6,7 +6,7 @@ from conftest import collect
 from corpus_health.operators import clean
 from corpus_health.schemas import SURVEY_COLUMNS
 from corpus_health.sources import sinks, surveys
-from corpus_health.sources.shared import spread, work_dir
+from corpus_health.sources.shared import work_dir
 
 HEADER = list(SURVEY_COLUMNS)
 ROW = {
@@ -96,7 +96,23 @@ def test_shared_folder_comes_from_the_session(spark):
     assert one != two and one.startswith(base)
 
 
-def test_only_small_sources_are_spread(spark):
-    small, large = spark.range(8, numPartitions=1), spark.range(8, numPartitions=16)
-    assert spread(small, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread(large, "id") is large
+def test_shared_folder_is_the_warehouse_where_none_is_set(spark):
+    base = spark.conf.get("spark.checkpoint.dir")
+    spark.conf.unset("spark.checkpoint.dir")
+    try:
+        unset = spark.conf.get("spark.checkpoint.dir", None) is None
+        if unset:
+            assert work_dir(spark, "x").startswith(spark.conf.get("spark.sql.warehouse.dir"))
+    finally:
+        spark.conf.set("spark.checkpoint.dir", base)
+
+
+def test_files_that_cannot_be_read_are_listed(spark, folder):
+    from pathlib import Path
+
+    (Path(folder) / "Cl_B_Docs_None_20210105_080000.csv").write_text("")
+    found = {r.path.rsplit("/", 1)[1]: r.problem for r in surveys.bad_files(spark, folder).collect()}
+    assert found == {
+        "Cl_B_Docs_Bad_20210104_080000.csv": "missing columns: Sitio, URL_Sitio, Biblioteca",
+        "Cl_B_Docs_None_20210105_080000.csv": "no lines",
+    }
