@@ -1527,9 +1527,19 @@ def st1_stream_files(e):
 @query("SELECT * FROM latest", ("latest",))
 def st2_stream_latest(e):
     out = e.folder("st2")
-    latest = streams.stream_latest(_stream(e))
-    _finish(streams.write_latest(latest, f"{out}/changes", f"{out}/checkpoint"))
-    return streams.read_latest(e.spark, f"{out}/changes")
+    _finish(streams.stream_snapshot(_stream(e), out, f"{out}/checkpoint", buckets=16))
+    return streams.read_snapshot(e.spark, out)
+
+
+@query(
+    """SELECT * FROM latest WHERE (site_url, survey_no) IN
+  (SELECT (site_url, max(survey_no)) FROM files GROUP BY site_url)""",
+    ("latest", "files"),
+)
+def st2_stream_latest_without_missing(e):
+    out = e.folder("st2")
+    _finish(streams.stream_snapshot(_stream(e), out, f"{out}/checkpoint", drop_missing=True, buckets=16))
+    return streams.read_snapshot(e.spark, out)
 
 
 METRICS = ["files", "gb", "post", "users", "recommendation"]
@@ -1550,7 +1560,7 @@ def st3_stream_site_metrics(e):
             _stream(e), e.sites, e.table("accounts"), PARAMS, out, f"{out}/checkpoint", buckets=16
         )
     )
-    metrics = e.spark.read.parquet(f"{out}/metrics")
+    metrics = streams.read_metrics(e.spark, out)
     return metrics.select("site_url", *METRICS, "health", "maturity")
 
 

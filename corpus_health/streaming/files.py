@@ -6,7 +6,7 @@ overwrites exactly what its first attempt wrote.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -15,8 +15,6 @@ from corpus_health.operators import clean, health, refresh, tenant
 from corpus_health.params import Params
 from corpus_health.schemas import FILES
 
-KEYS = ["site_url", "path"]
-
 
 def stream_files(
     spark: SparkSession,
@@ -39,38 +37,36 @@ def land(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     )
 
 
-def stream_latest(stream: DataFrame, version: str = "survey_no") -> DataFrame:
-    """Running newest row of each file.
-
-    A late older row loses against the kept one, so no watermark is needed and
-    state grows with live files only; keep it in the RocksDB state store.
-    """
-    rest = [name for name in stream.columns if name not in (*KEYS, version)]
-    newest = F.max(F.struct(version, *rest)).alias("row")
-    return stream.groupBy(*KEYS).agg(newest).select(*KEYS, "row.*")
+def stream_snapshot(
+    stream: DataFrame,
+    out: str,
+    checkpoint: str,
+    version: str = "survey_no",
+    drop_missing: bool = False,
+    buckets: int = 64,
+) -> StreamingQuery:
+    """Keep the newest row of each file current; `read_snapshot` reads it.
 
+    The live rows lie in buckets of sites. A batch reads the live rows of the buckets
+    it touches, merges its own into them as `refresh.latest_snapshot` would over the
+    whole history, and writes these buckets anew under its number. So its cost depends
+    on the live rows of the sites it touches and not on what came before, and there is
+    no state besides the snapshot. A late older row loses against the kept one. With
+    `drop_missing` a file that the newest survey of its site no longer lists is gone.
 
-def write_latest(latest: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Append the changed files of every batch; `read_latest` keeps the last change."""
+    Choose `buckets` so that one holds what a few tasks can merge; it stays for the
+    life of `out`. A bucket is merged as a distributed job, a large site in it is no limit.
+    """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+    def update(batch: DataFrame, batch_id: int) -> None:
+        _merge(batch, batch_id, out, version, drop_missing, buckets)
 
-    return (
-        latest.writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(write)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return _run(stream, update, checkpoint)
 
 
-def read_latest(spark: SparkSession, out: str) -> DataFrame:
-    """The live snapshot from the change batches."""
-    changes = spark.read.parquet(out)
-    last = Window.partitionBy(*KEYS).orderBy(F.desc("batch_id"))
-    newest = changes.withColumn("_n", F.row_number().over(last)).where("_n = 1")
-    return newest.drop("_n", "batch_id")
+def read_snapshot(spark: SparkSession, out: str) -> DataFrame:
+    """The live rows: of each bucket what the last batch that touched it wrote."""
+    return _live(spark, f"{out}/live").drop("bucket", "batch_id")
 
 
 def stream_site_metrics(
@@ -80,47 +76,33 @@ def stream_site_metrics(
     params: Params,
     out: str,
     checkpoint: str,
+    version: str = "survey_no",
+    drop_missing: bool = False,
     buckets: int = 64,
 ) -> StreamingQuery:
-    """Keep summary and health index of every site current.
+    """Keep the snapshot, and summary and health index of every site, current.
 
-    A batch is landed under its number, then snapshot and metrics of the site
-    buckets it touched are rebuilt from landed files and replace those buckets
-    only. A bucket is rebuilt as a distributed job, so a large site in it is no
-    limit.
+    After the snapshot's buckets, the metrics of the sites in them are made anew and
+    replace those buckets of the metrics.
     """
 
     def update(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.withColumn("bucket", site_bucket(buckets))
-        rows.hint("rebalance", "bucket").write.partitionBy("bucket").mode(
-            "overwrite"
-        ).parquet(f"{out}/files/batch_id={batch_id}")
-        landed = spark.read.parquet(f"{out}/files")
-        touched = (  # at most `buckets` numbers, from directory names
-            landed.where(F.col("batch_id") == batch_id).select("bucket").distinct().collect()
-        )
-        numbers = [row["bucket"] for row in touched]
+        numbers = _merge(batch, batch_id, out, version, drop_missing, buckets)
         if not numbers:
             return
-        of_touched = F.col("bucket").isin(numbers)
-        latest = refresh.latest_snapshot(landed.where(of_touched).select(*batch.columns))
-        replace(latest, "latest")  # written once, read by every part of the metrics
-        live = spark.read.parquet(f"{out}/latest").where(of_touched).drop("bucket")
-        own = sites.where(site_bucket(buckets).isin(numbers))
-        replace(site_metrics(live, own, accounts, params), "metrics")
-
-    def replace(rows: DataFrame, name: str) -> None:
-        """Overwrite the buckets the rows belong to, and no others."""
-        (
-            rows.withColumn("bucket", site_bucket(buckets))
-            .hint("rebalance", "bucket")
-            .write.partitionBy("bucket")
-            .mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .parquet(f"{out}/{name}")
-        )
+        touched = F.col("bucket").isin(numbers)
+        mine = batch.sparkSession.read.parquet(*[f"{out}/live/bucket={n}/batch_id={batch_id}" for n in numbers])
+        own = sites.withColumn("bucket", site_bucket(buckets)).where(touched).drop("bucket")
+        _write(site_metrics(mine, own, accounts, params), f"{out}/metrics", batch_id, buckets)
+
+    return _run(stream, update, checkpoint)
+
 
+def read_metrics(spark: SparkSession, out: str) -> DataFrame:
+    return _live(spark, f"{out}/metrics").drop("bucket", "batch_id")
+
+
+def _run(stream: DataFrame, update, checkpoint: str) -> StreamingQuery:
     return (
         stream.writeStream.option("checkpointLocation", checkpoint)
         .foreachBatch(update)
@@ -129,6 +111,86 @@ def stream_site_metrics(
     )
 
 
+def _merge(
+    batch: DataFrame, batch_id: int, out: str, version: str, drop_missing: bool, buckets: int
+) -> list[int]:
+    """Merge a batch into the live rows; the buckets it touched.
+
+    A batch that runs again finds the state before it, since it reads only what
+    earlier batches wrote, and overwrites its own.
+    """
+    spark = batch.sparkSession
+    landed = f"{out}/batches/batch_id={batch_id}"
+    rows = batch.withColumn("bucket", site_bucket(buckets))
+    rows.hint("rebalance", "bucket").write.partitionBy("bucket").mode("overwrite").parquet(landed)
+    numbers = sorted(_versions(spark, landed))  # from folder names: at most `buckets`
+    if not numbers:
+        return []
+    before = _current(spark, f"{out}/live", batch_id)
+    new = spark.read.schema(batch.schema).parquet(*[f"{landed}/bucket={n}" for n in numbers])
+    old = [f"{out}/live/bucket={n}/batch_id={before[n]}" for n in numbers if n in before]
+    if old:
+        new = new.unionByName(spark.read.schema(batch.schema).parquet(*old))
+    latest = refresh.latest_snapshot(new, version, drop_missing)
+    _write(latest, f"{out}/live", batch_id, buckets)
+    _delete(spark, f"{out}/batches/batch_id={batch_id - 1}")  # merged, and its checkpoint is written
+    return numbers
+
+
+def _write(rows: DataFrame, path: str, batch_id: int, buckets: int) -> None:
+    """The rows' buckets as this batch leaves them; older ones are no longer read and go."""
+    spark = rows.sparkSession
+    numbered = rows.withColumns({"bucket": site_bucket(buckets), "batch_id": F.lit(batch_id)})
+    (
+        numbered.hint("rebalance", "bucket")
+        .write.partitionBy("bucket", "batch_id")
+        .mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .parquet(path)
+    )
+    # the state before this batch stays for the case that it runs again
+    for bucket, versions in _versions(spark, path).items():
+        done = sorted(v for v in versions if v < batch_id)
+        for v in done[:-1]:
+            _delete(spark, f"{path}/bucket={bucket}/batch_id={v}")
+
+
+def _current(spark: SparkSession, path: str, before: int | None = None) -> dict[int, int]:
+    """The last batch that wrote each bucket, of those under the given number."""
+    found = {b: [v for v in vs if before is None or v < before] for b, vs in _versions(spark, path).items()}
+    return {b: max(vs) for b, vs in found.items() if vs}
+
+
+def _live(spark: SparkSession, path: str) -> DataFrame:
+    folders = [f"{path}/bucket={b}/batch_id={v}" for b, v in sorted(_current(spark, path).items())]
+    return spark.read.option("basePath", path).parquet(*folders)
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def _versions(spark: SparkSession, path: str) -> dict[int, list[int]]:
+    """Batches by bucket, from the folder names below the path."""
+    fs, at = _file_system(spark, path)
+    if not fs.exists(at):
+        return {}
+    out: dict[int, list[int]] = {}
+    for bucket in fs.listStatus(at):
+        name = bucket.getPath().getName()
+        if name.startswith("bucket="):
+            inner = [f.getPath().getName() for f in fs.listStatus(bucket.getPath())]
+            out[int(name[7:])] = [int(n[9:]) for n in inner if n.startswith("batch_id=")]
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, at = _file_system(spark, path)
+    fs.delete(at, True)
+
+
 def site_bucket(buckets: int):
     return F.pmod(F.xxhash64("site_url"), F.lit(buckets).cast("bigint")).cast("int")
 

@@ -96,23 +96,38 @@ def test_shared_folder_comes_from_the_session(spark):
     assert one != two and one.startswith(base)
 
 
-def test_shared_folder_is_the_warehouse_where_none_is_set(spark):
-    base = spark.conf.get("spark.checkpoint.dir")
-    spark.conf.unset("spark.checkpoint.dir")
-    try:
-        unset = spark.conf.get("spark.checkpoint.dir", None) is None
-        if unset:
-            assert work_dir(spark, "x").startswith(spark.conf.get("spark.sql.warehouse.dir"))
-    finally:
-        spark.conf.set("spark.checkpoint.dir", base)
+def test_shared_folder_is_the_warehouse_where_none_is_set():
+    class Session:
+        class conf:
+            get = staticmethod({"spark.sql.warehouse.dir": "/house/"}.get)
 
+    assert work_dir(Session, "x").startswith("/house/x-")
 
-def test_files_that_cannot_be_read_are_listed(spark, folder):
-    from pathlib import Path
 
-    (Path(folder) / "Cl_B_Docs_None_20210105_080000.csv").write_text("")
+def test_files_that_cannot_be_read_are_listed(spark, folder):
     found = {r.path.rsplit("/", 1)[1]: r.problem for r in surveys.bad_files(spark, folder).collect()}
-    assert found == {
-        "Cl_B_Docs_Bad_20210104_080000.csv": "missing columns: Sitio, URL_Sitio, Biblioteca",
-        "Cl_B_Docs_None_20210105_080000.csv": "no lines",
-    }
+    assert found == {"Cl_B_Docs_Bad_20210104_080000.csv": "missing columns: Sitio, URL_Sitio, Biblioteca"}
+
+
+def test_landing_again_changes_nothing(spark, frame, tmp_path):
+    out, ddl = str(tmp_path / "out"), "site_url string, path string, survey_date string"
+    for _ in range(2):
+        sinks.write_files(frame(ddl, ("a", "p", "2021-01-01"), ("b", "q", "2021-01-02")), out)
+    sinks.write_files(frame(ddl, ("a", "r", "2021-01-01")), out)
+    assert collect(spark.read.parquet(out), "site_url", "path") == [("a", "r"), ("b", "q")]
+
+
+def test_zero_in_the_configuration_stays():
+    from corpus_health import Params
+
+    client = {"cliente": {"nombre": "a", "tenant_prefix": "b", "carpeta_local": "c"}}
+    zeros = Params.from_config(
+        client
+        | {"fechas": {"inactividad_anios": 0}, "refresh": {"dias_umbral": 0}}
+        | {"clasificacion": {"gb_principal": 0, "gb_mediano": 0, "mb_archivo_grande": 0}}
+    )
+    assert (zeros.inactive_years, zeros.refresh_days, zeros.main_gb, zeros.mid_gb, zeros.large_mb) == (0, 0, 0, 0, 0)
+    plain = Params.from_config(client | {"fechas": {"inactividad_anios": None}})
+    assert (plain.inactive_years, plain.refresh_days, plain.large_mb) == (2, 7, 100)
+    with pytest.raises(ValueError, match="as_of"):
+        plain.today

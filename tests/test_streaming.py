@@ -31,13 +31,49 @@ def test_live_snapshot_in_any_order(spark, frame, tmp_path, order):
     landed, out = str(tmp_path / "landed"), str(tmp_path / "out")
     for n in order:
         frame(FILES, *BATCHES[n]).write.mode("append").parquet(landed)
-        latest = streams.stream_latest(streams.stream_files(spark, landed))
-        streams.write_latest(latest, out, str(tmp_path / "cp")).awaitTermination()
+        stream = streams.stream_files(spark, landed)
+        streams.stream_snapshot(stream, out, str(tmp_path / "cp"), buckets=4).awaitTermination()
     every = frame(FILES, *itertools.chain(*BATCHES))
-    live = streams.read_latest(spark, out).select(*every.columns)
+    live = streams.read_snapshot(spark, out).select(*every.columns)
     assert collect(live) == collect(refresh.latest_snapshot(every))
 
 
+def test_deleted_files_leave_snapshot_and_metrics(spark, frame, params, tmp_path):
+    landed, out, cp = (str(tmp_path / n) for n in ("landed", "out", "cp"))
+    sites = frame(SITES, *[(s, f"https://t/sites/{s}", True, None, "ann", "Disabled", True) for s in "abc"])
+    accounts = frame("account string, enabled boolean, is_generic boolean", ("ann", True, False))
+    for n, batch in enumerate(BATCHES):
+        frame(FILES, *batch).write.mode("append").parquet(landed)
+        stream = streams.stream_files(spark, landed)
+        query = streams.stream_site_metrics(
+            stream, sites, accounts, params, out, cp, drop_missing=True, buckets=2
+        )
+        query.awaitTermination()
+        so_far = frame(FILES, *itertools.chain(*BATCHES[: n + 1]))
+        want = refresh.latest_snapshot(so_far, drop_missing=True)
+        live = streams.read_snapshot(spark, out).select(*so_far.columns)
+        assert collect(live) == collect(want)
+        metrics = streams.site_metrics(want, sites, accounts, params)
+        got = streams.read_metrics(spark, out)
+        assert collect(got, "site", "files", "bytes", "health") == collect(metrics, "site", "files", "bytes", "health")
+    assert ("a", 2) in collect(got, "site", "files")  # y.doc is gone
+
+
+def test_a_batch_reads_live_rows_and_not_the_history(spark, frame, tmp_path):
+    """Five surveys of the same files: what there is to read does not grow."""
+    landed, out, cp = (str(tmp_path / n) for n in ("landed", "out", "cp"))
+    sizes = []
+    for survey in range(5):
+        frame(FILES, *[row("a", f"f{i}.pdf", survey, i) for i in range(50)]).write.mode("append").parquet(landed)
+        stream = streams.stream_files(spark, landed)
+        streams.stream_snapshot(stream, out, cp, buckets=2).awaitTermination()
+        live = streams.read_snapshot(spark, out)
+        assert live.count() == 50
+        kept = list((tmp_path / "out").rglob("*.parquet"))
+        sizes.append((len(live.inputFiles()), len(kept)))
+    assert sizes[2][0] == sizes[4][0] and sizes[2][1] == sizes[4][1]
+
+
 def test_site_metrics_follow_the_batches(spark, frame, params, tmp_path):
     landed, out, cp = (str(tmp_path / n) for n in ("landed", "out", "cp"))
     sites = frame(SITES, *[(s, f"https://t/sites/{s}", True, None, "ann", "Disabled", True) for s in "abc"])
@@ -46,7 +82,7 @@ def test_site_metrics_follow_the_batches(spark, frame, params, tmp_path):
     def update():
         stream = streams.stream_files(spark, landed)
         streams.stream_site_metrics(stream, sites, accounts, params, out, cp, buckets=4).awaitTermination()
-        return collect(spark.read.parquet(f"{out}/metrics"), "site", "files", "bytes", "health")
+        return collect(streams.read_metrics(spark, out), "site", "files", "bytes", "health")
 
     for n, batch in enumerate(BATCHES):
         frame(FILES, *batch).write.mode("append").parquet(landed)
@@ -63,8 +99,8 @@ def test_replayed_batch_changes_nothing(spark, frame, params, tmp_path):
     frame(FILES, *BATCHES[0]).write.parquet(landed)
     for attempt in ("cp1", "cp2"):
         stream = streams.stream_files(spark, landed)
-        streams.write_latest(streams.stream_latest(stream), out, str(tmp_path / attempt)).awaitTermination()
-    assert streams.read_latest(spark, out).count() == 3
+        streams.stream_snapshot(stream, out, str(tmp_path / attempt)).awaitTermination()
+    assert streams.read_snapshot(spark, out).count() == 3
 
 
 def test_landed_rows_arrive_once(spark, frame, tmp_path):
