@@ -20,7 +20,7 @@ from corpus_health.operators import (
     clean, debt, health, inventory, portfolio, refresh, site, tenant,
 )
 from corpus_health.plans import report
-from corpus_health.schemas import SURVEY_COLUMNS
+from corpus_health.schemas import INVENTORY_COLUMNS, RUN_COLUMNS, SURVEY_COLUMNS
 from corpus_health.sources import inventory as inventory_runs
 from corpus_health.sources import listing, sinks, surveys
 from corpus_health.sources.shared import work_dir
@@ -425,6 +425,31 @@ def i4_latest_inventory(e):
     return inventory_runs.latest_inventory(e.table("inventory_runs"))
 
 
+def _as_csv(rows: DataFrame, columns: dict[str, str], path: str) -> None:
+    """Rows as the scripts write them: their names, days, Sí and No, empty for NULL."""
+    plain = {"timestamp_ntz": lambda x: F.date_format(x, "yyyy-MM-dd"), "boolean": lambda x: F.when(x, c.YES).otherwise("No")}
+    kinds = dict(rows.dtypes)
+    cells = []
+    for theirs, ours in columns.items():
+        value = F.col(ours) if ours in kinds else F.lit("")
+        cells.append(plain.get(kinds.get(ours), lambda x: x.cast("string"))(value).alias(theirs))
+    rows.select(*cells).write.options(header=True, quoteAll=True, escape='"').csv(path)
+
+
+@query(
+    """SELECT site, site_url, site_class, site_type, template, is_hub, hub_id, storage_gb, storage_mb, owner,
+  sharing, lock_state, last_activity_ts, TIMESTAMP '2001-11-04 08:00:00' AS run_ts FROM inventory""",
+    ("inventory",),
+)
+def i4_read_inventory(e):
+    """Two inventories of a client whose name has a space; the newest one's sites."""
+    folder = e.folder("inventories")
+    for stamp, rows in {"20011101_080000": e.inventory.where("is_hub"), "20011104_080000": e.inventory}.items():
+        _as_csv(rows, INVENTORY_COLUMNS, f"{folder}/My_Client_A_Inventario_Sitios_{stamp}.csv")
+    runs = inventory_runs.read_inventory(e.spark, folder, "My Client")
+    return inventory_runs.latest_inventory(runs).drop("has_group", "created_ts", "survey_flag")
+
+
 @query(
     f"""SELECT site, site_url, library, path, folder, file_name, ext, {CATEGORY} AS category, size_bytes,
   round_even(size_bytes / 1024e0, 1) AS size_kb, round_even(size_bytes / 1048576e0, 2) AS size_mb,
@@ -618,6 +643,16 @@ def n3_site_columns(e):
     return e.inventory
 
 
+@query(
+    f"""SELECT i.*, group_id IS NOT NULL AND group_id <> '{c.NO_ID}' AS has_group, CAST(NULL AS VARCHAR) AS survey_flag,
+  created_ts FROM inventory i JOIN (SELECT site_url, group_id, created_ts FROM grouped_sites) USING (site_url)""",
+    ("inventory", "grouped_sites"),
+)
+def n3_site_columns_of_groups(e):
+    typed = inventory.site_class(inventory.site_type(e.table("grouped_sites")))
+    return inventory.site_columns(typed).drop("group_id")
+
+
 @query(
     f"""SELECT site, site_url, site_class, site_type, template, is_hub, lock_state, last_activity_ts, storage_gb, owner
 FROM inventory UNION ALL
@@ -799,6 +834,17 @@ def r5_run_summary(e):
     return refresh.run_summary(_runs(e))
 
 
+@query(
+    f"""SELECT run_order, site_url, status, files, TIMESTAMP '2001-11-05 12:00:00' AS surveyed_ts FROM ({RUNS})""",
+    ("surveys", "files"),
+)
+def r5_read_runs(e):
+    folder = e.folder("runs")
+    _as_csv(_runs(e), RUN_COLUMNS, f"{folder}/Client_B_Masivo_Resumen_20011105_120000.csv")
+    runs = inventory_runs.read_runs(e.spark, folder, "Client")
+    return runs.select("run_order", "site_url", "status", "files", "surveyed_ts")
+
+
 @query(
     f"SELECT site_url, status, run_order, files FROM ({RUNS}) WHERE status LIKE 'Error%'",
     ("surveys", "files"),
@@ -991,6 +1037,19 @@ def x5_priority_list(e):
     return portfolio.priority_list(e.table("reports"), e.summary, e.table("artifacts"))
 
 
+PRIORITY = (("Supplier#000000003", "three.html", "hub-3"), ("nobody", "none.html", ""), ("Supplier#000000001", "one.html", "hub-1"))
+
+
+@query(
+    """SELECT * FROM (SELECT 0 AS ordinal, 'Supplier#000000003' AS site, 'three.html' AS artifact, 'hub-3' AS destination
+  UNION ALL SELECT 2, 'Supplier#000000001', 'one.html', 'hub-1') JOIN (SELECT site, site_url FROM sites) USING (site)""",
+    ("sites",),
+)
+def x5_priority_reports(e):
+    listed = portfolio.priority_reports(e.sites, PARAMS.with_(priority_reports=PRIORITY))
+    return listed.join(e.sites.select("site", "site_url"), "site_url")
+
+
 @query(
     f"""SELECT {BAND} AS band, site, site_url, gb, files, pct_post, last_modified, recommendation, report_kind, report
 FROM coverage WHERE NOT ({BAND} = 'main' AND coalesce(report_kind, '') LIKE 'prioritario%')""",
@@ -1280,6 +1339,16 @@ def h1_score_ownership(e):
     return health.score_ownership(e.sites, e.table("accounts"))
 
 
+@query(
+    f"""SELECT site_url, CASE WHEN s.owner IS NULL AND site_url IN
+    (SELECT site_url FROM members JOIN accounts ON member = account WHERE enabled) THEN 50e0 ELSE {POINTS} END AS ownership
+FROM sites s LEFT JOIN accounts ON owner = account""",
+    ("sites", "accounts", "members"),
+)
+def h1_score_ownership_members(e):
+    return health.score_ownership(e.sites, e.table("accounts"), members=e.table("members"))
+
+
 @query(
     f"""SELECT site_url, max({POINTS}) AS ownership FROM owners LEFT JOIN accounts ON owner = account GROUP BY site_url""",
     ("owners", "accounts"),

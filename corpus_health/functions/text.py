@@ -117,3 +117,8 @@ def slug(name: Column, maxlen: int) -> Column:
     """Name usable in a file name; for display, never a key."""
     safe = F.regexp_replace(F.regexp_replace(name, "[^a-zA-Z0-9_-]", "_"), "_+", "_")
     return F.substring(safe, 1, maxlen)
+
+
+def client_prefix(name: str) -> str:
+    """A client's name as it stands in file names."""
+    return name.replace(" ", "_").replace(".", "_")

@@ -24,27 +24,36 @@ DIMENSIONS = tuple(c.WEIGHTS)
 
 
 def score_ownership(
-    sites: DataFrame, accounts: DataFrame, owners: DataFrame | None = None
+    sites: DataFrame,
+    accounts: DataFrame,
+    owners: DataFrame | None = None,
+    members: DataFrame | None = None,
 ) -> DataFrame:
     """100 with an enabled personal owner, 50 with only shared ones, else 0.
 
-    `owners` lists (site_url, owner) when a site may have several.
+    `owners` lists (site_url, owner) when a site may have several. `members` lists
+    (site_url, member): a site without any owner has 50 if a member is enabled.
     """
     owners = sites.select("site_url", "owner") if owners is None else owners
-    known = accounts.select(F.col("account").alias("owner"), "enabled", "is_generic")
+    # an account listed more than once counts by its best line
+    known = accounts.groupBy(F.col("account").alias("owner")).agg(
+        F.bool_or("enabled").alias("enabled"),
+        F.bool_or(F.col("enabled") & ~F.col("is_generic")).alias("personal"),
+    )
     points = (
-        F.when(F.col("enabled") & ~F.col("is_generic"), 100)
-        .when(F.col("enabled") & F.col("is_generic"), 50)
-        .otherwise(0)
+        F.when(F.col("personal"), 100).when(F.col("enabled"), 50).otherwise(0)
     )
+    named = owners.where(F.nullif(F.col("owner"), F.lit("")).isNotNull())
     best = (
-        owners.join(known, "owner", "left").groupBy("site_url").agg(F.max(points).alias("ownership"))
-    )
-    return (
-        sites.select("site_url")
-        .join(best, "site_url", "left")
-        .select("site_url", F.coalesce("ownership", F.lit(0)).cast("double").alias("ownership"))
+        named.join(known, "owner", "left").groupBy("site_url").agg(F.max(points).alias("ownership"))
     )
+    scored = sites.select("site_url").join(best, "site_url", "left")
+    if members is not None:
+        enabled = known.where("enabled").select(F.col("owner").alias("member"))
+        peopled = members.join(enabled, "member").groupBy("site_url").agg(F.lit(50).alias("_peopled"))
+        scored = scored.join(peopled, "site_url", "left")
+        scored = scored.withColumn("ownership", F.coalesce("ownership", "_peopled"))
+    return scored.select("site_url", F.coalesce("ownership", F.lit(0)).cast("double").alias("ownership"))
 
 
 def architecture(name_patterns: Iterable[str] = ()) -> Column:

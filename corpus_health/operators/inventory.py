@@ -47,7 +47,18 @@ def site_class(
 
 
 def site_columns(sites: DataFrame) -> DataFrame:
-    """Inventory columns in reporting form."""
+    """Inventory columns in reporting form.
+
+    A site with `group_id` tells whether it has a group (`has_group`), and one with
+    `created_ts` the day it was made. `survey_flag` is for people to fill in.
+    """
+    more = {}
+    if "group_id" in sites.columns:
+        more["has_group"] = _given_id("group_id").isNotNull()
+    if "created_ts" in sites.columns:
+        more["created_ts"] = F.date_trunc("day", F.col("created_ts")).cast("timestamp_ntz")
+    if more and "survey_flag" not in sites.columns:
+        more["survey_flag"] = F.lit(None).cast("string")
     mb = F.col("storage_mb")
     lock = F.col("lock_state")
     return sites.withColumns(
@@ -56,6 +67,7 @@ def site_columns(sites: DataFrame) -> DataFrame:
             "storage_mb": half_even(mb, 0),
             "owner": F.coalesce(F.nullif(F.col("owner"), F.lit("")), F.lit(c.NO_OWNER)),
             "hub_id": _given_id("hub_id"),
+            **more,
             "lock_state": F.when(text.same_text(lock, c.UNLOCKED), F.lit(c.NOT_LOCKED)).otherwise(
                 lock
             ),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpus_health import constants as c
+from corpus_health.params import Params
 from corpus_health.functions.measures import big_sum, gb, pct
 
 
@@ -108,3 +109,20 @@ def _with_existence(reports: DataFrame, artifacts: DataFrame) -> DataFrame:
     return reports.join(written, "artifact", "left").withColumn(
         "exists", F.coalesce("exists", F.lit(False))
     )
+
+
+def priority_reports(sites: DataFrame, params: Params) -> DataFrame:
+    """The configured reports by site: ordinal, site_url, artifact, destination.
+
+    Sites are matched by name. The list is configuration, so it becomes a literal in
+    the plan; a name that no site has is not in the result.
+    """
+    entries = [
+        F.struct(F.lit(i).alias("ordinal"), F.lit(s).alias("site"), F.lit(a).alias("artifact"), F.lit(d).alias("destination"))
+        for i, (s, a, d) in enumerate(params.priority_reports)
+    ]
+    none = F.array().cast("array<struct<ordinal: int, site: string, artifact: string, destination: string>>")
+    listed = F.array(*entries) if entries else none
+    mine = F.filter(listed, lambda p: p["site"] == F.col("site"))
+    found = sites.select("site_url", F.explode(mine).alias("p"))
+    return found.select("p.ordinal", "site_url", "p.artifact", "p.destination")

@@ -35,6 +35,8 @@ class Params:
     junk_folders: tuple[str, ...] = tuple(c.JUNK_FOLDERS)
     binary_exts: tuple[str, ...] = ()
     weights: Mapping[str, float] = field(default_factory=lambda: dict(c.WEIGHTS))
+    # reports named in the configuration, in its order: site, artifact, destination
+    priority_reports: tuple[tuple[str, str, str], ...] = ()
     # rows of the limited lists of a site report; each list's total is reported beside it
     report_users: int = 20
     report_folders: int = 20
@@ -87,6 +89,10 @@ class Params:
             legacy_prefixes=tuple(legacy.get("prefijos") or ()),
             excluded_ids=tuple(site["id"] for site in config.get("sitios_excluidos") or ()),
             channel_prefixes=tuple(config.get("canales_excluidos") or ()),
+            priority_reports=tuple(
+                (p.get("sitio", ""), p.get("archivo_html", ""), p.get("destino", ""))
+                for p in config.get("informes_prioritarios") or ()
+            ),
         )
 
 

@@ -128,6 +128,17 @@ UNION ALL SELECT site_url, 'svc_it' AS owner FROM sites WHERE has_retention
 UNION ALL SELECT site_url, 'user_3' AS owner FROM sites WHERE is_hub
 UNION ALL SELECT site_url, 'user_4' AS owner FROM sites WHERE lock_state = 'ReadOnly'
 """
+VIEWS["members"] = """
+SELECT site_url, concat('user_', cast(length(site) % 60 AS string)) AS member FROM sites WHERE owner IS NULL AND has_retention
+UNION ALL SELECT site_url, 'user_3' AS member FROM sites WHERE owner IS NULL AND is_hub
+UNION ALL SELECT site_url, 'user_4' AS member FROM sites WHERE lock_state = 'ReadOnly'
+"""
+VIEWS["grouped_sites"] = """
+SELECT sites.*, CASE WHEN template LIKE 'GROUP%' THEN concat('group-', site) WHEN is_hub THEN CAST(NULL AS string)
+       ELSE '00000000-0000-0000-0000-000000000000' END AS group_id,
+  last_activity_ts - INTERVAL '1' DAY * 30 AS created_ts
+FROM sites
+"""
 # Sites without any file, and sites with a few plain files only.
 VIEWS["visited_sites"] = """
 SELECT site, site_url FROM sites UNION ALL SELECT site, site_url FROM subsites
