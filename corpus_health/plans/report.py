@@ -46,14 +46,10 @@ def site_report(
         groups.select(SITE, "extra_files", "extra_bytes", "extra_gb", "n_duplicates"), SITE, "left"
     )
     report = report.withColumn("n_duplicates", F.coalesce("n_duplicates", F.lit(0).cast("bigint")))
-    listed = _listed_files(files, params)
-    lists = {
-        "top_duplicates": site.top_duplicates(dups, params.report_duplicates),
-        "recent_post": listed.where("kind = 'post'").drop("kind", "over_limit"),
-        "large_files": listed.where("kind = 'large'").drop("kind"),
-    }
-    for name, rows in lists.items():
-        report = report.join(_as_array(rows, name), SITE, "left")
+    top = _as_array(site.top_duplicates(dups, params.report_duplicates), "top_duplicates")
+    for rows in (top, _listed_files(files, params)):
+        report = report.join(rows, SITE, "left")
+    for name in ("top_duplicates", "recent_post", "large_files"):
         report = report.withColumn(name, F.coalesce(name, F.array()))
     decided = site.decision_list(F.col("extra_files"), F.col("extra_gb"))
     report = report.withColumn("decisions", decided).drop(*site.DECISION_COUNTS)
@@ -61,7 +57,7 @@ def site_report(
 
 
 def _listed_files(files: DataFrame, params: Params) -> DataFrame:
-    """The newest changed and the largest files of each site, as `site` has them, from one pass."""
+    """The newest changed and the largest files of each site, as `site` has them, as arrays from one pass."""
     large = F.col("size_bytes") > params.large_mb * 1024 * 1024
     kinds = F.array_compact(F.array(F.when(F.col("is_post"), "post"), F.when(large, "large")))
     rows = files.where(F.col("is_post") | large).select(SITE, *site.LISTING, F.explode(kinds).alias("kind"))
@@ -73,8 +69,12 @@ def _listed_files(files: DataFrame, params: Params) -> DataFrame:
     most = max(params.report_post, params.report_large)
     ranked = top_k(rows, [SITE, "kind"], order, most, hot=True)
     kept = F.when(F.col("kind") == "post", params.report_post).otherwise(params.report_large)
-    return ranked.where(F.col("rank") <= kept).withColumn(
-        "over_limit", F.col("size_bytes") > c.MIGRATION_LIMIT_BYTES
+    over = (F.col("size_bytes") > c.MIGRATION_LIMIT_BYTES).alias("over_limit")
+    of_kind = lambda kind, *more: F.array_sort(
+        F.collect_list(F.when(F.col("kind") == kind, F.struct("rank", *site.LISTING, *more)))
+    )
+    return ranked.where(F.col("rank") <= kept).groupBy(SITE).agg(
+        of_kind("post").alias("recent_post"), of_kind("large", over).alias("large_files")
     )
 
 

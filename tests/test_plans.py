@@ -55,3 +55,37 @@ def test_only_needed_columns_are_read(spark, tmp_path):
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     large = site.large_files(landed)._jdf.queryExecution().toString()
     assert "GreaterThan(size_bytes,104857600)" in large
+
+
+def final_scans(df):
+    """Scans of the plan that ran, shared stages counted once."""
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    return sum("FileScan" in line for line in final.splitlines())
+
+
+@pytest.fixture(scope="module")
+def landed(spark, tmp_path_factory):
+    estate = catalog.Estate(spark, "/root/testdata/sf0.001")
+    folder = str(tmp_path_factory.mktemp("plans") / "clean")
+    estate.clean.write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
+def test_report_reads_the_files_four_times(landed):
+    """Breakdowns, their totals, duplicates, lists."""
+    from corpus_health.plans import report
+
+    assert final_scans(report.site_report(landed, catalog.PARAMS)) <= 4
+
+
+def test_union_of_noise_reads_the_files_twice_and_repeats_nothing(landed):
+    from corpus_health.operators import health
+
+    union = health.score_quality(landed, catalog.PARAMS, overlap="union")
+    assert final_scans(union) <= 2
+    similar = health.dup_volume(landed, similar=0.5)
+    for df in (union, similar):
+        assert "Generate" not in df._jdf.queryExecution().toString()
