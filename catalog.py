@@ -550,7 +550,7 @@ def c7_parse_checkout(e):
   SELECT site, site_url, library, folder, file_name, path,
     coalesce(try_cast(size_bytes AS BIGINT), 0) AS size_bytes,
     {TIME.format('modified_ts')} AS modified_ts, {TIME.format('created_ts')} AS created_ts,
-    created_by, modified_by, checked_out = 'Sí' AS checked_out
+    created_by, modified_by, checked_out = 'Sí' AS checked_out, 0 AS depth
   FROM files_raw WHERE {KEPT_LIBRARY} AND {KEPT_FILE})""",
     ("files_raw",),
 )

@@ -7,6 +7,8 @@ CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # rows handed to Python at once: long documents make large batches
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
