@@ -2,26 +2,25 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+
+from corpus_health.sources.shared import work_dir
 
 #: Rows handed to a row function at once; bounds what a Python worker holds.
 SLICE = 256
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or the warehouse where it is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    return (base or spark.conf.get("spark.sql.warehouse.dir") + "/.work").rstrip("/")
-
-
 def land(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame as Parquet into the shared folder and read it back: later jobs don't compute it again."""
+    """Write a frame as Parquet into the shared folder and read it back.
+
+    Later jobs don't compute it again, and a lost executor costs them nothing of it. The
+    folder is the job's own; empty it when the job is done.
+    """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = work_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
