@@ -27,8 +27,8 @@ REACH = 3.0
 #: Shares judged, with the least distance from the quartile to a limit, and whether there is a lower limit too.
 SHARES = {
     "symbol_share": (0.2, False),
-    "dup_line_share": (0.3, False),
-    "repeat_share": (0.2, False),
+    "dup_line_share": (0.5, False),
+    "repeat_share": (0.3, False),
     "word_length": (1.5, True),
 }
 
