@@ -26,9 +26,10 @@ SKETCH_K = 1024
 REACH = 3.0
 #: Shares judged, with the least distance from the quartile to a limit, and whether there is a lower limit too.
 SHARES = {
-    "symbol_share": (0.2, False),
+    "symbol_share": (0.05, False),
     "dup_line_share": (0.5, False),
     "repeat_share": (0.3, False),
+    "capital_share": (0.3, False),
     "word_length": (1.5, True),
 }
 
@@ -38,7 +39,7 @@ def _without(text: Column, characters: str) -> Column:
 
 
 def figures(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, source, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words of each text.
+    """doc_id, lang, source, n_words, word_chars, n_capitals, n_symbols, n_lines, n_dup_lines, n_repeat_words of each text.
 
     A null text has no words. Lines are those with a word. Every row gets its own figures.
     """
@@ -49,6 +50,7 @@ def figures(docs: DataFrame) -> DataFrame:
             "_words": words(F.col("_text")),
             "_lines": F.filter(F.split("_text", "\n"), lambda x: F.length(_without(x, GAPS)) > 0),
             "word_chars": F.length(_without(F.col("_text"), GAPS)).cast("bigint"),
+            "n_capitals": F.regexp_count("_text", F.lit(r"\p{Lu}")).cast("bigint"),
             "n_symbols": (F.length("_text") - F.length(_without(F.col("_text"), SYMBOLS))).cast("bigint"),
         }
     ).drop("_text")
@@ -89,6 +91,7 @@ def _shares() -> dict[str, Column]:
         "symbol_share": F.col("n_symbols") / one("word_chars"),
         "dup_line_share": F.col("n_dup_lines") / one("n_lines"),
         "repeat_share": F.col("n_repeat_words") / one("n_words"),
+        "capital_share": F.col("n_capitals") / one("word_chars"),
         "word_length": F.col("word_chars") / one("n_words"),
     }
 

@@ -2,6 +2,7 @@ import base64
 import gzip
 import hashlib
 import re
+import unicodedata
 import urllib.parse
 import zlib
 from collections import Counter, defaultdict
@@ -27,6 +28,7 @@ def brute_figures(text):
         "symbol_share": base[2] / max(1, base[1]),
         "dup_line_share": base[3] / max(1, len(lines)),
         "repeat_share": base[4] / max(1, base[0]),
+        "capital_share": sum(unicodedata.category(c) == "Lu" for c in text) / max(1, base[1]),
         "word_length": base[1] / max(1, base[0]),
     }
     return base, shares
