@@ -5,7 +5,7 @@ starts a path in each of TREES tries; two units are candidates where they share
 path's prefix. The prefix is first shortened to the depth at which the target
 recall is reached at the threshold. Under a node with few units all pairs are
 candidates. Under a node with many, each unit is a candidate with the node's centre
-only, and the units go on to the longer prefixes below, where they part.
+only, and unless all can be near it, the units go on to the longer prefixes below.
 
 Candidates whose sketches and sizes cannot reach the threshold are dropped, the
 rest make groups, and inside each group every pair is verified exactly by its
@@ -19,7 +19,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpus_health.llm.common import land, map_rows
@@ -44,6 +44,7 @@ COLUMNS = 4096
 
 _N = TREES * HASHES
 _WORD = 48  # bits of a sketch's words
+_WORDS = [f"s{i}" for i in range(_N // _WORD)]
 
 
 def _factors() -> tuple[np.ndarray, np.ndarray]:
@@ -129,24 +130,33 @@ def _pairs_of_few(nodes: DataFrame) -> DataFrame:
     return members.select(F.explode(pairs).alias("p")).select("p.a", "p.b")
 
 
-def candidates(units: DataFrame, depths: tuple[int, ...]) -> DataFrame:
-    """a, b: pairs of units that share a prefix, each once; of full nodes those with the centre and those further down."""
+def candidates(units: DataFrame, depths: tuple[int, ...], threshold: float = THRESHOLD) -> DataFrame:
+    """a, b: pairs of units that share a prefix and can be near, each once.
+
+    Of a full node these are the pairs with its centre. Where all its units can be near the
+    centre, they are one group and verified together, so nothing below the node is looked at;
+    otherwise all its units go on to the longer prefixes.
+    """
     rows = units.select("unit", F.posexplode(f"k{depths[0]}").alias("tree", "key"))
     found = []
     for level, _ in enumerate(depths):
         sizes = rows.groupBy("key").agg(
             F.count(F.lit(1)).alias("size"), F.min(F.struct(F.xxhash64("unit").alias("h"), "unit")).alias("c")
         )
-        shared = sizes.where("size > 1").select("key", "size", F.col("c.unit").alias("centre"))
+        # landed before it is joined: a join of two shuffled tables can split a frequent key
+        shared = land(sizes.where("size > 1").select("key", "size", F.col("c.unit").alias("centre")), "shared")
         nodes = land(rows.join(shared, "key"), "nodes")
+        few = _pairs_of_few(nodes.where(F.col("size") <= FEW)).distinct()
+        found.append(_with_facts(few, units, "a", "b").where(_near(threshold)).select("a", "b"))
         full = nodes.where(F.col("size") > FEW)
-        found.append(_pairs_of_few(nodes.where(F.col("size") <= FEW)))
-        found.append(
-            full.where("unit != centre").select(F.least("unit", "centre").alias("a"), F.greatest("unit", "centre").alias("b"))
-        )
+        star = _with_facts(full.where("unit != centre"), units, "unit", "centre")
+        star = land(star.select("key", "unit", "tree", "centre", _near(threshold).alias("near")), "stars")
+        ends = F.least("unit", "centre").alias("a"), F.greatest("unit", "centre").alias("b")
+        found.append(star.where("near").select(*ends))
         if level + 1 < len(depths):
-            below = units.select("unit", f"k{depths[level + 1]}")
-            rows = full.select("unit", "tree").join(below, "unit")
+            mixed = star.groupBy("key").agg(F.bool_and("near").alias("all_near")).where("not all_near").select("key")
+            open_ = full.join(land(mixed, "open-nodes"), "key").select("unit", "tree")
+            rows = open_.join(units.select("unit", f"k{depths[level + 1]}"), "unit")
             rows = rows.select("unit", "tree", F.get(f"k{depths[level + 1]}", F.col("tree")).alias("key"))
     every = found[0]
     for f in found[1:]:
@@ -154,15 +164,19 @@ def candidates(units: DataFrame, depths: tuple[int, ...]) -> DataFrame:
     return every.distinct()
 
 
-def _plausible(pairs: DataFrame, units: DataFrame, threshold: float) -> DataFrame:
-    words = [f"s{i}" for i in range(_N // _WORD)]
-    for side in "ab":
-        facts = units.select(F.col("unit").alias(side), F.col("n").alias(f"n_{side}"), *(F.col(s).alias(f"{s}_{side}") for s in words))
+def _with_facts(pairs: DataFrame, units: DataFrame, *sides: str) -> DataFrame:
+    """The pairs with the size and sketch of both units."""
+    for i, side in enumerate(sides):
+        facts = units.select(F.col("unit").alias(side), *(F.col(c).alias(f"{c}_{i}") for c in ("n", *_WORDS)))
         pairs = pairs.join(facts, side)
-    apart = sum(F.bit_count(F.col(f"{s}_a").bitwiseXOR(F.col(f"{s}_b"))) for s in words)
-    near = 1.0 - 2.0 * apart / _N >= threshold - SLACK
-    sizes = F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b")
-    return pairs.where(near & sizes).select("a", "b")
+    return pairs
+
+
+def _near(threshold: float) -> Column:
+    """Whether two units' sizes and sketches allow for the threshold."""
+    apart = sum(F.bit_count(F.col(f"{s}_0").bitwiseXOR(F.col(f"{s}_1"))) for s in _WORDS)
+    sizes = F.least("n_0", "n_1") >= threshold * F.greatest("n_0", "n_1")
+    return (1.0 - 2.0 * apart / _N >= threshold - SLACK) & sizes
 
 
 def _verify(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
@@ -256,7 +270,7 @@ def join(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         "sets",
     )
     units = signed.drop("doc_id", "set_id").withColumnRenamed("row", "unit").join(sets.select("unit"), "unit")
-    likely = land(_plausible(candidates(units, depths), units, threshold), "likely")
+    likely = land(candidates(units, depths, threshold), "likely")
     groups = components(likely).withColumnRenamed("node", "unit").join(sets, "unit")
     checked = verify(docs, groups, threshold)
     links = checked.groupBy("unit").agg(F.sum("links").alias("links"))
