@@ -10,8 +10,9 @@ document, also those that the heuristics say little about.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import Counter
-from functools import lru_cache
+from functools import cache, lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -22,6 +23,7 @@ from corpus_health.llm.common import map_rows
 GOOD, BAD, NOTHING = 1, 0, 2
 SYMBOLS = frozenset("#*$%&|<>{}[]~^_=+\\")
 
+ENDS = frozenset(".!?…")
 #: For each heuristic the figure it looks at, and the ranges [from, to) that are good and bad. Each kind of
 #: junk is seen by two or more, so that their agreement tells how far to trust them.
 NEVER = (0.0, 0.0)
@@ -43,6 +45,10 @@ LEAST_WORDS = 20
 #: Rounds of expectation-maximisation, and votes added to each count.
 ROUNDS = 50
 PRIOR_VOTES = 2.0
+#: Figures that are features too, rounded to tenths.
+ROUNDED = ("symbol_share", "repeat_share", "capital_share", "same_line_share", "digit_share", "ending_share")
+#: Words that a task remembers.
+MOST_KNOWN = 1 << 18
 #: Documents that the scorer is trained on, in the mean: a random sample by id; all, if there are no more.
 TRAIN_ROWS = 5000
 #: Hashed features, steps of training, its rate and penalty.
@@ -54,30 +60,89 @@ PENALTY = 1e-5
 LEAST_SCORE = 0.5
 
 
-def figures(text: str) -> dict[str, float]:
-    """What the heuristics look at; 0 for what a text without words has none of."""
-    words = text.split()
-    n = max(1, len(words))
-    chars = Counter(text)
-    letters = sum(k for c, k in chars.items() if c.isalpha())
-    solid = max(1, sum(k for c, k in chars.items() if not c.isspace()))
-    lines = [x for x in text.split("\n") if x.strip()]
-    windows = Counter(zip(words, words[1:], words[2:], strict=False))
-    judged = len(words) >= LEAST_WORDS
-    again = sum(k for k in windows.values() if k > 1)
-    return {
-        "symbol_share": sum(k for c, k in chars.items() if c in SYMBOLS) / solid,
-        "repeat_share": again / max(1, len(words) - 2),
-        "capital_share": judged * sum(k for c, k in chars.items() if c.isupper()) / max(1, letters),
-        "same_line_share": 1 - len(set(lines)) / max(1, len(lines)),
-        "word_length": solid / n,
-        "digit_share": sum(k for c, k in chars.items() if c.isdigit()) / solid,
-        "n_words": float(len(words)),
-        "ending_share": sum(w[-1] in ".!?…" for w in words) / n if judged else 0.5,
-        "symbol_word_share": sum(not SYMBOLS.isdisjoint(w) for w in words) / n,
-        "same_word_share": 1 - len(set(words)) / n,
-        "capital_word_share": judged * sum(w.isupper() for w in words) / n,
-    }
+_SPACE, _UPPER, _LETTER, _DIGIT, _SYMBOL, _OTHER = range(6)
+
+
+@cache
+def _kinds() -> np.ndarray:
+    """The kind of each code point."""
+
+    def kind(c: str) -> int:
+        if c.isspace():
+            return _SPACE
+        if c in SYMBOLS:
+            return _SYMBOL
+        return _UPPER if c.isupper() else _LETTER if c.isalpha() else _DIGIT if c.isdigit() else _OTHER
+
+    return np.fromiter((kind(chr(c)) for c in range(0x110000)), dtype=np.uint8, count=0x110000)
+
+
+class Words(dict):
+    """Numbers words as they come, and keeps what is known of each number's word: marks, and features if wanted."""
+
+    def __init__(self, features: bool):
+        self._features = features
+        self.word, self.shape, self.marks = array("i"), array("i"), array("b")
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        if self._features:
+            self.word.append(zlib.crc32(b"w" + word.lower().encode("utf-8", "surrogatepass")) % FEATURES)
+            self.shape.append(_shape_feature(_shape(word)))
+        self.marks.append((word[-1] in ENDS) + 2 * (not SYMBOLS.isdisjoint(word)) + 4 * word.isupper())
+        return number
+
+    def known(self, which: array, numbers: np.ndarray) -> np.ndarray:
+        return np.frombuffer(which, dtype=which.typecode)[numbers] if which else numbers
+
+
+class Reader:
+    """Figures and features of texts, one after the other."""
+
+    def __init__(self, features: bool = True):
+        self._features = features
+        self._words = Words(features)
+
+    def read(self, text: str) -> dict[str, float]:
+        """What the heuristics look at; 0 for what a text without words has none of."""
+        if len(self._words) > MOST_KNOWN:
+            self._words = Words(self._features)  # what is known of words is only kept to save time
+        numbers = np.fromiter(map(self._words.__getitem__, text.split()), dtype=np.int64)
+        self._kinds_of, again = np.unique(numbers, return_inverse=True)
+        self._counts = np.bincount(again, minlength=len(self._kinds_of))
+        n, m = max(1, len(numbers)), len(self._kinds_of)
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        kinds = np.bincount(_kinds()[points], minlength=6)
+        letters, solid = kinds[_UPPER] + kinds[_LETTER], max(1, len(points) - kinds[_SPACE])
+        lines = [x for x in text.split("\n") if x.strip()]
+        windows = np.unique((again[:-2] * m + again[1:-1]) * m + again[2:], return_counts=True)[1]
+        marks = self._words.known(self._words.marks, self._kinds_of)
+        ends, signs, capitals = (int(self._counts[marks & bit > 0].sum()) for bit in (1, 2, 4))
+        judged = len(numbers) >= LEAST_WORDS
+        return {
+            "symbol_share": kinds[_SYMBOL] / solid,
+            "repeat_share": windows[windows > 1].sum() / max(1, len(numbers) - 2),
+            "capital_share": judged * kinds[_UPPER] / max(1, letters),
+            "same_line_share": 1 - len(set(lines)) / max(1, len(lines)),
+            "word_length": solid / n,
+            "digit_share": kinds[_DIGIT] / solid,
+            "n_words": float(len(numbers)),
+            "ending_share": ends / n if judged else 0.5,
+            "symbol_word_share": signs / n,
+            "same_word_share": 1 - m / n,
+            "capital_word_share": judged * capitals / n,
+        }
+
+    def features(self, found: dict[str, float]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers and values of the last text's hashed features: words and word shapes, of length 1, and rounded figures."""
+        words = self._words
+        hashed = [words.known(which, self._kinds_of) for which in (words.word, words.shape)]
+        at, place = np.unique(np.concatenate(hashed), return_inverse=True)
+        value = 1.0 + np.log(np.bincount(place, weights=np.tile(self._counts, 2)))
+        value /= max(1e-9, float(value @ value)) ** 0.5
+        rounded = [zlib.crc32(f"f{f}{round(10 * found[f])}".encode()) % FEATURES for f in ROUNDED]
+        at = np.concatenate([at, rounded]).astype(np.int32)
+        return at, np.concatenate([value, np.full(len(ROUNDED), 0.5)]).astype(np.float32)
 
 
 def votes(found: dict[str, float]) -> int:
@@ -135,8 +200,13 @@ def _sign(c: str) -> str:
     return "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
 
 
-@lru_cache(maxsize=1 << 16)
 def _shape(word: str) -> str:
+    """The kinds of a word's characters, runs as one."""
+    if word.isalpha():  # nearly all words
+        if word.islower():
+            return "a"
+        if word[1:].islower():
+            return "Aa"
     out = ""
     for c in word:
         s = _sign(c)
@@ -145,22 +215,9 @@ def _shape(word: str) -> str:
     return out
 
 
-def features(text: str, found: dict[str, float]) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers and values of a text's hashed features: words, word shapes and rounded figures, of length 1."""
-    counts: Counter = Counter()
-    for word, k in Counter(text.split()).items():
-        counts["w" + word.lower()] += k
-        counts["s" + _shape(word)] += k
-    named = [(key.encode("utf-8", "surrogatepass"), 1.0 + float(np.log(k))) for key, k in counts.items()]
-    scale = 1 / max(1e-9, sum(v * v for _, v in named)) ** 0.5
-    hashed: dict[int, float] = {}
-    for key, v in named:
-        at = zlib.crc32(key) % FEATURES
-        hashed[at] = hashed.get(at, 0.0) + v * scale
-    for figure in ("symbol_share", "repeat_share", "capital_share", "same_line_share", "digit_share", "ending_share"):
-        at = zlib.crc32(f"f{figure}{round(10 * found[figure])}".encode()) % FEATURES
-        hashed[at] = hashed.get(at, 0.0) + 0.5
-    return np.fromiter(hashed, dtype=np.int32, count=len(hashed)), np.fromiter(hashed.values(), dtype=np.float32, count=len(hashed))
+@lru_cache(maxsize=1 << 12)
+def _shape_feature(shape: str) -> int:
+    return zlib.crc32(b"s" + shape.encode("utf-8", "surrogatepass")) % FEATURES
 
 
 def _train(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray) -> np.ndarray:
@@ -190,8 +247,10 @@ def learn(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[LabelModel, np
     """
 
     def count():
+        reader = Reader(features=False)
+
         def run(texts):
-            found = Counter(votes(figures(t or "")) for t in texts)
+            found = Counter(votes(reader.read(t or "")) for t in texts)
             return list(found), list(found.values())
 
         return run
@@ -204,11 +263,13 @@ def learn(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[LabelModel, np
     draw = F.pmod(F.xxhash64(F.lit("train"), F.col("doc_id"), F.xxhash64("text")), F.lit(1 << 30)) < int(share * (1 << 30))
 
     def sample():
+        reader = Reader()
+
         def run(texts):
             out = ([], [], [])
             for text in texts:
-                found = figures(text or "")
-                at, value = features(text or "", found)
+                found = reader.read(text or "")
+                at, value = reader.features(found)
                 for o, v in zip(out, (votes(found), at.tobytes(), value.tobytes()), strict=True):
                     o.append(v)
             return out
@@ -233,12 +294,13 @@ def score(docs: DataFrame, model: LabelModel, weights: np.ndarray, least: float
         share, chances, known = shared.value
         label = LabelModel.__new__(LabelModel)
         label.share, label.chances = share, chances
+        reader = Reader()
 
         def run(ids, texts):
             out = ([], [], [])
             for text in texts:
-                found = figures(text or "")
-                at, value = features(text or "", found)
+                found = reader.read(text or "")
+                at, value = reader.features(found)
                 logit = float(known[at] @ value) + known[-1]
                 good = float(1 / (1 + np.exp(-np.clip(logit, -30, 30))))
                 for o, v in zip(out, (label.posterior(votes(found)), good, good >= least), strict=True):
