@@ -13,6 +13,7 @@ from __future__ import annotations
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -21,6 +22,9 @@ from corpus_health.llm.common import map_rows
 
 #: Places in a profile.
 PLACES = 400
+#: Texts whose n-grams are counted at once, and n-grams whose counts a task holds before it hands them on.
+TOGETHER = 64
+MOST_COUNTED = 1 << 20
 #: Languages a model may have; the model's size is PLACES times this at most.
 MOST_LANGUAGES = 1000
 #: Score below which a document is rejected as no language of the model.
@@ -60,7 +64,17 @@ def _grams(text: str) -> np.ndarray:
     return np.concatenate([one[one != _SPACE], two, three])
 
 
+def _added(known, kinds: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of n-grams and more of them, together."""
+    if known is None:
+        return kinds, counts
+    every, place = np.unique(np.concatenate([known[0], kinds]), return_inverse=True)
+    return every, np.bincount(place, weights=np.concatenate([known[1], counts]), minlength=len(every)).astype(np.int64)
+
+
 def _counted(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(grams):
+        return grams, grams
     grams = np.sort(grams)
     first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
     return grams[first], np.diff(np.append(first, len(grams)))
@@ -87,23 +101,27 @@ def profiles(docs: DataFrame, label: str = "lang", places: int = PLACES) -> Data
     """
     labelled = docs.where(F.col(label).isNotNull() & F.col("text").isNotNull())
 
-    def begin():
-        def run(langs, texts):
-            by: dict[str, list[np.ndarray]] = {}
-            for lang, text in zip(langs, texts, strict=True):
-                if len(grams := _grams(text)):
-                    by.setdefault(lang, []).append(grams)
-            out = ([], [], [])
-            for lang, parts in by.items():
-                kinds, counts = _counted(np.concatenate(parts))
-                out[0].extend([lang] * len(kinds))
-                out[1].extend(kinds.tolist())
-                out[2].extend(counts.tolist())
-            return out
+    def task(batches):
+        schema = pa.schema([("lang", pa.string()), ("gram", pa.int64()), ("n", pa.int64())])
+        by: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
-        return run
+        def out():
+            for lang, (kinds, counts) in by.items():
+                names = pa.array([lang] * len(kinds), pa.string())
+                yield pa.RecordBatch.from_arrays([names, pa.array(kinds), pa.array(counts)], schema=schema)
 
-    counts = map_rows(labelled.select(label, "text"), "lang string, gram bigint, n bigint", begin, 2048)
+        for batch in batches:
+            for at in range(0, batch.num_rows, TOGETHER):
+                langs, texts = (c.to_pylist() for c in batch.slice(at, TOGETHER).columns)
+                for lang in set(langs):
+                    parts = [_grams(t) for x, t in zip(langs, texts, strict=True) if x == lang]
+                    by[lang] = _added(by.get(lang), *_counted(np.concatenate(parts)))
+            if sum(len(kinds) for kinds, _ in by.values()) > MOST_COUNTED:
+                yield from out()
+                by.clear()
+        yield from out()
+
+    counts = labelled.select(F.col(label).alias("lang"), "text").mapInArrow(task, "lang string, gram bigint, n bigint")
     total = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram")
     return total.withColumn("place", F.row_number().over(order) - 1).where(F.col("place") < places).drop("n")
@@ -183,8 +201,6 @@ def keep_known(docs: DataFrame, model: Model, least: float = LEAST_SCORE) -> Dat
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def task(batches):
-        import pyarrow as pa
-
         known = shared.value
         for batch in batches:
             made = (known.predict(t.as_py()) for t in batch.column(text))

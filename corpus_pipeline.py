@@ -35,7 +35,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids, and digests of the ids and of what they decode to."""
     ranks = public_tokenizers.path(RANKS)
-    return bpe.decode(bpe.encode(docs, ranks), ranks).select(
+    return bpe.encode_and_decode(docs, ranks).select(
         "doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256")
     )
 

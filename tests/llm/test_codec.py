@@ -61,5 +61,10 @@ def test_odd_rows(clashing, plain):
     check(bpe.round_trip(clashing, RANKS), rows, plain)
 
 
+def test_one_worker_or_two(docs):
+    two = bpe.decode(bpe.encode(docs, RANKS), RANKS)
+    assert sorted(two.collect()) == sorted(bpe.encode_and_decode(docs, RANKS).collect())
+
+
 def test_empty_table(empty):
     assert bpe.round_trip(empty, RANKS).count() == 0
