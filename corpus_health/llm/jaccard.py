@@ -4,8 +4,9 @@ Texts with the same five-word shingles are one unit. A unit's MinHash signature
 starts a path in each of TREES tries; two units are candidates where they share a
 path's prefix. The prefix is first shortened to the depth at which the target
 recall is reached at the threshold. Under a node with few units all pairs are
-candidates. Under a node with many, each unit is a candidate with the node's centre
-only, and unless all can be near it, the units go on to the longer prefixes below.
+candidates. Under a node with many, each unit is a candidate with the node's centre,
+and units that cannot be near it are compared by their sketches with all others of
+the node, in blocks against blocks, so every pair under a node is looked at.
 
 Candidates whose sketches and sizes cannot reach the threshold are dropped, the
 rest make groups, and inside each group every pair is verified exactly by its
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,12 +33,12 @@ THRESHOLD = 0.8
 TREES = 24
 HASHES = 6
 TARGET_RECALL = 0.99999
-#: Prefixes below a full node, in steps; past a trie's own hashes they go on with the next trie's.
-DEEPER = (6, 12)
 #: Units of a node up to which all pairs are candidates.
 FEW = 8
 #: How far under the threshold a sketch's estimate may be: five standard deviations of it.
 SLACK = 0.25
+#: Units of a block where sketches are compared.
+SKETCHES = 2048
 #: Units of a block in exact verification.
 BLOCK = 256
 #: Shingles that verification looks at together.
@@ -130,38 +132,75 @@ def _pairs_of_few(nodes: DataFrame) -> DataFrame:
     return members.select(F.explode(pairs).alias("p")).select("p.a", "p.b")
 
 
-def candidates(units: DataFrame, depths: tuple[int, ...], threshold: float = THRESHOLD) -> DataFrame:
-    """a, b: pairs of units that share a prefix and can be near, each once.
+def candidates(units: DataFrame, depth: int, threshold: float = THRESHOLD) -> DataFrame:
+    """a, b: links that connect all units that share a prefix and can be near, each once.
 
-    Of a full node these are the pairs with its centre. Where all its units can be near the
-    centre, they are one group and verified together, so nothing below the node is looked at;
-    otherwise all its units go on to the longer prefixes.
+    Of a full node these are the pairs with its centre. Units near the centre are one group
+    and verified together; the rest are compared with every other unit of the node.
     """
-    rows = units.select("unit", F.posexplode(f"k{depths[0]}").alias("tree", "key"))
-    found = []
-    for level, _ in enumerate(depths):
-        sizes = rows.groupBy("key").agg(
-            F.count(F.lit(1)).alias("size"), F.min(F.struct(F.xxhash64("unit").alias("h"), "unit")).alias("c")
-        )
-        # landed before it is joined: a join of two shuffled tables can split a frequent key
-        shared = land(sizes.where("size > 1").select("key", "size", F.col("c.unit").alias("centre")), "shared")
-        nodes = land(rows.join(shared, "key"), "nodes")
-        few = _pairs_of_few(nodes.where(F.col("size") <= FEW)).distinct()
-        found.append(_with_facts(few, units, "a", "b").where(_near(threshold)).select("a", "b"))
-        full = nodes.where(F.col("size") > FEW)
-        star = _with_facts(full.where("unit != centre"), units, "unit", "centre")
-        star = land(star.select("key", "unit", "tree", "centre", _near(threshold).alias("near")), "stars")
-        ends = F.least("unit", "centre").alias("a"), F.greatest("unit", "centre").alias("b")
-        found.append(star.where("near").select(*ends))
-        if level + 1 < len(depths):
-            mixed = star.groupBy("key").agg(F.bool_and("near").alias("all_near")).where("not all_near").select("key")
-            open_ = full.join(land(mixed, "open-nodes"), "key").select("unit", "tree")
-            rows = open_.join(units.select("unit", f"k{depths[level + 1]}"), "unit")
-            rows = rows.select("unit", "tree", F.get(f"k{depths[level + 1]}", F.col("tree")).alias("key"))
-    every = found[0]
-    for f in found[1:]:
-        every = every.union(f)
-    return every.distinct()
+    rows = units.select("unit", F.explode(f"k{depth}").alias("key"))
+    sizes = rows.groupBy("key").agg(
+        F.count(F.lit(1)).alias("size"), F.min(F.struct(F.xxhash64("unit").alias("h"), "unit")).alias("c")
+    )
+    # landed before it is joined: a join of two shuffled tables can split a frequent key
+    shared = land(sizes.where("size > 1").select("key", "size", F.col("c.unit").alias("centre")), "shared")
+    nodes = land(rows.join(shared, "key"), "nodes")
+    few = _pairs_of_few(nodes.where(F.col("size") <= FEW)).distinct()
+    pairs = _with_facts(few, units, "a", "b").where(_near(threshold)).select("a", "b")
+    star = _with_facts(nodes.where(F.col("size") > FEW).where("unit != centre"), units, "unit", "centre")
+    star = land(star.select("key", "unit", "centre", _near(threshold).alias("near")), "stars")
+    spokes = star.where("near").select(F.least("unit", "centre").alias("a"), F.greatest("unit", "centre").alias("b"))
+    return pairs.union(spokes).union(_links_of_rest(star, units, threshold)).distinct()
+
+
+def _links_of_rest(star: DataFrame, units: DataFrame, threshold: float) -> DataFrame:
+    """a, b: links that connect the units of each full node as do its pairs that can be near and are not both near the centre.
+
+    The units that are not near the centre meet all of the node, block by block; pairs are
+    not emitted, only each unit with the least that it is connected to in two blocks.
+    """
+    counts = star.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.count_if(~F.col("near")).alias("rest"))
+    mixed = land(counts.where("rest > 0"), "mixed-nodes")
+    facts = units.select("unit", "n", *_WORDS)
+    rows = land(star.select("key", "unit", "near").join(mixed, "key"), "open-nodes").join(facts, "unit")
+    for c in ("size", "rest"):
+        rows = rows.withColumn(c, F.ceil(F.col(c) / SKETCHES).cast("int"))
+
+    def dealt(side: DataFrame, own: str, other: str, rest: bool) -> DataFrame:
+        block = F.pmod(F.xxhash64("unit"), F.col(own)).cast("int").alias(own)
+        with_all = F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other)
+        return side.select("key", block, with_all, F.lit(rest).alias("of_rest"), "unit", "n", *_WORDS)
+
+    left = dealt(rows.where("not near"), "rest", "size", True)
+    met = left.unionByName(dealt(rows, "size", "rest", False))
+
+    def each(table: pa.Table) -> pa.Table:
+        return _met(table, threshold)
+
+    return met.groupBy("key", "rest", "size").applyInArrow(each, "a bigint, b bigint")
+
+
+def _met(table: pa.Table, threshold: float) -> pa.Table:
+    """Of a block of units of the rest and one of all: each unit that can be near one of the other block, and the least unit it reaches."""
+    side = table["of_rest"].to_numpy()
+    unit, n, *words = (table[c].to_numpy() for c in ("unit", "n", *_WORDS))
+    label, other = unit[side], unit[~side]
+    apart = sum(np.bitwise_count(w[side][:, None] ^ w[~side][None, :]).astype(np.int16) for w in words)
+    a, b = n[side][:, None], n[~side][None, :]
+    link = (1.0 - 2.0 * apart / _N >= threshold - SLACK) & (np.minimum(a, b) >= threshold * np.maximum(a, b))
+    link &= label[:, None] != other[None, :]
+    rows, columns = link.any(axis=1), link.any(axis=0)
+    link, label, other = link[rows][:, columns], label[rows], other[columns]
+    ends, most = np.concatenate([label, other]), np.iinfo(np.int64).max
+    while link.size:
+        lower = np.minimum(label, np.where(link, other[None, :], most).min(axis=1))
+        least = np.minimum(other, np.where(link, lower[:, None], most).min(axis=0))
+        if (lower == label).all() and (least == other).all():
+            break
+        label, other = lower, least
+    reached = np.concatenate([label, other])
+    moved = ends != reached
+    return pa.table({"a": pa.array(reached[moved], pa.int64()), "b": pa.array(ends[moved], pa.int64())})
 
 
 def _with_facts(pairs: DataFrame, units: DataFrame, *sides: str) -> DataFrame:
@@ -261,8 +300,7 @@ def join(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     is null only if all of its class are.
     """
     first = depth(threshold)
-    depths = (first, *(d for d in DEEPER if d > first))
-    signed = sign(docs, depths)
+    signed = sign(docs, (first,))
     sets = land(
         signed.where("set_id is not null")
         .groupBy("set_id")
@@ -270,7 +308,7 @@ def join(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         "sets",
     )
     units = signed.drop("doc_id", "set_id").withColumnRenamed("row", "unit").join(sets.select("unit"), "unit")
-    likely = land(candidates(units, depths, threshold), "likely")
+    likely = land(candidates(units, first, threshold), "likely")
     groups = components(likely).withColumnRenamed("node", "unit").join(sets, "unit")
     checked = verify(docs, groups, threshold)
     links = checked.groupBy("unit").agg(F.sum("links").alias("links"))

@@ -87,6 +87,42 @@ def test_large_group_in_full_nodes_and_blocks(few, monkeypatch):
     assert joined(few(*rows)) == brute_join(rows)
 
 
+def test_documents_of_shared_passages(few, monkeypatch):
+    """Every node is full of texts that share much and are not near: near pairs among them are still found."""
+    monkeypatch.setattr(jaccard, "FEW", 3)
+    monkeypatch.setattr(jaccard, "SKETCHES", 16, raising=False)
+    draw = random.Random(5)
+    passages = [" ".join(f"p{i}w{j}" for j in range(10)) for i in range(40)]
+    rows = []
+    for i in range(150):
+        own = draw.sample(range(40), 30)
+        twin = own[:-1] + draw.sample([p for p in range(40) if p not in own], 1)
+        rows += [(2 * i + k, " ".join(passages[p] for p in sorted(c))) for k, c in enumerate((own, twin))]
+    want = brute_join(rows)
+    assert sum(links > 0 for _, _, links in want) > 200
+    assert joined(few(*rows)) == want
+
+
+def test_near_pairs_in_a_full_mixed_node(few, monkeypatch):
+    """Units that share short prefixes with many others and no longer ones: none is near the centre but some pairs are."""
+    signed = jaccard.sign
+
+    def crowded(docs, depths):
+        out = signed(docs, depths)
+        for d in depths:
+            key = F.transform(F.sequence(F.lit(1), F.lit(jaccard.TREES)), lambda t: t.cast("bigint") + F.lit(0 if d < 12 else 1) * 100 * (1 + F.col("row")))
+            out = out.withColumn(f"k{d}", key)
+        return out
+
+    monkeypatch.setattr(jaccard, "sign", crowded)
+    monkeypatch.setattr(jaccard, "SKETCHES", 16, raising=False)
+    texts = [t for seed in range(20) for t in variants(2 if seed < 8 else 1, 160, 40 + seed, 1)]
+    rows = list(enumerate(texts))
+    want = brute_join(rows)
+    assert sum(links > 0 for _, _, links in want) == 16
+    assert joined(few(*rows)) == want
+
+
 def test_recall_at_the_threshold():
     """Pairs just over the threshold share a prefix: none of 400 is missed."""
     draw = np.random.default_rng(4)
