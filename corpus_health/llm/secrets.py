@@ -81,16 +81,9 @@ def scan(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def _readable(data: bytes) -> str | None:
-    """The bytes as text if they are UTF-8 and nearly all printable."""
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    if not text:
-        return None
-    good = sum(c.isprintable() or c in "\t\n\r" for c in text)
-    return text if good * 20 >= len(text) * 19 else None
+def _text(data: bytes) -> str:
+    """The bytes as text; what is not UTF-8 is replaced, which leaves all ASCII, and so every secret, as it is."""
+    return data.decode("utf-8", "replace")
 
 
 def _inflate(data: bytes):
@@ -172,12 +165,9 @@ def _unwrap(layer: Layer):
         if data is None:
             continue
         span = layer.span(m.start(), m.end())
-        if (plain := _readable(data)) is not None:
-            yield Layer(plain, span)
-            continue
+        yield Layer(_text(data), span)
         for part in _inflate(data):
-            if (plain := _readable(part)) is not None:
-                yield Layer(plain, span)
+            yield Layer(_text(part), span)
 
 
 def find(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:

@@ -1,7 +1,9 @@
 import base64
 import gzip
 import hashlib
+import io
 import re
+import tarfile
 import unicodedata
 import urllib.parse
 import zlib
@@ -166,6 +168,30 @@ def test_secrets_behind_layers(hidden, kind):
     assert secrets.find(redacted) == ([], []) and redacted.startswith("é some words ") and redacted.endswith(" and more")
 
 
+def _tar(data):
+    out = io.BytesIO()
+    with tarfile.open(fileobj=out, mode="w:gz") as f:
+        info = tarfile.TarInfo(".env")
+        info.size = len(data)
+        f.addfile(info, io.BytesIO(data))
+    return out.getvalue()
+
+
+@pytest.mark.parametrize(
+    "data",
+    [
+        _tar(KEY.encode()),
+        f"café {KEY}".encode("latin-1"),
+        gzip.compress(f"café {KEY}".encode("latin-1"), mtime=0),
+        bytes(range(256)) + KEY.encode() + bytes(100),
+        bytes(300) + B64(gzip.compress(KEY.encode(), mtime=0)).encode() + bytes(300),
+    ],
+)
+def test_secrets_in_layers_that_are_not_clean_text(data):
+    hidden = B64(data)
+    assert (2, 0, 2 + len(hidden)) in secrets.find(f"x {hidden} y")[1]
+
+
 def test_spans_of_escapes_are_exact():
     text = "see pass%77ord%3Dabcdefgh now"
     assert secrets.find(text)[1] == [(4, 0, 25)]
