@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import base64
 import binascii
+import codecs
 import hashlib
 import re
 import zlib
@@ -43,9 +44,12 @@ _UNICODE_ONE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#([0-9]{1,7
 _BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 _URL_ONE = re.compile(r"%[0-9A-Fa-f]{2}")
 
-#: Bytes that one compressed layer may open to; beyond, the layer is read in overlapping windows of this size.
+#: Bytes that one compressed layer may open to; beyond, the layer is read in windows of about this size. A window ends
+#: before what may go on in the next one and starts with the end of the one before.
 WINDOW = 1 << 24
 _OVERLAP = 1 << 12
+_ENDS = " \t\n\r\x0b\x0c\"'<>"
+_WRAPPED_CHARACTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=\r\n"
 
 
 class Layer:
@@ -87,9 +91,9 @@ def _text(data: bytes) -> str:
 
 
 def _inflate(data: bytes):
-    """Windows of what gzip, zlib or raw-deflate bytes hold, each overlapping the one before; none if they hold nothing."""
+    """Pieces of what gzip, zlib or raw-deflate bytes hold; none if they hold nothing."""
     for bits in (47, -15):
-        stream, tail, got = zlib.decompressobj(bits), b"", False
+        stream, got = zlib.decompressobj(bits), False
         try:
             rest = data
             while rest:
@@ -98,14 +102,43 @@ def _inflate(data: bytes):
                 if not part and not rest:
                     break
                 got = got or bool(part)
-                yield tail + part
-                tail = (tail + part)[-_OVERLAP:]
+                yield part
         except zlib.error:
             pass
         if got:
             return
 
 
+def _unfinished(text: str) -> int:
+    """Where the run at the end of a text starts that may go on after it: one without a gap, or lines of base64."""
+    at = max(text.rfind(c) for c in _ENDS) + 1
+    return min(at, len(text.rstrip(_WRAPPED_CHARACTERS)))
+
+
+def _windows(pieces):
+    """Texts of about WINDOW characters that cover the pieces of a layer; no character and no run is cut in two.
+
+    A run that does not end within a window is kept until it does, whatever its length.
+    """
+    decoder = codecs.getincrementaldecoder("utf-8")("replace")
+    before, held, size = "", [], 0  # before: looked at already; held: not yet
+    for piece in pieces:
+        held.append(decoder.decode(piece))
+        size += len(held[-1])
+        if size < WINDOW:
+            continue
+        at = _unfinished(held[-1])
+        if not at:
+            continue
+        text = before + "".join(held[:-1]) + held[-1][:at]
+        yield text
+        before, held = text[-_OVERLAP:], [held[-1][at:]]
+        size = 0
+    held.append(decoder.decode(b"", True))
+    if last := "".join(held):
+        yield before + last
+
+
 def _base64(run: str) -> bytes | None:
     body = run.rstrip("=").replace("-", "+").replace("_", "/")
     if len(body) % 4 == 1:
@@ -166,8 +199,8 @@ def _unwrap(layer: Layer):
             continue
         span = layer.span(m.start(), m.end())
         yield Layer(_text(data), span)
-        for part in _inflate(data):
-            yield Layer(_text(part), span)
+        for part in _windows(_inflate(data)):
+            yield Layer(part, span)
 
 
 def find(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:

@@ -192,6 +192,19 @@ def test_secrets_in_layers_that_are_not_clean_text(data):
     assert (2, 0, 2 + len(hidden)) in secrets.find(f"x {hidden} y")[1]
 
 
+@pytest.mark.parametrize("lead", range(4))
+def test_large_layers_are_cut_between_runs(monkeypatch, lead):
+    """Text of a 3-byte script, and an encoded run longer than a window's overlap, over the cuts of small windows."""
+    monkeypatch.setattr(secrets, "WINDOW", 1000)
+    script = "x" * lead + "漢字" * 400
+    for text in (f"{script} {KEY} {script}", f"{script} {B64('é' * 4000 + KEY)} {script}", f"{script} {B64(B64(script + AWS))}"):
+        hidden = B64(gzip.compress(text.encode(), mtime=0))
+        assert secrets.find(hidden)[1], len(text)
+    whole = "".join(f"{KEY}{i:04d} {script[: i % 50]}" for i in range(300))
+    seen = "".join(w for w in secrets._windows(whole.encode()[i : i + 1000] for i in range(0, len(whole.encode()), 1000)))
+    assert all(f"{KEY}{i:04d} " in seen for i in range(300)) and "\ufffd" not in seen
+
+
 def test_spans_of_escapes_are_exact():
     text = "see pass%77ord%3Dabcdefgh now"
     assert secrets.find(text)[1] == [(4, 0, 25)]
