@@ -42,7 +42,10 @@ _URL_RUN = re.compile(r"[^\s\"'<>]+")
 _UNICODE_RUN = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#x[0-9A-Fa-f]{1,6};)+")
 _UNICODE_ONE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#([0-9]{1,7});|&#x([0-9A-Fa-f]{1,6});")
 _BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+_BASE64_LINES = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[A-Za-z0-9+/_-]+)+={0,2}")
 _URL_ONE = re.compile(r"%[0-9A-Fa-f]{2}")
+_STREAM = re.compile(rb"\x1f\x8b\x08|[\x08\x18\x28\x38\x48\x58\x68\x78](?=.)", re.S)
+_CHUNK = 1 << 16
 
 #: Bytes that one compressed layer may open to; beyond, the layer is read in windows of about this size. A window ends
 #: before what may go on in the next one and starts with the end of the one before.
@@ -90,23 +93,51 @@ def _text(data: bytes) -> str:
     return data.decode("utf-8", "replace")
 
 
-def _inflate(data: bytes):
-    """Pieces of what gzip, zlib or raw-deflate bytes hold; none if they hold nothing."""
-    for bits in (47, -15):
-        stream, got = zlib.decompressobj(bits), False
-        try:
-            rest = data
-            while rest:
-                part = stream.decompress(rest, WINDOW)
-                rest = stream.unconsumed_tail
-                if not part and not rest:
-                    break
-                got = got or bool(part)
-                yield part
-        except zlib.error:
-            pass
+def _inflate(data: bytes, at: int, bits: int, end: list[int] | None = None):
+    """Pieces of what the gzip, zlib (bits 47) or raw-deflate (bits -15) bytes from `at` on hold, one gzip member after another.
+
+    `end` gets where the last member that ended well ends.
+    """
+    view, begin = memoryview(data), at
+    try:
+        while at < len(view):
+            stream = zlib.decompressobj(bits)
+            while not stream.eof and at < len(view):
+                rest = view[at : at + min(_CHUNK, max(1 << 10, at - begin))]
+                at += len(rest)
+                while True:
+                    part = stream.decompress(rest, WINDOW)
+                    rest = stream.unconsumed_tail
+                    if part:
+                        yield part
+                    if not rest and len(part) < WINDOW:
+                        break
+            if not stream.eof:
+                return
+            at -= len(stream.unused_data)
+            if end is not None:
+                end[:] = [at]
+            if bits < 0:
+                return
+    except zlib.error:
+        pass
+
+
+def _streams(data: bytes, raw: list[int]):
+    """(start, end, bits) of the compressed streams in some bytes: gzip and zlib anywhere, raw deflate at the given places."""
+    after = 0
+    places = [(m.start(), 47) for m in _STREAM.finditer(data) if m.end() - m.start() == 3 or (data[m.start()] << 8 | data[m.start() + 1]) % 31 == 0]
+    for at, bits in sorted(places + [(at, -15) for at in raw], key=lambda p: (p[0], -p[1])):
+        if at < after:
+            continue
+        end: list[int] = []
+        got = False
+        for _ in _inflate(data, at, bits, end):
+            got = True
         if got:
-            return
+            yield at, end[0] if end else len(data), bits
+        if end and bits > 0:
+            after = end[0]
 
 
 def _unfinished(text: str) -> int:
@@ -139,17 +170,43 @@ def _windows(pieces):
         yield before + last
 
 
-def _base64(run: str) -> bytes | None:
+def _base64(run: str):
+    """(bytes, places where raw deflate may start) of a run decoded from each of its first four characters on.
+
+    What stands before the payload in the same run is a multiple of four away from one of them.
+    """
     body = run.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(body) % 4 == 1:
-        return None
-    try:
-        return base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
-    except (binascii.Error, ValueError):
-        return None
+    starts = [0, *(m.end() for m in re.finditer(r"[/_-]", run.rstrip("=")))]
+    for first in range(4):
+        part = body[first:]
+        part = part[:-1] if len(part) % 4 == 1 else part
+        try:
+            data = base64.b64decode(part + "=" * (-len(part) % 4), validate=True)
+        except (binascii.Error, ValueError):
+            continue
+        yield data, [(x - first) // 4 * 3 for x in starts if x % 4 == first and (x - first) // 4 * 3 < len(data)]
+
+
+def _opened(data: bytes, raw: list[int], span):
+    """The layers that compressed streams in some bytes hold; `span(start, end)` tells where their bytes come from."""
+    for at, end, bits in _streams(data, raw):
+        for text in _windows(_inflate(data, at, bits)):
+            yield Layer(text, span(at, end))
 
 
-def _decode_url(layer: Layer, m: re.Match) -> Layer:
+def _decode_lines(layer: Layer, m: re.Match):
+    """The layers of a base64 run over several lines, each byte with the characters that it is written with."""
+    where = [i for i in range(m.start(), m.end()) if layer.text[i] not in "\r\n="]
+    for first, (data, raw) in enumerate(_base64("".join(layer.text[i] for i in where))):
+        fours = [where[i : i + 4] for i in range(first, len(where), 4)]
+        at = [layer.span(f[0], f[-1] + 1) for f in fours for _ in range(3)][: len(data)]
+        if data:
+            yield Layer(data.decode("latin-1"), at)
+            yield from _opened(data, raw, lambda a, b, at=at: (at[a][0], at[b - 1][1]))
+
+
+def _decode_url(layer: Layer, m: re.Match):
+    """The run with its escapes replaced, and what compressed bytes in it hold."""
     raw, at, i, run = bytearray(), [], 0, m.group()
     while i < len(run):
         step = 3 if _URL_ONE.match(run, i) else 1
@@ -157,15 +214,18 @@ def _decode_url(layer: Layer, m: re.Match) -> Layer:
         raw += piece
         at += [layer.span(m.start() + i, m.start() + i + step)] * len(piece)
         i += step
-    text = raw.decode("utf-8", "replace")
+    first = _URL_ONE.search(run).start()
+    yield from _opened(bytes(raw), sorted({0, first}), lambda a, b: (at[a][0], at[b - 1][1]))
+    text = _text(raw)
     spans, b = [], 0
     if len(text.encode("utf-8", "surrogatepass")) != len(raw):  # bytes that are not UTF-8: the whole run
-        return Layer(text, layer.span(m.start(), m.end()))
+        yield Layer(text, layer.span(m.start(), m.end()))
+        return
     for c in text:
         n = len(c.encode("utf-8", "surrogatepass"))
         spans.append((at[b][0], at[b + n - 1][1]))
         b += n
-    return Layer(text, spans)
+    yield Layer(text, spans)
 
 
 def _decode_unicode(layer: Layer) -> Layer:
@@ -190,17 +250,20 @@ def _unwrap(layer: Layer):
     if "%" in text and _URL_ONE.search(text):
         for m in _URL_RUN.finditer(text):
             if _URL_ONE.search(m.group()):
-                yield _decode_url(layer, m)
+                yield from _decode_url(layer, m)
     if ("\\" in text or "&#" in text) and _UNICODE_RUN.search(text):
-        yield _decode_unicode(layer)
+        plain = _decode_unicode(layer)
+        yield plain
+        raw = plain.text.encode("latin-1", "replace")  # a byte for each character
+        yield from _opened(raw, [], plain.span)
     for m in _BASE64_RUN.finditer(text):
-        data = _base64(m.group())
-        if data is None:
-            continue
         span = layer.span(m.start(), m.end())
-        yield Layer(_text(data), span)
-        for part in _windows(_inflate(data)):
-            yield Layer(part, span)
+        for data, raw in _base64(m.group()):
+            yield Layer(_text(data), span)
+            yield from _opened(data, raw, lambda a, b, span=span: span)
+    if "\n" in text:
+        for m in _BASE64_LINES.finditer(text):
+            yield from _decode_lines(layer, m)
 
 
 def find(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:

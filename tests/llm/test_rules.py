@@ -205,6 +205,38 @@ def test_large_layers_are_cut_between_runs(monkeypatch, lead):
     assert all(f"{KEY}{i:04d} " in seen for i in range(300)) and "\ufffd" not in seen
 
 
+GZ = gzip.compress(KEY.encode(), mtime=0)
+LINES = gzip.compress(" ".join(f"{i * i * i}" for i in range(60)).encode() + b" " + KEY.encode(), mtime=0)
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "https://h.example/v1/" + B64(KEY),
+        "id-" + B64(KEY),
+        "blob/" + B64(KEY),
+        "blobs" + B64(KEY),
+        "blob/" + B64(GZ),
+        "id-" + B64(zlib.compress(KEY.encode())),
+        "blob/" + B64(zlib.compress(KEY.encode(), wbits=-15)),
+        base64.encodebytes(b"some words before it " * 2 + b"some more " + KEY.encode() + b" and words after it").decode(),
+        base64.encodebytes(LINES).decode().replace("\n", "\r\n"),
+        urllib.parse.quote(GZ, safe=""),
+        "".join(f"\\x{c:02x}" for c in GZ),
+        repr(GZ),
+        B64(gzip.compress(b"nothing here", mtime=0) + GZ),
+    ],
+)
+def test_secrets_wherever_a_run_starts_and_ends(text):
+    for around in (text, f"a word {text} and more"):
+        assert any(k == 0 for _, k, _ in secrets.find(around)[1])
+
+
+def test_words_after_a_run_of_one_line_stay():
+    hidden = B64("é " + KEY + " and words")
+    assert secrets.redact(hidden + "\nHello", secrets.find(hidden + "\nHello")[1]) == "<assign>\nHello"
+
+
 def test_spans_of_escapes_are_exact():
     text = "see pass%77ord%3Dabcdefgh now"
     assert secrets.find(text)[1] == [(4, 0, 25)]
