@@ -10,6 +10,7 @@ The language with the least distance wins; ties go to the first by name.
 
 from __future__ import annotations
 
+import math
 from functools import cache
 
 import numpy as np
@@ -27,8 +28,13 @@ TOGETHER = 64
 MOST_COUNTED = 1 << 20
 #: Languages a model may have; the model's size is PLACES times this at most.
 MOST_LANGUAGES = 1000
-#: Score below which a document is rejected as no language of the model.
+#: Score below which a document is rejected as no language of the model, whatever the learnt documents score.
 LEAST_SCORE = 0.1
+#: A language's own least score lies below this quantile of its documents' scores, by so many times the median's distance to it.
+LOW = 0.05
+MARGIN = 2.0
+#: Documents that a language needs to have a least score of its own.
+LEAST_TAUGHT = 100
 UNKNOWN = "und"
 
 _BITS = 21  # of a code point
@@ -192,18 +198,46 @@ def predict_all(docs: DataFrame) -> DataFrame:
     return identify(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-def keep_known(docs: DataFrame, model: Model, least: float = LEAST_SCORE) -> DataFrame:
+def limits(docs: DataFrame, model: Model, label: str = "lang") -> dict[str, float]:
+    """The least score of each language, from what its labelled documents score: a margin below a low quantile.
+
+    Only documents that get their own label count. Quantiles are sketched in each task and
+    merged; limits are rounded down to hundredths, so that sketches made anew agree. A
+    language with under LEAST_TAUGHT such documents has none.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def begin():
+        known = shared.value
+
+        def run(langs, texts):
+            made = [(lang, *known.predict(t)) for lang, t in zip(langs, texts, strict=True)]
+            own = [(lang, score) for lang, best, score in made if lang == best != UNKNOWN]
+            return [o[0] for o in own], [o[1] for o in own]
+
+        return run
+
+    labelled = docs.where(F.col(label).isNotNull() & F.col("text").isNotNull()).select(F.col(label).alias("lang"), "text")
+    scores = map_rows(labelled, "lang string, score double", begin)
+    cut = F.percentile_approx("score", [LOW, 0.5], 10_000).alias("cut")
+    found = scores.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), cut).where(F.col("n") >= LEAST_TAUGHT)
+    return {r.lang: math.floor(100 * (r.cut[0] - MARGIN * (r.cut[1] - r.cut[0]))) / 100 for r in found.collect()}
+
+
+def keep_known(docs: DataFrame, model: Model, least: float = LEAST_SCORE, own: dict[str, float] | None = None) -> DataFrame:
     """The documents, all columns as they were, whose text is of a language that the model knows.
 
-    Rejected are texts that get `und` and those whose score is under `least`.
+    Rejected are texts that get `und` and those whose score is under `least` or under
+    their language's limit in `own`.
     """
     text = docs.columns.index("text")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model, own or {}))
 
     def task(batches):
-        known = shared.value
+        known, limit = shared.value
         for batch in batches:
             made = (known.predict(t.as_py()) for t in batch.column(text))
-            yield batch.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in made], pa.bool_()))
+            stays = [lang != UNKNOWN and score >= max(least, limit.get(lang, least)) for lang, score in made]
+            yield batch.filter(pa.array(stays, pa.bool_()))
 
     return docs.mapInArrow(task, docs.schema)

@@ -14,7 +14,8 @@ RANKS = "byte_bpe_50k.tiktoken"
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the labelled ones teach."""
-    return language.keep_known(docs, language.learn(docs))
+    model = language.learn(docs)
+    return language.keep_known(docs, model, own=language.limits(docs, model))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

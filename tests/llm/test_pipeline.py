@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import inspect
+import random
 from collections import Counter
 
 import numpy as np
@@ -53,6 +54,20 @@ def test_language_stage(stages):
     assert sorted(stages["language_id"]) == sorted(want)
 
 
+def test_language_stage_rejects_noise_and_other_languages(spark):
+    """In the script of the learnt languages: noise and languages without a label go, clean documents stay."""
+    draw = random.Random(2)
+    letters = " ".join("".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=draw.randint(2, 9))) for _ in range(200))
+    polish = "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem. "
+    turkish = "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler. "
+    strange = [(letters, "en"), (base64.b64encode(draw.randbytes(900)).decode(), "de"), (polish, None), (turkish, None)]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(*NAMES)
+    rows = [(-i - 1, t, lang, "s", len(t)) for i, (t, lang) in enumerate(strange)]
+    both = docs.union(spark.createDataFrame(rows, docs.schema))
+    kept = [r.doc_id for r in corpus_pipeline.language_id(spark, both, SMALL).select("doc_id").collect()]
+    assert sorted(kept) == sorted(r.doc_id for r in docs.select("doc_id").collect())
+
+
 def test_near_duplicate_stage(stages):
     before = stages["language_id"]
     classes = {c for _, c, _ in brute_join([(r.doc_id, r.text) for r in before])}
