@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from corpus_health.llm.common import land, map_rows
 from corpus_health.llm.graph import components
-from corpus_health.llm.words import mixed, shingle_set
+from corpus_health.llm.words import GAPS, mixed, shingle_set
 
 THRESHOLD = 0.8
 #: Tries, hashes of each, and the share of pairs at the threshold that must meet in one of them.
@@ -90,17 +90,21 @@ def _sketch(sig: np.ndarray) -> list[int]:
 
 
 def sign(docs: DataFrame, depths: tuple[int, ...]) -> DataFrame:
-    """row, doc_id, set_id, n, sketch, and the prefixes of each depth; landed. set_id is null without words."""
+    """row, doc_id, set_id, n, sketch, and the prefixes of each depth; landed. set_id is null without words.
+
+    A column text_id goes along if there is one.
+    """
+    own = ["text_id"] if "text_id" in docs.columns else []
     words = _N // _WORD
     columns = [f"k{d}" for d in depths]
     schema = ", ".join(
-        ["doc_id bigint, set_id binary, n bigint"]
+        ["doc_id bigint", *(f"{c} string" for c in own), "set_id binary, n bigint"]
         + [f"s{i} bigint" for i in range(words)]
         + [f"{c} array<bigint>" for c in columns]
     )
 
     def begin():
-        def run(ids, texts):
+        def run(texts, *ids):
             out = [[] for _ in range(2 + words + len(columns))]
             for text in texts:
                 shingles = shingle_set(text)
@@ -112,11 +116,11 @@ def sign(docs: DataFrame, depths: tuple[int, ...]) -> DataFrame:
                 values = [xxhash.xxh3_128_digest(shingles.tobytes()), len(shingles), *_sketch(sig), *prefixes(sig, depths)]
                 for o, v in zip(out, values, strict=True):
                     o.append(v)
-            return ids, *out
+            return *ids, *out
 
         return run
 
-    signed = map_rows(docs.select("doc_id", "text"), schema, begin)
+    signed = map_rows(docs.select("text", "doc_id", *own), schema, begin)
     return land(signed.withColumn("row", F.monotonically_increasing_id()), "signed")
 
 
@@ -299,6 +303,12 @@ def join(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     Repeated rows are copies of each other. A null doc_id takes its class's name, which
     is null only if all of its class are.
     """
+    rows = _classes(docs, threshold)
+    return rows.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def _classes(docs: DataFrame, threshold: float) -> DataFrame:
+    """What `sign` gives of each row, with label, class_id and n_links of its class, null without words."""
     first = depth(threshold)
     signed = sign(docs, (first,))
     sets = land(
@@ -316,21 +326,24 @@ def join(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     of = sets.join(links, "unit", "left").join(classes.withColumnRenamed("node", "unit"), "unit", "left")
     of = of.withColumn("label", F.coalesce("label", "unit"))
     names = of.groupBy("label").agg(F.min("least_id").alias("class_id"))
-    named = of.join(names, "label").select("set_id", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    rows = signed.select("doc_id", "set_id").join(named, "set_id", "left")
-    return rows.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    named = of.join(names, "label").select("set_id", "label", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    return signed.select("doc_id", "set_id", *(c for c in signed.columns if c == "text_id")).join(named, "set_id", "left")
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents, all columns as they were, one of each class: that of the least doc_id.
+    """The documents, all columns as they were, one of each class: that of the least doc_id, nulls last.
 
-    Of rows with the same doc_id the first by text stays, nulls last. Rows whose class
-    has no name (null ids) stay.
+    Of a class's rows with the same doc_id the first by text stays. Rows that share a
+    doc_id but no class do not touch each other. Rows without a word are classes alone
+    and stay.
     """
-    ids = join(docs, threshold)
-    stay = ids.where("class_id is not null").select(F.col("class_id").alias("_stays")).distinct()
+    text_id, blank = F.md5("text"), F.translate(F.coalesce("text", F.lit("")), GAPS, "") == ""
+    classes = _classes(docs.select("doc_id", "text", text_id.alias("text_id")), threshold).where("label is not null")
+    stay = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id")))
+    stay = land(stay.select(F.col("doc_id").alias("_stays"), F.col("text_id").alias("_as"), F.col("label").alias("_label")).distinct(), "stay")
     # the row travels as one value, so that none of its columns can clash with ours
-    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
-    order = Window.partitionBy("_stays").orderBy(F.col("_text").asc_nulls_last())
-    kept = rows.join(stay, F.col("_id") == F.col("_stays")).withColumn("_place", F.row_number().over(order))
-    return kept.where("_place = 1").select("_row.*").unionByName(docs.where("doc_id is null"))
+    rows = docs.where(~blank).select(F.struct("*").alias("_row"), F.col("doc_id").alias("_id"), F.col("text").alias("_text"), text_id.alias("_text_id"))
+    order = Window.partitionBy("_label").orderBy("_text")
+    same = F.col("_id").eqNullSafe(F.col("_stays")) & (F.col("_text_id") == F.col("_as"))
+    kept = rows.join(stay, same).withColumn("_place", F.row_number().over(order))
+    return kept.where("_place = 1").select("_row.*").unionByName(docs.where(blank))

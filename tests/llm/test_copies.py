@@ -147,6 +147,14 @@ def test_keep_one(clashing, docs, texts):
     assert Counter(r.doc_id for r in out.collect()) == Counter({1: 1, 2: 1, 3: 1, 4: 1, 6: 1, 8: 1, 9: 1, 10: 1, None: 2})
 
 
+def test_keep_one_of_repeated_and_null_ids(few):
+    """Different texts under one doc_id all stay; null ids are members of their classes."""
+    a, b, c, d = (variants(1, 60, seed, 0)[0] for seed in range(50, 54))
+    rows = [(1, a), (1, b), (1, b + " end"), (2, a), (None, a), (None, c), (None, c), (None, d), (3, d), (7, None), (7, " ")]
+    kept = Counter((r.doc_id, r.text) for r in jaccard.keep_one(few(*rows)).collect())
+    assert kept == Counter([(1, a), (1, b), (None, c), (3, d), (7, None), (7, " ")])
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(1, 60)] + [(100, 101), (103, 101), (7, 7)]
     got = {r.node: r.label for r in components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()}
