@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpus_health.llm import bpe, fingerprints, jaccard, language, mixing, quality, repeats, secrets, sharding, weaklabels
+from corpus_health.llm import bpe, fingerprints, jaccard, language, mixing, periods, quality, repeats, secrets, sharding, spelling, weaklabels, windows
 
 RANKS = "byte_bpe_50k.tiktoken"
 SHARDS = [f"shard-{i:03d}" for i in range(256)]
@@ -58,8 +58,24 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(documents(spark, sf_dir))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(documents(spark, sf_dir), drop=31))
+
+
+def op12_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.digest(periods.echo(documents(spark, sf_dir)))
+
+
+def op13_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.digest(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sharding, op2_language, op3_weak_labels, op4_bpe, op5_jaccard, op6_mix, op7_repeats, op8_fingerprints, op9_quality, op10_secrets)
+    f.__name__: f
+    for f in (
+        op1_sharding, op2_language, op3_weak_labels, op4_bpe, op5_jaccard, op6_mix, op7_repeats, op8_fingerprints,
+        op9_quality, op10_secrets, op11_spelling, op12_periods, op13_windows,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {
