@@ -35,7 +35,11 @@ def corpus_totals(files: DataFrame) -> DataFrame:
 def site_summary(files: DataFrame) -> DataFrame:
     """One row per site: size, activity, people, main category, recommendation."""
     named = files.where("site IS NOT NULL AND site_url IS NOT NULL")
-    parts = cells(named, ["site", "site_url"], ["category", "modified_by", "library"])
+    return summary_of(cells(named, ["site", "site_url"], ["category", "modified_by", "library"]))
+
+
+def summary_of(parts: DataFrame) -> DataFrame:
+    """The summary from the cells of each site by category, person and library."""
     return (
         parts.groupBy("site", "site_url")
         .agg(
@@ -107,12 +111,14 @@ def category_stats(files: DataFrame) -> DataFrame:
         F.count("file_name").alias("files"),
         F.sum("size_bytes").alias("bytes"),
     )
-    sums = by_site.groupBy("category").agg(
-        F.sum("n").alias("n"), F.sum("files").alias("files"), big_sum("bytes").alias("bytes")
+    # totals of the estate as one more row of the grouping; there are as many rows as categories
+    whole = F.grouping("category") == 1
+    sums = by_site.groupingSets([[F.col("category")], []], "category").agg(
+        whole.alias("whole"), F.sum("n").alias("n"), F.sum("files").alias("files"), big_sum("bytes").alias("bytes")
     )
-    # totals of the estate from the same sums: one more row of the grouping, not a window over all
-    every = by_site.agg(F.sum("n").alias("n"), big_sum("bytes").alias("bytes"))
-    all_files, all_bytes = every.select("n").scalar(), every.select("bytes").scalar()
+    every = Window.partitionBy()
+    all_files = F.max(F.when(F.col("whole"), F.col("n"))).over(every)
+    all_bytes = F.max(F.when(F.col("whole"), F.col("bytes"))).over(every)
     return (
         sums.select(
             "category",

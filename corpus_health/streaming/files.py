@@ -6,6 +6,8 @@ overwrites exactly what its first attempt wrote.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,7 +15,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from corpus_health.operators import clean, health, refresh, tenant
 from corpus_health.params import Params
+from corpus_health.plans.skew import salted_join
 from corpus_health.schemas import FILES
+from corpus_health.streaming import metrics
+from corpus_health.streaming.changes import ChangeLog, site_bucket  # noqa: F401
 
 
 def stream_files(
@@ -37,6 +42,21 @@ def land(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     )
 
 
+def changed_files(stream: DataFrame, version: str = "survey_no") -> DataFrame:
+    """The newest row of each file, whenever a batch brings a newer one; for update mode.
+
+    Keyed state holds one row per file, told apart as `refresh.latest_snapshot` does. A
+    row that is older than the kept one, or equal to it, changes nothing and is not handed on.
+    """
+    keys = ["site_url", "path"]
+    others = [name for name in stream.columns if name not in (*keys, version)]
+    earliness = -F.unix_micros(F.current_timestamp())  # of the batch: of equal rows the first stays
+    rows = stream.withColumn("_earliness", earliness).groupBy(*keys)
+    kept = rows.agg(F.max(F.struct(version, *others, "_earliness")).alias("_kept"))
+    new = kept.where(F.col("_kept._earliness") == earliness)
+    return new.select(*[F.col(name if name in keys else f"_kept.{name}").alias(name) for name in stream.columns])
+
+
 def stream_snapshot(
     stream: DataFrame,
     out: str,
@@ -47,32 +67,32 @@ def stream_snapshot(
 ) -> StreamingQuery:
     """Keep the newest row of each file current; `read_snapshot` reads it.
 
-    The live rows lie in buckets of sites. A batch reads the live rows of the buckets
-    it touches, merges its own into them as `refresh.latest_snapshot` would over the
-    whole history, and writes these buckets anew under its number. So its cost depends
-    on the live rows of the sites it touches and not on what came before, and there is
-    no state besides the snapshot. A late older row loses against the kept one. With
-    `drop_missing` a file that the newest survey of its site no longer lists is gone.
+    State knows the newest row of each file, so a batch writes the files that it changes
+    and reads nothing else. They lie in buckets of sites; a bucket is merged when its
+    changes have become large beside the rest of it (see `ChangeLog`), so what is written
+    over time stays in proportion to what changes. With `drop_missing` a file that the
+    newest survey of its site no longer lists is gone.
 
     Choose `buckets` so that one holds what a few tasks can merge; it stays for the
     life of `out`. A bucket is merged as a distributed job, a large site in it is no limit.
     """
+    settings = _settle(stream, out, version, drop_missing, buckets)
 
     def update(batch: DataFrame, batch_id: int) -> None:
-        _merge(batch, batch_id, out, version, drop_missing, buckets)
+        log = _files(batch.sparkSession, out, **settings)
+        log.fold(batch_id, log.append(batch, batch_id), batch.schema)
 
-    return _run(stream, update, checkpoint)
+    return _run(changed_files(stream, version), update, checkpoint)
 
 
 def read_snapshot(spark: SparkSession, out: str) -> DataFrame:
-    """The live rows: of each bucket what the last batch that touched it wrote."""
-    return _live(spark, f"{out}/live").drop("bucket", "batch_id")
+    """The live rows: the newest of each file of those that are kept."""
+    log = _files(spark, out, **_settings(spark, out))
+    return log.merge(log.rows())
 
 
 def stream_site_metrics(
     stream: DataFrame,
-    sites: DataFrame,
-    accounts: DataFrame,
     params: Params,
     out: str,
     checkpoint: str,
@@ -80,125 +100,101 @@ def stream_site_metrics(
     drop_missing: bool = False,
     buckets: int = 64,
 ) -> StreamingQuery:
-    """Keep the snapshot, and summary and health index of every site, current.
+    """Keep the snapshot, and what summary and health index of every site are made of, current.
 
-    After the snapshot's buckets, the metrics of the sites in them are made anew and
-    replace those buckets of the metrics.
+    A batch turns its changes into signed rows, new ones and the ones they replace, and
+    adds them up in the cells of their sites. Rows of other sites are not looked at;
+    `read_metrics` makes the metrics from cells alone, for any day.
     """
+    settings = _settle(stream, out, version, drop_missing, buckets)
 
     def update(batch: DataFrame, batch_id: int) -> None:
-        numbers = _merge(batch, batch_id, out, version, drop_missing, buckets)
-        if not numbers:
-            return
-        touched = F.col("bucket").isin(numbers)
-        mine = batch.sparkSession.read.parquet(*[f"{out}/live/bucket={n}/batch_id={batch_id}" for n in numbers])
-        own = sites.withColumn("bucket", site_bucket(buckets)).where(touched).drop("bucket")
-        _write(site_metrics(mine, own, accounts, params), f"{out}/metrics", batch_id, buckets)
+        spark = batch.sparkSession
+        log, parts = _files(spark, out, **settings), _cells(spark, out, buckets)
+        numbers = log.append(batch, batch_id)
+        new = log.changes(batch_id, numbers, batch.schema)
+        old = log.rows(batch_id, numbers, batch.schema)
+        sums = metrics.cells(signed_changes(new, old, version, drop_missing), params)
+        parts.fold(batch_id, parts.append(sums, batch_id), sums.schema)
+        log.fold(batch_id, numbers, batch.schema)
 
-    return _run(stream, update, checkpoint)
+    return _run(changed_files(stream, version), update, checkpoint)
 
 
-def read_metrics(spark: SparkSession, out: str) -> DataFrame:
-    return _live(spark, f"{out}/metrics").drop("bucket", "batch_id")
+def read_metrics(spark: SparkSession, out: str, sites: DataFrame, accounts: DataFrame, params: Params) -> DataFrame:
+    """Summary and health index of each site that has files, on the day of `params`."""
+    parts = _cells(spark, out, _settings(spark, out)["buckets"])
+    return metrics.site_metrics(parts.merge(parts.rows()), sites, accounts, params)
 
 
-def _run(stream: DataFrame, update, checkpoint: str) -> StreamingQuery:
-    return (
-        stream.writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(update)
-        .trigger(availableNow=True)
-        .start()
-    )
-
-
-def _merge(
-    batch: DataFrame, batch_id: int, out: str, version: str, drop_missing: bool, buckets: int
-) -> list[int]:
-    """Merge a batch into the live rows; the buckets it touched.
+def signed_changes(
+    new: DataFrame, old: DataFrame, version: str = "survey_no", drop_missing: bool = False
+) -> DataFrame:
+    """Rows with a `sign`: 1 for those that a batch makes live, -1 for those it takes out of the snapshot.
 
-    A batch that runs again finds the state before it, since it reads only what
-    earlier batches wrote, and overwrites its own.
+    `new` has the newest row of each file that changed, `old` rows of the state before,
+    of these sites at least. Rows of other sites and files that stay as they are cancel
+    before anything is compared.
     """
-    spark = batch.sparkSession
-    landed = f"{out}/batches/batch_id={batch_id}"
-    rows = batch.withColumn("bucket", site_bucket(buckets))
-    rows.hint("rebalance", "bucket").write.partitionBy("bucket").mode("overwrite").parquet(landed)
-    numbers = sorted(_versions(spark, landed))  # from folder names: at most `buckets`
-    if not numbers:
-        return []
-    before = _current(spark, f"{out}/live", batch_id)
-    new = spark.read.schema(batch.schema).parquet(*[f"{landed}/bucket={n}" for n in numbers])
-    old = [f"{out}/live/bucket={n}/batch_id={before[n]}" for n in numbers if n in before]
-    if old:
-        new = new.unionByName(spark.read.schema(batch.schema).parquet(*old))
-    latest = refresh.latest_snapshot(new, version, drop_missing)
-    _write(latest, f"{out}/live", batch_id, buckets)
-    _delete(spark, f"{out}/batches/batch_id={batch_id - 1}")  # merged, and its checkpoint is written
-    return numbers
-
-
-def _write(rows: DataFrame, path: str, batch_id: int, buckets: int) -> None:
-    """The rows' buckets as this batch leaves them; older ones are no longer read and go."""
-    spark = rows.sparkSession
-    numbered = rows.withColumns({"bucket": site_bucket(buckets), "batch_id": F.lit(batch_id)})
-    (
-        numbered.hint("rebalance", "bucket")
-        .write.partitionBy("bucket", "batch_id")
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .parquet(path)
-    )
-    # the state before this batch stays for the case that it runs again
-    for bucket, versions in _versions(spark, path).items():
-        done = sorted(v for v in versions if v < batch_id)
-        for v in done[:-1]:
-            _delete(spark, f"{path}/bucket={bucket}/batch_id={v}")
-
+    touched = new.select("site_url").distinct()
+    before = refresh.latest_snapshot(salted_join(old, touched, ["site_url"], "left_semi"), version, drop_missing)
+    keys = new.select(F.col("site_url").alias("_site"), F.col("path").alias("_path"), F.lit(True).alias("_changed"))
+    same = (before["site_url"] == keys["_site"]) & before["path"].eqNullSafe(keys["_path"])
+    gone = before.join(keys, same, "left").drop("_site", "_path")
+    leaves = F.coalesce("_changed", F.lit(False))
+    if drop_missing:
+        every = new.select("site_url", version).unionByName(before.select("site_url", version))
+        last = every.groupBy("site_url").agg(F.max(version).alias("_last"))
+        new = salted_join(new, last, ["site_url"], "inner").where(F.col(version) >= F.col("_last"))
+        gone = salted_join(gone, last, ["site_url"], "inner")
+        leaves = leaves | (F.col(version) < F.col("_last"))
+    gone = gone.where(leaves).select(*old.columns)
+    return new.select(*old.columns, F.lit(1).alias("sign")).unionByName(gone.withColumn("sign", F.lit(-1)))
 
-def _current(spark: SparkSession, path: str, before: int | None = None) -> dict[int, int]:
-    """The last batch that wrote each bucket, of those under the given number."""
-    found = {b: [v for v in vs if before is None or v < before] for b, vs in _versions(spark, path).items()}
-    return {b: max(vs) for b, vs in found.items() if vs}
 
-
-def _live(spark: SparkSession, path: str) -> DataFrame:
-    folders = [f"{path}/bucket={b}/batch_id={v}" for b, v in sorted(_current(spark, path).items())]
-    return spark.read.option("basePath", path).parquet(*folders)
+def site_metrics(
+    files: DataFrame, sites: DataFrame, accounts: DataFrame, params: Params
+) -> DataFrame:
+    """Summary and index of each site that has files."""
+    ready = clean.enrich(files, params)
+    indexed = health.health_index(ready, sites, accounts, params).drop("bytes")
+    return tenant.site_summary(ready).join(indexed, "site_url", "left")
 
 
-def _file_system(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+def _run(changes: DataFrame, update, checkpoint: str) -> StreamingQuery:
+    return (
+        changes.writeStream.outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(update)
+        .trigger(availableNow=True)
+        .start()
+    )
 
 
-def _versions(spark: SparkSession, path: str) -> dict[int, list[int]]:
-    """Batches by bucket, from the folder names below the path."""
-    fs, at = _file_system(spark, path)
-    if not fs.exists(at):
-        return {}
-    out: dict[int, list[int]] = {}
-    for bucket in fs.listStatus(at):
-        name = bucket.getPath().getName()
-        if name.startswith("bucket="):
-            inner = [f.getPath().getName() for f in fs.listStatus(bucket.getPath())]
-            out[int(name[7:])] = [int(n[9:]) for n in inner if n.startswith("batch_id=")]
-    return out
+def _files(spark: SparkSession, out: str, version: str, drop_missing: bool, buckets: int) -> ChangeLog:
+    merge = partial(refresh.latest_snapshot, version=version, drop_missing=drop_missing)
+    return ChangeLog(spark, f"{out}/files", buckets, merge)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    fs, at = _file_system(spark, path)
-    fs.delete(at, True)
+def _cells(spark: SparkSession, out: str, buckets: int) -> ChangeLog:
+    return ChangeLog(spark, f"{out}/cells", buckets, metrics.merged)
 
 
-def site_bucket(buckets: int):
-    return F.pmod(F.xxhash64("site_url"), F.lit(buckets).cast("bigint")).cast("int")
+def _settle(stream: DataFrame, out: str, version: str, drop_missing: bool, buckets: int) -> dict:
+    """What a snapshot is kept by stays for its life; state lies in RocksDB, on disk and in the checkpoint."""
+    spark = stream.sparkSession
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    wanted = {"version": version, "drop_missing": drop_missing, "buckets": buckets}
+    row = spark.createDataFrame([tuple(wanted.values())], "version string, drop_missing boolean, buckets int")
+    row.coalesce(1).write.mode("ignore").parquet(f"{out}/settings")
+    if (found := _settings(spark, out)) != wanted:
+        raise ValueError(f"{out} is kept with {found}")
+    return wanted
 
 
-def site_metrics(
-    files: DataFrame, sites: DataFrame, accounts: DataFrame, params: Params
-) -> DataFrame:
-    """Summary and index of each site that has files."""
-    ready = clean.enrich(files, params)
-    indexed = health.health_index(ready, sites, accounts, params).drop("bytes")
-    return tenant.site_summary(ready).join(indexed, "site_url", "left")
+def _settings(spark: SparkSession, out: str) -> dict:
+    return spark.read.parquet(f"{out}/settings").first().asDict()

@@ -3,10 +3,12 @@ from datetime import datetime
 
 import pytest
 from conftest import collect
+from pyspark.sql import functions as F
 
 from corpus_health.operators import health, refresh
 from corpus_health.schemas import FILES
 from corpus_health.streaming import files as streams
+from corpus_health.streaming import metrics
 
 DAY = datetime(2021, 6, 1)
 
@@ -46,7 +48,7 @@ def test_deleted_files_leave_snapshot_and_metrics(spark, frame, params, tmp_path
         frame(FILES, *batch).write.mode("append").parquet(landed)
         stream = streams.stream_files(spark, landed)
         query = streams.stream_site_metrics(
-            stream, sites, accounts, params, out, cp, drop_missing=True, buckets=2
+            stream, params, out, cp, drop_missing=True, buckets=2
         )
         query.awaitTermination()
         so_far = frame(FILES, *itertools.chain(*BATCHES[: n + 1]))
@@ -54,7 +56,7 @@ def test_deleted_files_leave_snapshot_and_metrics(spark, frame, params, tmp_path
         live = streams.read_snapshot(spark, out).select(*so_far.columns)
         assert collect(live) == collect(want)
         metrics = streams.site_metrics(want, sites, accounts, params)
-        got = streams.read_metrics(spark, out)
+        got = streams.read_metrics(spark, out, sites, accounts, params)
         assert collect(got, "site", "files", "bytes", "health") == collect(metrics, "site", "files", "bytes", "health")
     assert ("a", 2) in collect(got, "site", "files")  # y.doc is gone
 
@@ -74,6 +76,91 @@ def test_a_batch_reads_live_rows_and_not_the_history(spark, frame, tmp_path):
     assert sizes[2][0] == sizes[4][0] and sizes[2][1] == sizes[4][1]
 
 
+def test_a_batch_writes_what_it_changes(spark, frame, tmp_path):
+    """Five batches of a few files into a large site: late, equal and repeated rows cost nothing, changes their own bytes."""
+    landed, out, cp = (str(tmp_path / n) for n in ("landed", "out", "cp"))
+
+    def written(*rows):
+        frame(FILES, *rows).write.mode("append").parquet(landed)
+        before = {p: p.stat().st_mtime_ns for p in (tmp_path / "out").rglob("*.parquet")}
+        streams.stream_snapshot(streams.stream_files(spark, landed), out, cp, buckets=2).awaitTermination()
+        new = [p for p in (tmp_path / "out").rglob("*.parquet") if before.get(p) != p.stat().st_mtime_ns]
+        return sum(spark.read.parquet(*map(str, new)).count() for _ in new[:1]), sum(p.stat().st_size for p in new)
+
+    many = [row("a", f"f{i}-{hash((i, 'x'))}.pdf", 1, i * 7919 % 100_003) for i in range(20_000)]
+    assert written(*many)[0] >= len(many)
+    first = sum(p.stat().st_size for p in (tmp_path / "out").rglob("*.parquet"))
+    few = [row("a", r[4], 2, r[5] + 1) for r in many[:5]]
+    for batch, rows in (
+        (few, 5),  # newer
+        ([row("a", r[4], 0, 1) for r in many[:3000]], 0),  # late
+        (many[:3000] + few, 0),  # known
+        (few[:1] * 40 + [row("a", r[4], 3, 5) for r in few[:2]], 2),  # repeated, and two newer
+        ([row("b", "new.pdf", 0, 5)], 2),  # the first of its bucket: its base too
+    ):
+        n, size = written(*batch)
+        assert n == rows and size < first / 10
+    want = {r[-1]: r[5] for r in many} | {r[-1]: r[5] for r in few} | {r[-1]: 5 for r in few[:2]}
+    live = {r.path: r.size_bytes for r in streams.read_snapshot(spark, out).where("site = 'a'").collect()}
+    assert live == want
+
+
+def test_a_snapshot_keeps_its_settings(spark, frame, tmp_path):
+    landed, out, cp = (str(tmp_path / n) for n in ("landed", "out", "cp"))
+    frame(FILES, *BATCHES[0]).write.parquet(landed)
+    streams.stream_snapshot(streams.stream_files(spark, landed), out, cp, buckets=2).awaitTermination()
+    with pytest.raises(ValueError):
+        streams.stream_snapshot(streams.stream_files(spark, landed), out, cp, buckets=4)
+
+
+def test_no_row_of_an_untouched_site_is_read(spark, frame, params, tmp_path):
+    """The files of another bucket are replaced by ones that can't be read, and metrics go on; its sites age all the same."""
+    landed, out, cp = (str(tmp_path / n) for n in ("landed", "out", "cp"))
+    names = "abcdefgh"
+    sites = frame(SITES, *[(s, f"https://t/sites/{s}", True, None, "ann", "Disabled", True) for s in names])
+    accounts = frame("account string, enabled boolean, is_generic boolean", ("ann", True, False))
+    rows = [row(s, f"{i}.pdf", 1, 10 + i, datetime(2021, 6, 1 + i)) for s in names for i in range(9)]
+
+    def update(*batch):
+        frame(FILES, *batch).write.mode("append").parquet(landed)
+        streams.stream_site_metrics(streams.stream_files(spark, landed), params, out, cp, buckets=32).awaitTermination()
+
+    update(*rows)
+    of = {r.site: r.b for r in sites.select("site", streams.site_bucket(32).alias("b")).collect()}
+    assert of["b"] != of["a"]
+    for path in (tmp_path / "out" / "files").rglob(f"bucket={of['b']}/**/*.parquet"):
+        path.write_bytes(b"nothing")
+        path.with_name(f".{path.name}.crc").unlink(missing_ok=True)
+    more = [row("a", "0.pdf", 2, 99), row("a", "z.doc", 2, 5)]
+    update(*more)
+    live = refresh.latest_snapshot(frame(FILES, *rows, *more))
+    for day in (params, params.with_(as_of=datetime(2021, 9, 2)), params.with_(as_of=datetime(2021, 9, 5))):
+        want = streams.site_metrics(live, sites, accounts, day)
+        got = streams.read_metrics(spark, out, sites, accounts, day)
+        assert collect(got, *want.columns) == collect(want)
+    assert len({r.activity for r in got.collect() if r.site in "ab"}) == 2
+
+
+def test_signed_cells_are_those_of_the_live_rows(spark, frame, params):
+    """Users, libraries, last changes, copies and converted documents are taken back when rows go."""
+    new, old = {}, {}
+    for i in range(60):
+        name = ["x.pdf", "x.doc", "x.docx", "y.xls", "y.xlsx", "big.zip", "img.png"][i % 7]
+        old[i] = list(row("ab"[i % 2], f"p{i}", 1, (i % 5) * 10**8, datetime(2021, 1 + i % 6, 3)))
+        old[i][4], old[i][9], old[i][2], old[i][3] = name, f"u{i % 4}", ["Docs", "Other"][i % 3 == 0], ["Docs/TMP", "Docs/A"][i % 4 > 0]
+        if i % 2:
+            new[i] = list(old[i])
+            new[i][11], new[i][9], new[i][5], new[i][2], new[i][4] = 2, "u9", 7, "Docs", "x.pdf"
+    before, changed = frame(FILES, *map(tuple, old.values())), frame(FILES, *map(tuple, new.values()))
+    first = metrics.cells(before.withColumn("sign", F.lit(1)), params)
+    for drop in (False, True):
+        delta = metrics.cells(streams.signed_changes(changed, before, drop_missing=drop), params)
+        after = refresh.latest_snapshot(before.unionByName(changed), drop_missing=drop)
+        want = metrics.merged(metrics.cells(after.withColumn("sign", F.lit(1)), params))
+        got = metrics.merged(first.unionByName(delta))
+        assert collect(got, *want.columns) == collect(want)
+
+
 def test_site_metrics_follow_the_batches(spark, frame, params, tmp_path):
     landed, out, cp = (str(tmp_path / n) for n in ("landed", "out", "cp"))
     sites = frame(SITES, *[(s, f"https://t/sites/{s}", True, None, "ann", "Disabled", True) for s in "abc"])
@@ -81,8 +168,8 @@ def test_site_metrics_follow_the_batches(spark, frame, params, tmp_path):
 
     def update():
         stream = streams.stream_files(spark, landed)
-        streams.stream_site_metrics(stream, sites, accounts, params, out, cp, buckets=4).awaitTermination()
-        return collect(streams.read_metrics(spark, out), "site", "files", "bytes", "health")
+        streams.stream_site_metrics(stream, params, out, cp, buckets=4).awaitTermination()
+        return collect(streams.read_metrics(spark, out, sites, accounts, params), "site", "files", "bytes", "health")
 
     for n, batch in enumerate(BATCHES):
         frame(FILES, *batch).write.mode("append").parquet(landed)
