@@ -103,9 +103,9 @@ class Query:
 QUERIES: dict[str, Query] = {}
 
 
-def query(sql: str | None = None, views: tuple[str, ...] = ("clean",)):
+def query(sql: str | None = None, views: tuple[str, ...] = ("clean",), overrides: dict[str, str] | None = None):
     def register(run):
-        QUERIES[run.__name__] = Query(run, None if sql is None else duckdb_sql(sql, views))
+        QUERIES[run.__name__] = Query(run, None if sql is None else duckdb_sql(sql, views, overrides))
         return run
 
     return register
@@ -1474,6 +1474,50 @@ def h11_tenant_index(e):
     return _rounded(health.tenant_index(e.indexed), "health")
 
 
+RECONCILED = """
+SELECT count(*) FILTER (WHERE kind = 'listed') AS listed_sites, count(*) FILTER (WHERE kind = 'unlisted') AS unlisted_sites,
+  count(*) FILTER (WHERE kind = 'empty') AS empty_sites,
+  """ + ", ".join(
+    f"coalesce(sum(files) FILTER (WHERE kind = '{k}'), 0)::BIGINT AS {k}_files,"
+    f" coalesce(sum(bytes) FILTER (WHERE kind = '{k}'), 0)::DOUBLE / 1e9 AS {k}_gb" for k in ("listed", "unlisted", "unplaced")
+) + """
+FROM (SELECT *, CASE WHEN files IS NULL THEN 'empty' WHEN l.site_url IS NOT NULL THEN 'listed'
+    WHEN f.site_url IS NOT NULL THEN 'unlisted' ELSE 'unplaced' END AS kind
+  FROM (SELECT CASE WHEN survey_no = 2 AND checked_out THEN NULL ELSE site_url END AS site_url,
+      count(*) AS files, sum(size_bytes) AS bytes FROM clean GROUP BY 1) f
+  FULL JOIN (SELECT DISTINCT site_url FROM listed_sites) l ON f.site_url = l.site_url)"""
+
+
+def _unplaced(files: DataFrame) -> DataFrame:
+    """Some files whose rows name no site."""
+    lost = (F.col("survey_no") == 2) & F.col("checked_out")
+    return files.withColumn("site_url", F.when(~lost, F.col("site_url")))
+
+
+QUERIES["h11_reconciliation"] = Query(
+    lambda e: health.reconciliation(_unplaced(clean.enrich(e.table("more_files"), PARAMS)), e.table("listed_sites")),
+    duckdb_sql(RECONCILED, ("clean", "more_files", "listed_sites"), {"clean": _clean("more_files")}),
+)
+
+
+def h11_tenant_index_reconciled(e):
+    files, listed = clean.enrich(e.table("more_files"), PARAMS), e.table("listed_sites")
+    indexed = health.health_index(files, listed, e.table("accounts"), PARAMS)
+    return _rounded(health.tenant_index_reconciled(indexed, files, listed), "health", "pct_weighed")
+
+
+QUERIES["h11_tenant_index_reconciled"] = Query(
+    h11_tenant_index_reconciled,
+    duckdb_sql(
+        f"""SELECT r.*, round(listed_gb / (listed_gb + unlisted_gb + unplaced_gb) * 100, 6) AS pct_weighed,
+  (SELECT round(sum(({_index()}) * bytes) / sum(bytes) FILTER (WHERE ({_index()}) IS NOT NULL), 6) FROM dims) AS health
+FROM ({RECONCILED.replace("CASE WHEN survey_no = 2 AND checked_out THEN NULL ELSE site_url END", "site_url")}) r""",
+        ("clean", "more_files", "listed_sites", "dims"),
+        {"clean": _clean("more_files"), "dims": _dims("site_url").replace("FROM sites ", "FROM listed_sites ")},
+    ),
+)
+
+
 @query(f"SELECT site_url, health, {STAGE} AS maturity FROM indexed", ("indexed",))
 def h12_maturity(e):
     return health.maturity(e.indexed).select("site_url", "health", "maturity")
@@ -1500,6 +1544,38 @@ def h14_index_trend(e):
     return _rounded(health.index_trend(health.site_index(dims)), "health", "change")
 
 
+@query(
+    f"""SELECT survey_no, round(health, 6) AS health, sites, carried, round(health - lag(health) OVER (ORDER BY survey_no), 6) AS change
+FROM (SELECT survey_no, sum(health * bytes) / sum(bytes) FILTER (WHERE health IS NOT NULL) AS health, count(*) AS sites,
+    count(*) FILTER (WHERE scored_in < survey_no) AS carried
+  FROM (SELECT v.survey_no, d.scored_in, d.bytes, d.health FROM (SELECT DISTINCT survey_no FROM refreshed_files) v
+    JOIN (SELECT survey_no AS scored_in, site_url, bytes, {_index()} AS health FROM ({_dims('survey_no, site_url')})) d
+      ON d.scored_in <= v.survey_no
+    QUALIFY row_number() OVER (PARTITION BY v.survey_no, site_url ORDER BY scored_in DESC) = 1)
+  GROUP BY survey_no)""",
+    ("clean", "refreshed_files", "sites", "accounts"),
+    {"clean": _clean("refreshed_files")},
+)
+def h14_estate_trend_of_a_refresh(e):
+    files = clean.enrich(e.table("refreshed_files"), PARAMS)
+    dims = health.dimensions(files, e.sites, e.table("accounts"), PARAMS, version="survey_no")
+    return _rounded(health.estate_trend(health.site_index(dims)), "health", "change")
+
+
+@query(
+    f"""SELECT v.survey_no, d.site_url, d.scored_in, d.bytes, d.health FROM (SELECT DISTINCT survey_no FROM refreshed_files) v
+JOIN (SELECT survey_no AS scored_in, site_url, bytes, {_index()} AS health FROM ({_dims('survey_no, site_url')})) d
+  ON d.scored_in <= v.survey_no
+QUALIFY row_number() OVER (PARTITION BY v.survey_no, d.site_url ORDER BY scored_in DESC) = 1""",
+    ("clean", "refreshed_files", "sites", "accounts"),
+    {"clean": _clean("refreshed_files")},
+)
+def h14_carried(e):
+    files = clean.enrich(e.table("refreshed_files"), PARAMS)
+    dims = health.dimensions(files, e.sites, e.table("accounts"), PARAMS, version="survey_no")
+    return health.carried(health.site_index(dims)).select("survey_no", "site_url", "scored_in", "bytes", "health")
+
+
 @query(
     " UNION ALL ".join(
         f"SELECT site_url, bytes, '{name}' AS profile, {_index(w)} AS health FROM dims"
@@ -1624,12 +1700,8 @@ def _metrics_sql() -> str:
 
 def st3_stream_site_metrics(e):
     out = e.folder("st3")
-    _finish(
-        streams.stream_site_metrics(
-            _stream(e), e.sites, e.table("accounts"), PARAMS, out, f"{out}/checkpoint", buckets=16
-        )
-    )
-    metrics = streams.read_metrics(e.spark, out)
+    _finish(streams.stream_site_metrics(_stream(e), PARAMS, out, f"{out}/checkpoint", buckets=16))
+    metrics = streams.read_metrics(e.spark, out, e.sites, e.table("accounts"), PARAMS)
     return metrics.select("site_url", *METRICS, "health", "maturity")
 
 

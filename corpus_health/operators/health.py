@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from corpus_health import constants as c
 from corpus_health.functions import text, times
+from corpus_health.functions.measures import big_sum, gb, pct, total
 from corpus_health.params import Params, check_weights
+from corpus_health.plans.skew import heavy_join, heavy_keys
 
 SITE_KEY = ("site_url",)
 DIMENSIONS = tuple(c.WEIGHTS)
@@ -111,17 +113,22 @@ def dup_volume(
     by_folder = (
         sized.withColumns({"ext": F.coalesce("ext", F.lit("")), "folder": _folder()})
         .groupBy(*copy_of, "folder")
-        .agg(F.count("*").alias("n"), F.min(F.coalesce("path", F.lit(""))).alias("path"))
+        .agg(
+            F.count("*").alias("n"),
+            F.min(F.coalesce("path", F.lit(""))).alias("path"),
+            # of the group; as a value of the row, filters on it leave the rows below alone: one scan for all
+            F.max(F.xxhash64(*copy_of)).alias("_key"),
+        )
     )
     kept = (
         by_folder.groupBy(*copy_of)
-        .agg(F.min(F.struct("path", "folder")).alias("kept"), F.sum("n").alias("copies"))
+        .agg(F.min(F.struct("path", "folder")).alias("kept"), F.sum("n").alias("copies"), F.max("_key").alias("_key"))
         .where("copies > 1")
-        .select(*copy_of, F.col("kept.folder").alias("kept_folder"))
+        .select(*copy_of, "_key", F.col("kept.folder").alias("kept_folder"))
     )
-    # each row by itself: the kept copy's folder gives all its copies but the kept one, so no
-    # group is put together again after the join and Spark may split a large one
-    compared = by_folder.join(kept, copy_of)
+    # each row by itself: the kept copy's folder gives all its copies but the kept one. The folders
+    # of a name that very many folders hold are compared in several tasks
+    compared = heavy_join(by_folder, kept, copy_of, "_key", heavy_keys(by_folder, "_key"))
     alike = folder_similarity(F.col("folder"), F.col("kept_folder")) >= similar
     counted = F.when(alike, F.col("n")).otherwise(0) - F.when(
         F.col("folder") == F.col("kept_folder"), 1
@@ -145,9 +152,9 @@ def legacy_volume(
     over the migration limit, and any listed binary format.
     """
     readable_too = F.col("ext").isin("doc", "docx", "xls", "xlsx")
-    some = _of_sites(files, keys).where(readable_too | _unreadable(binary_exts))
+    some = _of_sites(files, keys).where(readable_too | unreadable_format(binary_exts))
     cells = _folder_cells(some, binary_exts, keys)
-    return cells.groupBy(*keys).agg(F.sum(_legacy_bytes()).alias("legacy_bytes"))
+    return cells.groupBy(*keys).agg(F.sum(legacy_bytes()).alias("legacy_bytes"))
 
 
 def _folder_cells(
@@ -159,10 +166,8 @@ def _folder_cells(
     All other files share one cell per folder.
     """
     ext, size = F.col("ext"), F.col("size_bytes")
-    unreadable = _unreadable(binary_exts)
-    document = ext.isin("doc", "docx", "xls", "xlsx")
-    stem = F.when(document, text.file_stem(F.col("file_name"))).alias("stem")
-    return files.groupBy(*keys, "folder", stem).agg(
+    unreadable = unreadable_format(binary_exts)
+    return files.groupBy(*keys, "folder", document_stem().alias("stem")).agg(
         F.sum(F.when((ext == "doc") & ~unreadable, size)).alias("doc"),
         F.sum(F.when((ext == "xls") & ~unreadable, size)).alias("xls"),
         F.coalesce(F.bool_or(ext == "docx"), F.lit(False)).alias("has_docx"),
@@ -172,7 +177,13 @@ def _folder_cells(
     )
 
 
-def _legacy_bytes() -> Column:
+def document_stem() -> Column:
+    """What an original and its converted file are called alike; NULL for all other files."""
+    document = F.col("ext").isin("doc", "docx", "xls", "xlsx")
+    return F.when(document, text.file_stem(F.col("file_name")))
+
+
+def legacy_bytes() -> Column:
     """Legacy bytes of a folder cell."""
     zero = F.lit(0).cast("bigint")
     return (
@@ -199,7 +210,7 @@ def noise_volume(files: DataFrame, params: Params, keys: Sequence[str] = SITE_KE
         .groupBy(*keys, "folder", "file_name", "size_bytes", "ext")
         .agg(F.count("*").alias("n"), F.min("path").alias("path"))
         .withColumn("stem", F.coalesce(text.file_stem(F.col("file_name")), F.lit("")))
-        .withColumn("marked", junk | _unreadable(params.binary_exts))
+        .withColumn("marked", junk | unreadable_format(params.binary_exts))
     )
     # a converted file stands beside its original: same folder and stem, the same format's newer
     # extension; other formats share no cell, so a folder of them is not put in one place
@@ -228,7 +239,7 @@ def noise_volume(files: DataFrame, params: Params, keys: Sequence[str] = SITE_KE
     return groups.groupBy(*keys).agg(F.sum(F.col("size_bytes") * noisy).alias("noise_bytes"))
 
 
-def _unreadable(binary_exts: Iterable[str]) -> Column:
+def unreadable_format(binary_exts: Iterable[str]) -> Column:
     big_zip = (F.col("ext") == "zip") & (F.col("size_bytes") > c.MIGRATION_LIMIT_BYTES)
     listed = [e.lower() for e in binary_exts]
     out = big_zip | F.col("ext").isin(listed) if listed else big_zip
@@ -248,6 +259,12 @@ def _of_sites(files: DataFrame, keys: Sequence[str]) -> DataFrame:
 # --- dimensions that need the files -------------------------------------------
 
 
+def is_active(params: Params) -> Column:
+    """Changed in the days up to the one that ages are counted to."""
+    first, last = times.days_before(params.today, params.activity_days), times.timestamp(params.today)
+    return times.within(F.col("modified_ts"), first, last)
+
+
 def file_scores(
     files: DataFrame,
     params: Params,
@@ -263,12 +280,7 @@ def file_scores(
     if overlap not in ("sum", "union"):
         raise ValueError("overlap must be 'sum' or 'union'")
     keys = list(keys)
-    size, zero = F.col("size_bytes"), F.lit(0).cast("bigint")
-    active = times.within(
-        F.col("modified_ts"),
-        times.days_before(params.today, params.activity_days),
-        times.timestamp(params.today),
-    )
+    size, active = F.col("size_bytes"), is_active(params)
     # total, active, legacy and junk bytes from one pass, by way of folder cells
     folders = _folder_cells(
         _of_sites(files, keys),
@@ -281,7 +293,7 @@ def file_scores(
     volumes = folders.groupBy(*keys).agg(
         F.sum("bytes").alias("bytes"),
         F.sum("active_bytes").alias("active_bytes"),
-        F.sum(_legacy_bytes()).alias("legacy_bytes"),
+        F.sum(legacy_bytes()).alias("legacy_bytes"),
         F.sum(F.when(junk, F.col("bytes"))).alias("junk_bytes"),
     )
     if overlap == "union":
@@ -290,8 +302,13 @@ def file_scores(
     else:
         parts = ["dup_bytes", "legacy_bytes", "junk_bytes"]
         noise = dup_volume(files, similar, keys)
-    joined = volumes.join(noise, keys, "left").withColumns(
-        {p: F.coalesce(p, zero) for p in [*parts, "active_bytes"]}
+    return scored(volumes.join(noise, keys, "left"), keys, parts)
+
+
+def scored(volumes: DataFrame, keys: Sequence[str], parts: Sequence[str]) -> DataFrame:
+    """Quality and activity from the bytes of each key: all, active, and the `parts` that are noise."""
+    joined = volumes.withColumns(
+        {p: F.coalesce(p, F.lit(0).cast("bigint")) for p in [*parts, "active_bytes"]}
     )
     noise_bytes = sum((F.col(p) for p in parts[1:]), F.col(parts[0]))
     return joined.select(
@@ -341,15 +358,27 @@ def dimensions(
 
     With `version` there is one row per (survey, site) that has files.
     """
+    keys = ["site_url"] if version is None else [version, "site_url"]
+    by_files = file_scores(files, params, keys, **options)
+    return dimensions_of(by_files, sites, accounts, params, owners, keys)
+
+
+def dimensions_of(
+    by_files: DataFrame,
+    sites: DataFrame,
+    accounts: DataFrame,
+    params: Params,
+    owners: DataFrame | None = None,
+    keys: Sequence[str] = SITE_KEY,
+) -> DataFrame:
+    """The same from the scores that need the files; all sites of the inventory where they are the only key."""
     by_inventory = sites.select(
         "site_url",
         architecture(params.name_patterns).alias("architecture"),
         sharing().alias("sharing"),
         lifecycle().alias("lifecycle"),
     ).join(score_ownership(sites, accounts, owners), "site_url")
-    keys = ["site_url"] if version is None else [version, "site_url"]
-    by_files = file_scores(files, params, keys, **options)
-    dims = by_inventory.join(by_files, "site_url", "left" if version is None else "inner")
+    dims = by_inventory.join(by_files, "site_url", "left" if len(keys) == 1 else "inner")
     return dims.select(
         *keys,
         F.coalesce("bytes", F.lit(0).cast("bigint")).alias("bytes"),
@@ -383,6 +412,40 @@ def tenant_index(indexed: DataFrame) -> DataFrame:
     return indexed.agg(weighted_mean("health").alias("health"))
 
 
+def reconciliation(files: DataFrame, sites: DataFrame) -> DataFrame:
+    """One row: what of files and inventory the index can weigh, and what each side has alone.
+
+    `listed_*` are sites with files that the inventory lists, `unlisted_*` those it does
+    not list, `unplaced_*` files that name no site, and `empty_sites` the listed ones
+    without a file. All files of the survey are in one of the three.
+    """
+    found = files.groupBy("site_url").agg(F.count("*").alias("files"), F.sum("size_bytes").alias("bytes"))
+    listed = sites.where(F.col("site_url").isNotNull()).groupBy("site_url").agg(F.lit(True).alias("listed"))
+    both = found.join(listed, "site_url", "full")
+    has_files, is_listed = F.col("files").isNotNull(), F.col("listed").isNotNull()
+    parts = {
+        "listed": has_files & is_listed,
+        "unlisted": has_files & ~is_listed & F.col("site_url").isNotNull(),
+        "unplaced": has_files & F.col("site_url").isNull(),
+    }
+    sums = []
+    for name, of in parts.items():
+        sums += [F.count_if(of).alias(f"{name}_sites")] if name != "unplaced" else []
+        sums += [
+            total(F.when(of, F.col("files"))).alias(f"{name}_files"),
+            F.coalesce(gb(big_sum(F.when(of, F.col("bytes")))), F.lit(0.0)).alias(f"{name}_gb"),
+        ]
+    return both.agg(*sums, F.count_if(is_listed & ~has_files).alias("empty_sites"))
+
+
+def tenant_index_reconciled(indexed: DataFrame, files: DataFrame, sites: DataFrame) -> DataFrame:
+    """The index of the estate beside what it leaves out, and the share of volume that it weighs."""
+    known = reconciliation(files, sites)
+    volume = F.col("listed_gb") + F.col("unlisted_gb") + F.col("unplaced_gb")
+    weighed = known.withColumn("pct_weighed", pct(F.col("listed_gb"), volume))
+    return tenant_index(indexed).crossJoin(weighed)  # one row each
+
+
 def stage(health: Column) -> Column:
     return (
         F.when(health < c.CURATION_FROM, c.BASELINE_STAGE)
@@ -402,13 +465,43 @@ def tenant_dimensions(dims: DataFrame) -> DataFrame:
 
 
 def index_trend(indexed: DataFrame, version: str = "survey_no") -> DataFrame:
-    """Estate index per survey and its change from the one before."""
+    """Estate index per survey and its change from the one before; see `estate_trend` for surveys of some sites."""
     per_survey = indexed.groupBy(version).agg(weighted_mean("health").alias("health"))
     # one row per survey of the estate: a handful a year
     before = F.lag("health").over(Window.orderBy(version))
     return per_survey.withColumn("change", F.col("health") - before)
 
 
+def carried(indexed: DataFrame, version: str = "survey_no") -> DataFrame:
+    """One row per survey and site that was surveyed by then: its last row so far, and `scored_in`, the survey it is of.
+
+    A refresh surveys some sites only; the others keep the score they had. A site whose
+    last survey found no volume has no score from then on, until it is surveyed again.
+    """
+    # the surveys of the estate, a handful a year, in each row; each score counts up to the site's next survey
+    surveys = indexed.select(F.sort_array(F.collect_set(version))).scalar()
+    following = F.lead(version).over(Window.partitionBy("site_url").orderBy(version))
+    rows = indexed.where(F.col("site_url").isNotNull()).withColumns({"_until": following, "_surveys": surveys})
+    counts = F.filter("_surveys", lambda s: (s >= F.col(version)) & (F.col("_until").isNull() | (s < F.col("_until"))))
+    rest = [name for name in indexed.columns if name != version]
+    return rows.select(F.explode(counts).alias(version), F.col(version).alias("scored_in"), *rest)
+
+
+def estate_trend(indexed: DataFrame, version: str = "survey_no") -> DataFrame:
+    """Estate index after each survey, also one of some sites, and its change from the one before.
+
+    `sites` were surveyed by then, `carried` of them not in this survey.
+    """
+    rows = carried(indexed, version)
+    after = rows.groupBy(version).agg(
+        weighted_mean("health").alias("health"),
+        F.count("*").alias("sites"),
+        F.count_if(F.col("scored_in") < F.col(version)).alias("carried"),
+    )
+    before = F.lag("health").over(Window.orderBy(version))  # one row per survey
+    return after.withColumn("change", F.col("health") - before)
+
+
 def reweight(dims: DataFrame, profiles: Mapping[str, Mapping[str, float]]) -> DataFrame:
     """The index of every site under each weight profile."""
     scored = [

@@ -57,6 +57,28 @@ def salted_join(
     return spread.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
+def heavy_keys(df: DataFrame, key: str, k: int = 64) -> Column:
+    """The values of a bigint column that hold more than 1 / (2 k) of all rows: fewer than 2 k, by a sketch of fixed size.
+
+    One that the sketch takes for heavy by mistake does no harm.
+    """
+    found = df.agg(F.expr(f"approx_top_k({key}, {k}, {64 * k})").alias("top"), F.count("*").alias("n"))
+    heavy = F.filter("top", lambda t: t["count"] * 2 * k > F.col("n"))
+    return found.select(F.transform(heavy, lambda t: t["item"])).scalar()
+
+
+def heavy_join(big: DataFrame, small: DataFrame, on: Sequence[str], key: str, heavy: Column) -> DataFrame:
+    """Inner join with one row per key, in which the rows of heavy keys stay where they are.
+
+    Both sides have `key`, a hash of the columns joined `on`. Heavy keys are fewer than a
+    bound (see `heavy_keys`), so their rows of `small` are sent to all tasks; all other
+    rows are joined as usual.
+    """
+    hot = F.array_contains(heavy, F.col(key))
+    plain = big.where(~hot).join(small.where(~hot).drop(key), on)
+    return plain.unionByName(big.where(hot).join(F.broadcast(small.where(hot).drop(key)), on))
+
+
 def _salt(columns: Sequence[str], salts: int) -> Column:
     # from the values, so a retried task sends each row to the same place again
     return F.pmod(F.xxhash64(*columns), F.lit(salts).cast("bigint"))

@@ -152,6 +152,17 @@ UNION ALL SELECT site, site_url, 'Documents' AS library, 'Documents/Plain' AS fo
   concat(replace(site_url, 'https://tenant.example', ''), '/Documents/Plain/', site) AS path
 FROM subsites
 """
+# A refresh: the second of three surveys lists some sites only.
+VIEWS["refreshed_files"] = """
+SELECT * FROM files WHERE survey_no <> 1 OR site LIKE '%1' OR site LIKE '%4' OR site LIKE '%7'
+"""
+# An inventory that lists sites without files, and misses the subsites that `more_files` has files of.
+VIEWS["listed_sites"] = """
+SELECT * FROM sites
+UNION ALL SELECT concat('Empty ', site) AS site, concat(site_url, '/empty') AS site_url, template, is_hub, hub_id, storage_mb,
+  owner, sharing, lock_state, has_retention, last_activity_ts
+FROM sites WHERE is_hub
+"""
 # Runs of each survey; the newest one of some sites did not come to its end.
 VIEWS["runs"] = """
 SELECT concat('https://tenant.example/sites/s', cast(s_suppkey AS string)) AS site_url, cast(v AS int) AS survey_no,

@@ -6,6 +6,7 @@ from datetime import datetime
 
 import pytest
 from conftest import collect
+from pyspark.sql import functions as F
 
 from corpus_health.operators import health
 
@@ -150,3 +151,31 @@ def test_half_is_not_stale(files, params):
         dict(site_url="u/b", size_bytes=6, modified_ts=old), dict(site_url="u/b", size_bytes=5, modified_ts=None),
     )
     assert collect(health.stale_sites(df, params.as_of), "site_url") == [("u/b",)]
+
+
+def test_a_refresh_of_some_sites_moves_the_trend_by_their_change_only(frame):
+    rows = frame(
+        "survey_no int, site_url string, bytes bigint, health double",
+        (1, "a", 10, 50.0), (1, "b", 30, 90.0), (3, "a", 10, 70.0), (4, "c", 20, 10.0), (7, "b", 0, None), (7, None, 5, 99.0),
+    )
+    kept = collect(health.carried(rows), "survey_no", "site_url", "scored_in", "health")
+    assert kept == sorted(
+        [(1, "a", 1, 50.0), (1, "b", 1, 90.0), (3, "a", 3, 70.0), (3, "b", 1, 90.0), (4, "a", 3, 70.0), (4, "b", 1, 90.0),
+         (4, "c", 4, 10.0), (7, "a", 3, 70.0), (7, "b", 7, None), (7, "c", 4, 10.0)],
+        key=str,
+    )
+    trend = collect(health.estate_trend(rows), "survey_no", "health", "change", "sites", "carried")
+    assert trend == [(1, 80.0, None, 2, 0), (3, 85.0, 5.0, 2, 1), (4, 60.0, -25.0, 3, 2), (7, 30.0, -30.0, 3, 2)]
+    assert health.estate_trend(rows.limit(0)).count() == 0
+
+
+def test_every_file_is_listed_unlisted_or_unplaced(frame, files, params):
+    rows = files({"size_bytes": 10**9}, {"site_url": "https://t/sites/gone", "size_bytes": 3 * 10**9}, {}, params=params)
+    rows = rows.unionByName(rows.limit(1).withColumn("site_url", F.lit(None).cast("string")))
+    sites = frame("site_url string", ("https://t/sites/a",), ("https://t/sites/empty",), (None,), ("https://t/sites/a",))
+    got = health.reconciliation(rows, sites).collect()[0].asDict()
+    assert (got["listed_sites"], got["unlisted_sites"], got["empty_sites"]) == (1, 1, 1)
+    assert (got["listed_files"], got["unlisted_files"], got["unplaced_files"]) == (2, 1, 1)
+    assert got["unlisted_gb"] == 3.0
+    none = health.reconciliation(rows.limit(0), sites).collect()[0]
+    assert none.listed_files == 0 and none.listed_gb == 0.0 and none.empty_sites == 2

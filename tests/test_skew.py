@@ -109,3 +109,48 @@ def test_hot_key_spreads_over_tasks(spark, hot, frame):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert sum(sizes) == N * 7 // 10 and len(sizes) > 1 and max(sizes) < 0.7 * sum(sizes)
+
+
+def test_one_name_in_very_many_folders(spark, monkeypatch):
+    """60,000 folders under one name are compared in several tasks, from one scan, without broadcast by size."""
+    from corpus_health.operators import health
+
+    n = 60_000
+    i = F.col("id")
+    rows = spark.range(n + 3000).select(
+        F.lit("hot").alias("site_url"),
+        F.when(i < n, "same").otherwise(F.concat(F.lit("f"), i % 1000)).alias("file_name"),
+        F.lit(7).cast("bigint").alias("size_bytes"),
+        F.lit("pdf").alias("ext"),
+        F.concat(F.lit("Docs/"), i % 2, F.lit("/"), i).alias("folder"),
+        F.format_string("p%06d", i).alias("path"),
+    )
+    old = {name: spark.conf.get(name) for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled")}
+    for name, value in zip(old, ("-1", "false"), strict=True):
+        spark.conf.set(name, value)
+    seen = {}
+
+    def watched(*args):
+        seen["rows"] = skew.heavy_join(*args)
+        return seen["rows"]
+
+    monkeypatch.setattr(health, "heavy_join", watched)
+    try:
+        got = health.dup_volume(rows, similar=0.5).collect()
+        sizes = [r["count"] for r in seen["rows"].groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for name, value in old.items():
+            spark.conf.set(name, value)
+    # names like Docs and 0 are shared by half of the 60,000, and by none of the few copies of other names in both halves
+    folder = lambda k: {"Docs", str(k % 2), str(k)}
+    alike = lambda a, b: len(folder(a) & folder(b)) * 2 >= len(folder(a) | folder(b))
+    want = sum(alike(0, k) for k in range(1, n)) + sum(alike(n + k % 1000, n + k) for k in range(1000, 3000))
+    assert [r.dup_bytes for r in got] == [7 * want]
+    assert sum(sizes) == n + 3000 and max(sizes) < 0.5 * n
+
+
+def test_heavy_keys(spark):
+    rows = spark.range(50_000).select(F.when(F.col("id") % 3 == 0, -5).otherwise(F.col("id")).cast("bigint").alias("key"))
+    found = rows.limit(1).select(skew.heavy_keys(rows, "key").alias("k")).collect()[0].k
+    assert -5 in found and len(found) < 128
+    assert spark.range(1).select(skew.heavy_keys(rows.where("key < -9"), "key").alias("k")).collect()[0].k == []
