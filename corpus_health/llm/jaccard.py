@@ -92,9 +92,9 @@ def _sketch(sig: np.ndarray) -> list[int]:
 def sign(docs: DataFrame, depths: tuple[int, ...]) -> DataFrame:
     """row, doc_id, set_id, n, sketch, and the prefixes of each depth; landed. set_id is null without words.
 
-    A column text_id goes along if there is one.
+    Columns text_id and text_key go along if there are such.
     """
-    own = ["text_id"] if "text_id" in docs.columns else []
+    own = [c for c in ("text_id", "text_key") if c in docs.columns]
     words = _N // _WORD
     columns = [f"k{d}" for d in depths]
     schema = ", ".join(
@@ -265,12 +265,14 @@ def _verify(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
 def verify(docs: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
     """unit, links, least for each unit of the groups and each pair of blocks it is in; landed.
 
-    `groups` has unit, label (the group), doc_id, set_id and copies.
+    `groups` has unit, label (the group), set_id, copies, and doc_id and text_key of a row
+    that has the unit's text; ids may be null or repeat.
     """
     sizes = groups.groupBy("label").agg(F.count(F.lit(1)).alias("m"))
     wide = groups.join(sizes, "label").withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
     wide = wide.withColumn("block", F.pmod(F.xxhash64("unit"), F.col("blocks")).cast("int")).drop("m")
-    texts = docs.select("doc_id", "text").join(wide, "doc_id").drop("doc_id")
+    rows = docs.select(F.col("doc_id").alias("id"), _text_key().alias("key"), "text")
+    texts = rows.join(wide, (F.col("key") == F.col("text_key")) & F.col("id").eqNullSafe(F.col("doc_id")))
 
     def begin():
         def run(texts, labels, units, set_ids, copies, blocks, block):
@@ -293,6 +295,10 @@ def verify(docs: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
     return land(keyed.groupBy("label", "low", "high").applyInPandas(each, "unit bigint, links bigint, least bigint"), "verified")
 
 
+def _text_key() -> Column:
+    return F.xxhash64("text").cast("string")
+
+
 def join(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, class_id, n_links of each document.
 
@@ -310,14 +316,15 @@ def join(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 def _classes(docs: DataFrame, threshold: float) -> DataFrame:
     """What `sign` gives of each row, with label, class_id and n_links of its class, null without words."""
     first = depth(threshold)
-    signed = sign(docs, (first,))
+    signed = sign(docs.withColumn("text_key", _text_key()), (first,))
     sets = land(
         signed.where("set_id is not null")
         .groupBy("set_id")
-        .agg(F.min("row").alias("unit"), F.min_by("doc_id", "row").alias("doc_id"), F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("copies")),
+        .agg(F.min("row").alias("unit"), F.min_by(F.struct("doc_id", "text_key"), "row").alias("at"), F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("copies"))
+        .select("*", "at.*").drop("at"),
         "sets",
     )
-    units = signed.drop("doc_id", "set_id").withColumnRenamed("row", "unit").join(sets.select("unit"), "unit")
+    units = signed.drop("doc_id", "set_id", "text_key").withColumnRenamed("row", "unit").join(sets.select("unit"), "unit")
     likely = land(candidates(units, first, threshold), "likely")
     groups = components(likely).withColumnRenamed("node", "unit").join(sets, "unit")
     checked = verify(docs, groups, threshold)

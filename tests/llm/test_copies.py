@@ -155,6 +155,17 @@ def test_keep_one_of_repeated_and_null_ids(few):
     assert kept == Counter([(1, a), (1, b), (None, c), (3, d), (7, None), (7, " ")])
 
 
+def test_near_texts_without_id_or_under_one_id(few):
+    """Links are not lost where ids are null or repeat."""
+    near = [variants(3, 300, seed, 2) for seed in range(60, 65)]
+    ids = [(None, None, 1), (None, None, None), (3, 3, 3), (4, None, 4), (5, 6, None)]
+    rows = [(i, t) for own, texts in zip(ids, near, strict=True) for i, t in zip(own, texts, strict=True)]
+    want = brute_join(rows)
+    assert sum(links > 0 for _, _, links in want) == 15
+    assert joined(few(*rows)) == want
+    assert jaccard.keep_one(few(*rows)).count() == 5
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(1, 60)] + [(100, 101), (103, 101), (7, 7)]
     got = {r.node: r.label for r in components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()}
