@@ -19,7 +19,7 @@ from corpus_health.functions import text
 from corpus_health.operators import (
     clean, debt, health, inventory, portfolio, refresh, site, tenant,
 )
-from corpus_health.plans import report
+from corpus_health.plans import report, store
 from corpus_health.schemas import INVENTORY_COLUMNS, RUN_COLUMNS, SURVEY_COLUMNS
 from corpus_health.sources import inventory as inventory_runs
 from corpus_health.sources import listing, sinks, surveys
@@ -90,6 +90,10 @@ class Estate:
     def indexed(self) -> DataFrame:
         return health.site_index(self.dims)
 
+    @cached_property
+    def stored(self) -> DataFrame:
+        return store.land(self.clean, PARAMS)
+
     def folder(self, name: str) -> str:
         return work_dir(self.spark, name)
 
@@ -1642,6 +1646,23 @@ def d4_external_sharing_in_channels(e):
     return found.select(*SITE_ROW, "template", "sharing")
 
 
+# --- answers from stored cells, by the same SQL as from the files ---------------------
+
+
+STORED = {
+    "t1_corpus_totals": lambda e: store.corpus_totals(e.stored),
+    "t2_site_summary": lambda e: store.site_summary(e.stored),
+    "s1_site_profile": lambda e: store.site_profile(e.stored),
+    "s3_site_categories": lambda e: store.site_categories(e.stored),
+    "s5_site_extensions": lambda e: store.site_extensions(e.stored),
+    "s12_activity_by_year": lambda e: store.activity_by_year(e.stored, PARAMS),
+    "s13_site_users": lambda e: store.site_users(e.stored),
+    "s15_site_folders": lambda e: store.site_folders(e.stored),
+}
+for _name, _run in STORED.items():
+    QUERIES[f"{_name}_stored"] = Query(_run, QUERIES[_name].sql)
+
+
 # --- streaming ---------------------------------------------------------------------
 
 

@@ -443,7 +443,7 @@ def tenant_index_reconciled(indexed: DataFrame, files: DataFrame, sites: DataFra
     known = reconciliation(files, sites)
     volume = F.col("listed_gb") + F.col("unlisted_gb") + F.col("unplaced_gb")
     weighed = known.withColumn("pct_weighed", pct(F.col("listed_gb"), volume))
-    return tenant_index(indexed).crossJoin(weighed)  # one row each
+    return weighed.withColumn("health", tenant_index(indexed).scalar())
 
 
 def stage(health: Column) -> Column:

@@ -55,7 +55,11 @@ def site_status(profile: DataFrame) -> DataFrame:
 
 def site_categories(files: DataFrame) -> DataFrame:
     """Categories of each site by volume."""
-    return by_site(files, "category", ["bytes"]).select(
+    return categories_of(by_site(files, "category", ["bytes"]))
+
+
+def categories_of(found: DataFrame) -> DataFrame:
+    return found.select(
         SITE,
         "category",
         "files",
@@ -75,7 +79,11 @@ def dominant_category(files: DataFrame) -> DataFrame:
 
 def site_extensions(files: DataFrame, k: int = 15) -> DataFrame:
     """Largest extensions of each site; files without extension have no line."""
-    return by_site(_with_known_ext(files), "ext", ["bytes"], k).select(
+    return extensions_of(by_site(_with_known_ext(files), "ext", ["bytes"], k))
+
+
+def extensions_of(found: DataFrame) -> DataFrame:
+    return found.select(
         SITE,
         "ext",
         "files",
@@ -143,11 +151,12 @@ def duplicates(files: DataFrame) -> DataFrame:
     """Groups of equal name and size within a site, and the bytes of their extra copies."""
     sized = files.where((F.col("size_bytes") > 0) & F.col(SITE).isNotNull())
     groups = sized.where("file_name IS NOT NULL").groupBy(SITE, "file_name", "size_bytes")
-    return (
-        groups.agg(F.count("*").alias("copies"))
-        .where("copies > 1")
-        .withColumn("extra_bytes", F.col("size_bytes") * (F.col("copies") - 1))
-    )
+    return duplicates_of(groups.agg(F.count("*").alias("copies")))
+
+
+def duplicates_of(groups: DataFrame) -> DataFrame:
+    extra = F.col("size_bytes") * (F.col("copies") - 1)
+    return groups.where("copies > 1").withColumn("extra_bytes", extra)
 
 
 def duplicate_totals(dups: DataFrame) -> DataFrame:
@@ -170,7 +179,11 @@ def top_duplicates(dups: DataFrame, k: int = 15) -> DataFrame:
 def activity_by_year(files: DataFrame, migrated_at: datetime) -> DataFrame:
     """Files by year of last change, with the width against the busiest year."""
     dated = files.withColumn("year", F.year("modified_ts"))
-    return by_site(dated, "year").select(
+    return years_of(by_site(dated, "year"), migrated_at)
+
+
+def years_of(found: DataFrame, migrated_at: datetime) -> DataFrame:
+    return found.select(
         SITE,
         "year",
         "files",
@@ -182,7 +195,11 @@ def activity_by_year(files: DataFrame, migrated_at: datetime) -> DataFrame:
 
 def site_users(files: DataFrame, k: int = 20) -> DataFrame:
     """People who changed most files of each site."""
-    return by_site(files, "modified_by", ["files"], k).select(
+    return users_of(by_site(files, "modified_by", ["files"], k))
+
+
+def users_of(found: DataFrame) -> DataFrame:
+    return found.select(
         SITE,
         "modified_by",
         "files",
@@ -202,7 +219,11 @@ def real_owner(files: DataFrame) -> DataFrame:
 def site_folders(files: DataFrame, k: int = 20) -> DataFrame:
     """Largest top folders of each site."""
     placed = files.withColumn("top_folder", text.top_folder(F.col("folder")))
-    return by_site(placed, "top_folder", ["bytes"], k).select(
+    return folders_of(by_site(placed, "top_folder", ["bytes"], k))
+
+
+def folders_of(found: DataFrame) -> DataFrame:
+    return found.select(
         SITE,
         "top_folder",
         "files",

@@ -18,7 +18,11 @@ from corpus_health.plans.skew import top_k_overall
 
 def corpus_totals(files: DataFrame) -> DataFrame:
     """One row: size, activity and people of the estate."""
-    parts = cells(files, [], ["site", "modified_by"])
+    return totals_of(cells(files, [], ["site", "modified_by"]))
+
+
+def totals_of(parts: DataFrame) -> DataFrame:
+    """The totals from the cells of the estate by site name and by person."""
     n, post = total(of_dim("site", "n")), total(of_dim("site", "post"))
     return parts.agg(
         n.alias("files"),

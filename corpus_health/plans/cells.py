@@ -39,6 +39,21 @@ def measures(files: DataFrame) -> dict[str, Column]:
     return known
 
 
+MEASURES = [
+    "n", "files", "bytes", "post", "inactive", "first", "last", "checked_out", "depth_max", "depth_sum", "over", "large",
+]
+
+
+#: How cells of one kind become one cell; what is not named here is added up.
+EXTREMES = {"first": F.min, "last": F.max, "depth_max": F.max}
+
+
+def regroup(parts: DataFrame, *keys: str | Column) -> DataFrame:
+    """Fewer keys: the cells that have them in common as one."""
+    names = [n for n in parts.columns if n in MEASURES]
+    return parts.groupBy(*keys).agg(*[EXTREMES.get(n, F.sum)(n).alias(n) for n in names])
+
+
 def cells(files: DataFrame, keys: Sequence[str], dims: Sequence[str]) -> DataFrame:
     """One cell per (keys, dimension value), for each dimension by itself.
 
@@ -72,12 +87,15 @@ def by_site(
     """
     aggs = [value.alias(name) for name, value in measures(files).items()]
     sets = [[F.col(SITE), F.col(dim)], [F.col(SITE)]]
-    rows = (
-        files.where(F.col(SITE).isNotNull())
-        .groupingSets(sets, SITE, dim)
-        .agg(F.grouping(dim).alias("_total"), *aggs)
-        .where((F.col("_total") == 1) | F.col(dim).isNotNull())
-    )
+    rows = files.where(F.col(SITE).isNotNull()).groupingSets(sets, SITE, dim)
+    return ranked_by_site(rows.agg(F.grouping(dim).alias("_total"), *aggs), dim, order, k)
+
+
+def ranked_by_site(
+    rows: DataFrame, dim: str, order: Sequence[str] = (), k: int | None = None
+) -> DataFrame:
+    """The same from cells of the dimension per site and one cell per site with `_total` 1."""
+    rows = rows.where((F.col("_total") == 1) | F.col(dim).isNotNull())
     ranked = Window.partitionBy(SITE).orderBy(
         F.desc("_total"), *[F.desc(name) for name in order], F.asc(dim)
     )

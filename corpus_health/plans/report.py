@@ -1,9 +1,10 @@
 """One nested row per site with every section of its report.
 
-The breakdowns by category, extension, special format, year, user and folder
-come from one scan and one shuffle of the files. Each map task and each reducer
-trims them to what a report shows, so a site never arrives whole in one task,
-and the arrays of a report stay short however large its site is.
+The breakdowns by category, extension, special format, year, user and folder, and the
+duplicates, come from stored cells (`plans.store`): one scan of the files. The lists of
+single files come from a second one. Groups are trimmed to what a report shows before
+they meet, so a site never arrives whole in one task, and the arrays of a report stay
+short however large its site is.
 """
 
 from __future__ import annotations
@@ -16,31 +17,33 @@ from corpus_health.functions import text
 from corpus_health.functions.measures import gb, gb2, half_even, pct, width
 from corpus_health.operators import site
 from corpus_health.params import Params
-from corpus_health.plans import cells
+from corpus_health.plans import store
 from corpus_health.plans.cells import SITE
 from corpus_health.plans.skew import top_k
 
+#: Measures of the whole site that a report uses.
+SHOWN = ["n", "bytes", "post", "inactive", "first", "last", "checked_out", "depth_max", "depth_sum"]
 LIMITED = ["modified_by", "top_folder", "ext"]  # shown up to a number of rows, with their total
-WHOLE = ["category", "special", "year"]  # few values: shown without limit
-DIMS = [*WHOLE, *LIMITED, "library"]  # libraries are only counted
+UNLIMITED = ["category", "special", "year"]  # few values; libraries are only counted
 
 
 def site_report(
-    files: DataFrame, params: Params, duplicates: DataFrame | None = None
+    files: DataFrame, params: Params, duplicates: DataFrame | None = None, stored: DataFrame | None = None
 ) -> DataFrame:
     """Profile, status and all limited sections of every site.
 
     `params` says how many rows each limited list has; its total stands beside it
     (`users`, `n_folders`, `n_extensions`, `n_duplicates`, `n_large`, `post`).
     Unlimited lists (oversize archives, checked-out files) are counted here and
-    written as tables of their own. Land `site.duplicates` and pass it when it
-    is needed again elsewhere.
+    written as tables of their own. Pass what `store.land` or `site.duplicates` gave
+    where it is at hand; else the cells are landed here.
     """
+    stored = store.land(files, params) if stored is None else stored
     files = files.where(F.col(SITE).isNotNull())
-    dups = site.duplicates(files) if duplicates is None else duplicates
+    dups = store.duplicates(stored) if duplicates is None else duplicates
     dup_totals = site.duplicate_totals(dups)
-    found = _breakdowns(files, params)
-    report = _sections(found, files, params).join(_totals(found), SITE, "left")
+    found = store.breakdowns(stored)
+    report = _sections(found, params).join(_totals(found), SITE, "left")
     groups = dup_totals.withColumn("n_duplicates", F.col("n_groups"))
     report = report.join(
         groups.select(SITE, "extra_files", "extra_bytes", "extra_gb", "n_duplicates"), SITE, "left"
@@ -86,35 +89,11 @@ def _totals(found: DataFrame) -> DataFrame:
         values("modified_by").alias("users"),
         values("top_folder").alias("n_folders"),
         values("ext").alias("n_extensions"),
-        F.max(F.when(F.col("dim") == "site", F.col("large"))).alias("n_large"),
+        F.max(F.when(F.col("dim") == store.WHOLE, F.col("large"))).alias("n_large"),
     )
 
 
-def _breakdowns(files: DataFrame, params: Params) -> DataFrame:
-    """One cell for each value of each dimension in a site, and one for the site."""
-    ext = F.nullif(F.col("ext"), F.lit(""))
-    rows = files.withColumns(
-        {
-            "ext": ext,
-            "special": F.when(ext.isin(list(c.SPECIAL_FORMATS)), ext),
-            "year": F.year("modified_ts"),
-            "top_folder": text.top_folder(F.col("folder")),
-        }
-    )
-    over = F.count_if(F.col("size_bytes") > c.MIGRATION_LIMIT_BYTES).alias("over")
-    large = F.count_if(F.col("size_bytes") > params.large_mb * 1024 * 1024).alias("large")
-    aggs = [value.alias(name) for name, value in cells.measures(files).items()]
-    dim = F.coalesce(*[F.when(F.grouping(d) == 0, F.lit(d)) for d in DIMS], F.lit("site"))
-    sets = [[F.col(SITE), F.col(d)] for d in DIMS] + [[F.col(SITE)]]
-    known = F.coalesce(*[F.col(d).cast("string") for d in DIMS]).isNotNull()
-    return (
-        rows.groupingSets(sets, SITE, *DIMS)
-        .agg(dim.alias("dim"), over, large, *aggs)
-        .where(known | (F.col("dim") == "site"))
-    )
-
-
-def _sections(found: DataFrame, files: DataFrame, params: Params) -> DataFrame:
+def _sections(found: DataFrame, params: Params) -> DataFrame:
     """Totals of each site and its breakdowns as arrays."""
     keep = {
         "modified_by": params.report_users,
@@ -124,7 +103,7 @@ def _sections(found: DataFrame, files: DataFrame, params: Params) -> DataFrame:
     }
     # values of an unlimited dimension are groups of their own, so all rank first
     by_files = F.when(F.col("dim") == "modified_by", F.col("files")).otherwise(F.col("bytes"))
-    group = Window.partitionBy(SITE, "dim", *WHOLE).orderBy(F.desc(by_files), *LIMITED)
+    group = Window.partitionBy(SITE, "dim", *UNLIMITED).orderBy(F.desc(by_files), *LIMITED)
     limit = F.lit(None)
     for name, k in keep.items():
         limit = F.when(F.col("dim") == name, k).otherwise(limit)
@@ -135,14 +114,14 @@ def _sections(found: DataFrame, files: DataFrame, params: Params) -> DataFrame:
         .where(F.coalesce(F.col("rank") <= limit, F.lit(True)))
     )
 
-    in_site = lambda name: F.max(F.when(F.col("dim") == "site", F.col(name)))
+    in_site = lambda name: F.max(F.when(F.col("dim") == store.WHOLE, F.col(name)))
     special = lambda exts, value: F.sum(F.when(F.col("special").isin(exts), F.col(value)))
     array = lambda name, *fields: F.array_sort(
         F.collect_list(F.when(F.col("dim") == name, F.struct(*fields)))
     ).alias(f"_{name}")
     largest = -F.col("bytes")
     sites = trimmed.groupBy(SITE).agg(
-        *[in_site(name).alias(name) for name in cells.measures(files)],
+        *[in_site(name).alias(name) for name in SHOWN],
         special(["zip"], "over").alias("n_archives"),
         special(["heic"], "n").alias("n_heic"),
         special(["xlsm"], "n").alias("n_xlsm"),

@@ -74,11 +74,35 @@ def landed(spark, tmp_path_factory):
     return spark.read.parquet(folder)
 
 
-def test_report_reads_the_files_four_times(landed):
-    """Breakdowns, their totals, duplicates, lists."""
-    from corpus_health.plans import report
+def scans_of(df, folder):
+    """Scans of a folder in a plan as it stands, those in subqueries too."""
+    text = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    return sum("Location" in line and folder in line for line in text.splitlines())
 
-    assert final_scans(report.site_report(landed, catalog.PARAMS)) <= 4
+
+def test_report_reads_the_files_twice(landed, monkeypatch):
+    """Once for the cells, once for the lists; all else reads cells."""
+    from corpus_health.plans import report, store
+
+    folder = landed.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+    landing = []
+
+    def watched(files, params):
+        landing.append(scans_of(store.summed(files, params), folder))
+        return land(files, params)
+
+    land = store.land
+    monkeypatch.setattr(store, "land", watched)
+    done = report.site_report(landed, catalog.PARAMS)
+    assert landing == [1] and scans_of(done, folder) == 1
+
+
+@pytest.mark.parametrize("name", ["t1_corpus_totals", "t2_site_summary", "t7_category_stats"])
+def test_files_are_scanned_once_with_subqueries(spark, landed, name):
+    folder = landed.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+    estate = catalog.Estate(spark, "/root/testdata/sf0.001")
+    estate.__dict__["clean"] = landed
+    assert scans_of(catalog.QUERIES[name].run(estate), folder) == 1
 
 
 def test_union_of_noise_reads_the_files_twice_and_repeats_nothing(landed):
