@@ -411,6 +411,25 @@ def i3_bad_files(e):
     return bad.groupBy("problem").agg(F.count("path").cast("int").alias("n"))
 
 
+@query(
+    """SELECT 'missing columns: Sitio, URL_Sitio' AS problem, 1::BIGINT AS n UNION ALL SELECT 'empty file', 2
+UNION ALL SELECT 'line', 1 UNION ALL SELECT 'none', (SELECT count(*) + count(library) FROM files_raw)""",
+    ("files_raw",),
+)
+def i3_bad_files_and_rows(e):
+    """A folder with empty files too, read twice with one manifest: what is of no use, and how many rows are left."""
+    folder, known = _write_runs(e), e.folder("manifest")
+    at = e.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = at.getFileSystem(e.spark.sparkContext._jsc.hadoopConfiguration())
+    for name in ("Empty_20011103_080000", "Void_20011104_080000"):
+        files.create(at.suffix(f"/Client_B_Docs_{name}.csv")).close()
+    surveys.survey_files(e.spark, folder, "Client", known)
+    good, lines = surveys.quarantine(surveys.read_surveys(e.spark, folder, "Client", known))
+    bad = surveys.bad_files(e.spark, folder, "Client", known).select("problem")
+    every = bad.unionByName(lines.select(F.lit("line").alias("problem"))).unionByName(good.select(F.lit("none").alias("problem")))
+    return every.groupBy("problem").agg(F.count("*").alias("n"))
+
+
 @query(
     """SELECT count(*) AS n, count(*) FILTER (WHERE size_bytes IS NOT NULL AND try_cast(size_bytes AS BIGINT) IS NULL) AS bad_size,
   count(*) FILTER (WHERE size_bytes IS NULL) AS no_size,
@@ -849,6 +868,37 @@ def r5_read_runs(e):
     return runs.select("run_order", "site_url", "status", "files", "surveyed_ts")
 
 
+def _cut_lines(rows: DataFrame, columns: dict[str, str], cut, path: str) -> None:
+    """Rows as the scripts write them; where `cut` holds, the line ends after its second field."""
+    cells = [F.concat(F.lit('"'), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit('"')) if c in rows.columns else F.lit('""') for c in columns.values()]
+    whole = F.concat_ws(",", *cells)
+    line = F.when(cut, F.concat_ws(",", *cells[:2])).otherwise(whole)
+    header = ",".join(f'"{name}"' for name in columns)
+    rows.select(line.alias(header)).write.options(header=True, quote="", sep="\t").csv(path)
+
+
+@query(
+    f"""SELECT 'run' AS kind, CASE WHEN status LIKE 'Error%' THEN 'left out' ELSE 'read' END AS state, count(*) AS n, sum(run_order)::BIGINT AS orders
+FROM ({RUNS}) GROUP BY ALL
+UNION ALL SELECT 'inventory', CASE WHEN is_hub THEN 'left out' ELSE 'read' END, count(*), NULL FROM inventory GROUP BY ALL""",
+    ("surveys", "files", "inventory"),
+)
+def r5_bad_lines(e):
+    """Run summaries and inventories some of whose lines are cut: read are the others, and all cut lines are handed back."""
+    folder = e.folder("cut")
+    _cut_lines(_runs(e), RUN_COLUMNS, F.col("status").startswith("Error"), f"{folder}/Client_B_Masivo_Resumen_20011105_120000.csv")
+    _cut_lines(e.inventory, INVENTORY_COLUMNS, F.col("is_hub"), f"{folder}/Client_A_Inventario_Sitios_20011104_080000.csv")
+    runs = inventory_runs.read_runs(e.spark, folder, "Client").select(F.lit("run").alias("kind"), F.lit("read").alias("state"), F.col("run_order").alias("o"))
+    sites = inventory_runs.read_inventory(e.spark, folder, "Client")
+    sites = sites.select(F.lit("inventory").alias("kind"), F.lit("read").alias("state"), F.lit(None).cast("bigint").alias("o"))
+    bad = inventory_runs.bad_lines(e.spark, folder, "Client")
+    first = F.regexp_extract("line", '^"([0-9]*)"', 1)  # a run's line starts with its number
+    order = F.when(F.col("kind") == "run", first.try_cast("bigint"))
+    bad = bad.select("kind", F.lit("left out").alias("state"), order.alias("o"))
+    every = runs.unionByName(sites).unionByName(bad)
+    return every.groupBy("kind", "state").agg(F.count("*").alias("n"), F.sum("o").alias("orders"))
+
+
 @query(
     f"SELECT site_url, status, run_order, files FROM ({RUNS}) WHERE status LIKE 'Error%'",
     ("surveys", "files"),

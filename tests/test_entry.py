@@ -30,7 +30,9 @@ def test_entry_without_the_document_operators():
         assert done.returncode == 0, done.stderr
 
 
-@pytest.mark.skipif(importlib.util.find_spec("corpus_pipeline") is None, reason="nothing to import")
-def test_other_import_errors_are_not_hidden():
-    done = run(WITHOUT.format(gone="numpy_that_is_missing").replace('name == "numpy_that_is_missing"', 'name == "xxhash"'))
-    assert done.returncode != 0
+@pytest.mark.skipif(importlib.util.find_spec("corpus_health.llm") is None, reason="nothing that imports it")
+def test_a_missing_dependency_costs_the_document_operators_only():
+    """The other queries stay, and a warning names what is missing."""
+    done = run(WITHOUT.format(gone="xxhash"))
+    assert done.returncode == 0, done.stderr
+    assert "No module named 'xxhash'" in done.stderr

@@ -1,11 +1,12 @@
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from conftest import collect
 
 from corpus_health.operators import clean
-from corpus_health.schemas import SURVEY_COLUMNS
-from corpus_health.sources import sinks, surveys
+from corpus_health.schemas import INVENTORY_COLUMNS, RUN_COLUMNS, SURVEY_COLUMNS
+from corpus_health.sources import inventory, manifest, sinks, surveys
 from corpus_health.sources.shared import work_dir
 
 HEADER = list(SURVEY_COLUMNS)
@@ -32,7 +33,7 @@ def folder(tmp_path):
     write(tmp_path, "Cl_B_Docs_Resumen_20210102_080000.csv", old, {**ROW, "Sitio": "B", "Biblioteca": ""})
     write(tmp_path, "Other_Relevamiento_X_20210103_080000.csv", HEADER, {**ROW, "Sitio": "O"}, tail='"too","few"\r\n')
     write(tmp_path, "Cl_B_Docs_Bad_20210104_080000.csv", ["Nombre_Archivo", "x"], ROW)
-    (tmp_path / "Cl_B_Docs_Empty_20210104_080000.csv").write_bytes(b"")  # no rows, not listed
+    (tmp_path / "Cl_B_Docs_Empty_20210104_080000.csv").write_bytes(b"")  # no rows, listed as such
     write(tmp_path, "Cl_B_Masivo_Resumen_20210104_080000.csv", HEADER, ROW)
     write(tmp_path, "Cl_CONSOLIDADO_B_Docs_All_20210104_080000.csv", HEADER, ROW)
     write(tmp_path, "Cl_Relevamiento_X_20210104_080000_LOG.csv", HEADER, ROW)
@@ -47,6 +48,7 @@ def test_files_are_found_by_name_and_checked_by_header(spark, folder):
         "Cl_B_Docs_Resumen_20210102_080000.csv": None,
         "Other_Relevamiento_X_20210103_080000.csv": None,
         "Cl_B_Docs_Bad_20210104_080000.csv": "missing columns: Sitio, URL_Sitio, Biblioteca",
+        "Cl_B_Docs_Empty_20210104_080000.csv": "empty file",
     }
     assert surveys.survey_files(spark, folder, "Other").count() == 1
 
@@ -106,7 +108,43 @@ def test_shared_folder_is_the_warehouse_where_none_is_set():
 
 def test_files_that_cannot_be_read_are_listed(spark, folder):
     found = {r.path.rsplit("/", 1)[1]: r.problem for r in surveys.bad_files(spark, folder).collect()}
-    assert found == {"Cl_B_Docs_Bad_20210104_080000.csv": "missing columns: Sitio, URL_Sitio, Biblioteca"}
+    assert found == {
+        "Cl_B_Docs_Bad_20210104_080000.csv": "missing columns: Sitio, URL_Sitio, Biblioteca",
+        "Cl_B_Docs_Empty_20210104_080000.csv": "empty file",
+    }
+
+
+def test_known_headers_are_not_read_again(spark, folder, tmp_path, monkeypatch):
+    at, opened = str(tmp_path / "manifest"), []
+    read = manifest.headers
+    monkeypatch.setattr(manifest, "headers", lambda s, paths: opened.append({p.rsplit("/", 1)[1] for p in paths}) or read(s, paths))
+    first = collect(surveys.read_surveys(spark, folder, "Cl", at))
+    assert len(opened.pop()) == 3
+    assert collect(surveys.read_surveys(spark, folder, "Cl", at)) == first and not opened
+    place = Path(folder)
+    write(place, "Cl_B_Docs_New_20210105_080000.csv", HEADER[::-1], {**ROW, "Sitio": "N"})
+    write(place, "Cl_B_Docs_Bad_20210104_080000.csv", HEADER, {**ROW, "Sitio": "mended"})  # changed: read again
+    sites = {r.site for r in surveys.read_surveys(spark, folder, "Cl", at).collect()}
+    assert opened == [{"Cl_B_Docs_New_20210105_080000.csv", "Cl_B_Docs_Bad_20210104_080000.csv"}]
+    assert sites == {"A", "B", "N", "mended"}
+    (place / "Cl_B_Docs_New_20210105_080000.csv").unlink()
+    assert "N" not in {r.site for r in surveys.read_surveys(spark, folder, "Cl", at).collect()}
+
+
+def test_lines_of_inventories_and_runs_that_do_not_fit(spark, tmp_path):
+    def lines(name, columns, *rows):
+        head = ",".join(f'"{n}"' for n in columns)
+        (tmp_path / name).write_text("\n".join([head, *rows]) + "\n", encoding="utf-8")
+
+    fits = lambda columns, first: ",".join([f'"{first}"'] + ['""'] * (len(columns) - 1))
+    lines("Cl_A_Inventario_Sitios_20210101_080000.csv", INVENTORY_COLUMNS, fits(INVENTORY_COLUMNS, "a"), '"cut","https', fits(INVENTORY_COLUMNS, "b"))
+    lines("Cl_B_Masivo_Resumen_20210101_080000.csv", RUN_COLUMNS, fits(RUN_COLUMNS, "1"), fits(RUN_COLUMNS, "2") + ',"more"')
+    assert collect(inventory.read_inventory(spark, str(tmp_path), "Cl"), "site") == [("a",), ("b",)]
+    assert collect(inventory.read_runs(spark, str(tmp_path), "Cl"), "run_order") == [(1,)]
+    bad = inventory.bad_lines(spark, str(tmp_path), "Cl")
+    assert collect(bad, "kind", "line") == [("inventory", '"cut","https'), ("run", fits(RUN_COLUMNS, "2") + ',"more"')]
+    assert collect(bad.where("source_file LIKE '%Resumen_20210101%'"), "kind") == [("run",)]
+    assert inventory.bad_lines(spark, str(tmp_path), "Nobody").count() == 0
 
 
 def test_landing_again_changes_nothing(spark, frame, tmp_path):
