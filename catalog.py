@@ -494,6 +494,22 @@ def i6_write_files(e):
     return e.spark.read.parquet(out)
 
 
+@query(
+    """SELECT site_url, path, survey_no, size_bytes, modified_ts FROM files
+WHERE (site_url, path) = (SELECT (site_url, min(path)) FROM files WHERE site_url = (SELECT min(site_url) FROM files) GROUP BY site_url)""",
+    ("files",),
+)
+def i6_file_history(e):
+    """The landed rows of one file of all dates: the first by path of the first site."""
+    out = e.folder("files")
+    day = F.date_add(F.lit("2001-11-01").cast("date"), F.col("survey_no"))
+    sinks.write_files(e.files.withColumn("survey_date", day), out)
+    site_url = e.files.agg(F.min("site_url")).first()[0]
+    path = sinks.read_files(e.spark, out, site_url).agg(F.min("path")).first()[0]
+    found = sinks.read_files(e.spark, out, site_url, path)
+    return found.select("site_url", "path", "survey_no", "size_bytes", "modified_ts")
+
+
 @query(
     f"""SELECT site_url, files, {REC} AS recommendation, n_dup_groups FROM summary
 LEFT JOIN (SELECT site_url, least(count(*), 15) AS n_dup_groups FROM dups GROUP BY ALL

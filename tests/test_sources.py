@@ -3,6 +3,7 @@ from pathlib import Path
 
 import pytest
 from conftest import collect
+from pyspark.sql import functions as F
 
 from corpus_health.operators import clean
 from corpus_health.schemas import INVENTORY_COLUMNS, RUN_COLUMNS, SURVEY_COLUMNS
@@ -169,3 +170,43 @@ def test_zero_in_the_configuration_stays():
     assert (plain.inactive_years, plain.refresh_days, plain.large_mb) == (2, 7, 100)
     with pytest.raises(ValueError, match="as_of"):
         plain.today
+
+
+def test_one_site_and_one_file_are_found_without_reading_the_rest(spark, tmp_path):
+    """Three dates, one site with half of the rows: lookups read a small part of the bytes, and the site lies in several files."""
+    out = str(tmp_path / "out")
+    i = F.col("id")
+    rows = spark.range(400_000).select(
+        F.when(i % 2 == 0, "https://t/sites/hot").otherwise(F.concat(F.lit("https://t/sites/s"), i % 501)).alias("site_url"),
+        F.concat(F.lit("/docs/"), F.md5(i.cast("string"))).alias("path"),
+        F.md5((i + 7).cast("string")).alias("note"),
+        F.concat(F.lit("2021-01-0"), i % 3 + 1).alias("survey_date"),
+    )
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4m")
+    try:
+        sinks.write_files(rows, out)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    files = spark.read.parquet(out)
+    hot = files.where("site_url = 'https://t/sites/hot'").select(F.input_file_name()).distinct().count()
+    assert hot > 3  # more than one for each date
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set("parquet.hadoop.vectored.io.enabled", "false")  # whose bytes are not counted
+    statistics = spark.sparkContext._jvm.org.apache.hadoop.fs.FileSystem
+
+    def read(df):
+        count = lambda: sum(s.getBytesRead() for s in statistics.getAllStatistics() if s.getScheme() == "file")
+        before = count()
+        found = df.collect()
+        return found, count() - before
+
+    every, all_bytes = read(files.select("note", "path", "site_url").where("length(note) < 3"))
+    path = files.where("site_url = 'https://t/sites/hot'").limit(1).collect()[0].path
+    one, bytes_of_one = read(sinks.read_files(spark, out, path=path).select("note", "path"))
+    site, bytes_of_site = read(sinks.read_files(spark, out, "https://t/sites/s77").select("note", "path"))
+    none, bytes_of_none = read(sinks.read_files(spark, out, "https://t/sites/s77", path))
+    hadoop.unset("parquet.hadoop.vectored.io.enabled")
+    assert (len(every), len(one), len(none)) == (0, 1, 0)
+    assert len(site) == rows.where("site_url = 'https://t/sites/s77'").count()
+    assert bytes_of_one < all_bytes / 5 and bytes_of_site < all_bytes / 5 and bytes_of_none < all_bytes / 5
