@@ -33,8 +33,8 @@ LEAST_SCORE = 0.1
 #: A language's own least score lies below this quantile of its documents' scores, by so many times the median's distance to it.
 LOW = 0.05
 MARGIN = 2.0
-#: Documents that a language needs to have a least score of its own.
-LEAST_TAUGHT = 100
+#: A language's quantiles count as much as those of all languages when it has so many documents, less with fewer.
+STEADY = 100
 UNKNOWN = "und"
 
 _BITS = 21  # of a code point
@@ -130,7 +130,9 @@ def profiles(docs: DataFrame, label: str = "lang", places: int = PLACES) -> Data
     counts = labelled.select(F.col(label).alias("lang"), "text").mapInArrow(task, "lang string, gram bigint, n bigint")
     total = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram")
-    return total.withColumn("place", F.row_number().over(order) - 1).where(F.col("place") < places).drop("n")
+    # compared as it is, so that tasks hand on the first places of a language only
+    ranked = total.withColumn("place", F.row_number().over(order)).where(F.col("place") <= places)
+    return ranked.select("lang", "gram", (F.col("place") - 1).alias("place"))
 
 
 class Model:
@@ -188,8 +190,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def held_out(doc_id: Column) -> Column:
-    """Whether a document is kept out of training: one in five, by the CRC-32 of its id as text."""
-    return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
+    """Whether a document is kept out of training: one in five, by the CRC-32 of its id as text; none without id."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
 def predict_all(docs: DataFrame) -> DataFrame:
@@ -201,9 +203,10 @@ def predict_all(docs: DataFrame) -> DataFrame:
 def limits(docs: DataFrame, model: Model, label: str = "lang") -> dict[str, float]:
     """The least score of each language, from what its labelled documents score: a margin below a low quantile.
 
-    Only documents that get their own label count. Quantiles are sketched in each task and
-    merged; limits are rounded down to hundredths, so that sketches made anew agree. A
-    language with under LEAST_TAUGHT such documents has none.
+    Only documents that get their own label count. A language's quantiles are drawn towards
+    those of all languages together, the less the more documents it has; one without any
+    has theirs. Quantiles are sketched in each task and merged; limits are rounded down to
+    hundredths, so that sketches made anew agree. Where nothing is labelled there are none.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -220,8 +223,19 @@ def limits(docs: DataFrame, model: Model, label: str = "lang") -> dict[str, floa
     labelled = docs.where(F.col(label).isNotNull() & F.col("text").isNotNull()).select(F.col(label).alias("lang"), "text")
     scores = map_rows(labelled, "lang string, score double", begin)
     cut = F.percentile_approx("score", [LOW, 0.5], 10_000).alias("cut")
-    found = scores.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), cut).where(F.col("n") >= LEAST_TAUGHT)
-    return {r.lang: math.floor(100 * (r.cut[0] - MARGIN * (r.cut[1] - r.cut[0]))) / 100 for r in found.collect()}
+    found = scores.rollup("lang").agg(F.count(F.lit(1)).alias("n"), cut).collect()  # a row for each language, and one for all
+    by = {r.lang: r for r in found if r.n}
+    every = by.pop(None, None)
+    if every is None:
+        return {}
+
+    def limit(lang: str) -> float:
+        own = by.get(lang)
+        n, cuts = (0, every.cut) if own is None else (own.n, own.cut)
+        low, middle = ((n * x + STEADY * y) / (n + STEADY) for x, y in zip(cuts, every.cut, strict=True))
+        return math.floor(100 * (low - MARGIN * (middle - low))) / 100
+
+    return {lang: limit(lang) for lang in model.langs}
 
 
 def keep_known(docs: DataFrame, model: Model, least: float = LEAST_SCORE, own: dict[str, float] | None = None) -> DataFrame:

@@ -145,3 +145,9 @@ def test_weak_labels_odd_rows(clashing, empty, docs):
 
 def test_training_repeats(docs):
     assert (weaklabels.learn(docs)[1] == weaklabels.learn(docs.repartition(5))[1]).all()
+
+
+def test_places_are_cut_in_each_task_and_rows_without_id_are_not_held_out(odd):
+    plan = language.profiles(odd)._jdf.queryExecution().toString()
+    assert "WindowGroupLimit" in plan
+    assert all(r.held_out is not None for r in language.predict_all(odd).collect())

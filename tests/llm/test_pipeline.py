@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import inspect
+import math
 import random
 from collections import Counter
 
@@ -50,10 +51,39 @@ def test_language_stage(stages):
         counts.setdefault(r.lang, Counter()).update(brute_grams(r.text))
     profiles = {lang: brute_ranked(c, language.PLACES) for lang, c in counts.items()}
     made = {r.doc_id: brute_predict(r.text, profiles, language.PLACES) for r in rows}
-    want = [r for r in rows if made[r.doc_id][0] != "und" and made[r.doc_id][1] >= language.LEAST_SCORE]
+    least = brute_limits([(r.lang, *made[r.doc_id]) for r in rows], profiles)
+    want = [r for r in rows if made[r.doc_id][0] != "und" and made[r.doc_id][1] >= max(language.LEAST_SCORE, least[made[r.doc_id][0]])]
     assert sorted(stages["language_id"]) == sorted(want)
 
 
+def brute_limits(rows, langs):
+    """[(label, prediction, score)] -> the least score of each language"""
+    own = {lang: sorted(s for label, made, s in rows if label == made == lang) for lang in langs}
+    every = sorted(s for scores in own.values() for s in scores)
+    at = lambda scores, q: scores[max(0, math.ceil(q * len(scores)) - 1)]
+    out = {}
+    for lang, scores in own.items():
+        n = len(scores)
+        low, middle = ((n * at(scores or every, q) + 100 * at(every, q)) / (n + 100) for q in (0.05, 0.5))
+        out[lang] = math.floor(100 * (low - 2 * (middle - low))) / 100
+    return out
+
+
+def test_limits_of_a_small_language_have_no_step(spark, docs):
+    """Brute force at each size of the smallest language; one more document hardly moves its limit."""
+    rows = [(r.doc_id, r.text, r.lang) for r in docs.collect() if r.lang in ("de", "es")]
+    few = [r.text for r in docs.collect() if r.lang == "fr"]
+    limits = {}
+    for n in (1, 49, 50, 99, 100, 101):
+        table = spark.createDataFrame(rows + [(10_000 + i, few[i % len(few)], "fr") for i in range(n)], "doc_id bigint, text string, lang string")
+        model = language.learn(table)
+        made = [(r.lang, *model.predict(r.text)) for r in table.collect()]
+        got = language.limits(table, model)
+        assert got == brute_limits(made, ["de", "es", "fr"])
+        limits[n] = got["fr"]
+    assert abs(limits[49] - limits[50]) <= 0.02 and max(limits[n] for n in (99, 100, 101)) - min(limits[n] for n in (99, 100, 101)) <= 0.02
+
+
 def test_language_stage_rejects_noise_and_other_languages(spark):
     """In the script of the learnt languages: noise and languages without a label go, clean documents stay."""
     draw = random.Random(2)
