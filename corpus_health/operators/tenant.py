@@ -14,6 +14,7 @@ from corpus_health import constants as c
 from corpus_health.functions.measures import big_sum, gb, gb2, pct, total, width
 from corpus_health.plans.cells import cells, known_in, of_dim
 from corpus_health.plans.skew import top_k_overall
+from corpus_health.sources.shared import landed
 
 
 def corpus_totals(files: DataFrame) -> DataFrame:
@@ -95,9 +96,10 @@ def recommendation_counts(summary: DataFrame) -> DataFrame:
 def archive_candidates(summary: DataFrame) -> DataFrame:
     """Sites to archive by volume, with their width against the largest.
 
-    Reads `summary` twice, once for the largest: land it first when files are many.
+    The largest must be known before the first row, so the sites, one row each, are landed:
+    what `summary` is made of is read once.
     """
-    sites = summary.where(F.col("recommendation") == c.ARCHIVE)
+    sites = landed(summary.where(F.col("recommendation") == c.ARCHIVE), "archive-candidates")
     largest = sites.select(F.max("bytes")).scalar()
     return sites.withColumn("width", width(F.col("bytes"), largest)).orderBy(
         F.desc("bytes"), "site_url"

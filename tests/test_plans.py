@@ -5,7 +5,7 @@ import pytest
 import catalog
 
 # these write tables first, so their result is only a read
-EAGER = ("i1_", "i3_quarantine", "i3_bad_files", "i4_read", "i6_", "i7_", "r5_bad_lines", "s19_", "st")
+EAGER = ("i1_", "i3_quarantine", "i3_bad_files", "i4_read", "i6_", "i7_", "r5_bad_lines", "s19_", "st", "t6_")
 LAZY = [name for name in catalog.QUERIES if not name.startswith(EAGER)]
 
 
@@ -97,6 +97,16 @@ def test_report_reads_the_files_twice(landed, monkeypatch):
     assert landing == [1] and scans_of(done, folder) == 1
 
 
+def test_archive_candidates_read_the_files_once(landed, spark, monkeypatch):
+    from corpus_health.operators import tenant
+
+    folder = landed.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+    land, landing = tenant.landed, []
+    monkeypatch.setattr(tenant, "landed", lambda df, name: landing.append(scans_of(df, folder)) or land(df, name))
+    found = tenant.archive_candidates(tenant.site_summary(landed))
+    assert landing == [1] and scans_of(found, folder) == 0
+
+
 @pytest.mark.parametrize("name", ["t1_corpus_totals", "t2_site_summary", "t7_category_stats"])
 def test_files_are_scanned_once_with_subqueries(spark, landed, name):
     folder = landed.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
