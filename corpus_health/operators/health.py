@@ -17,6 +17,7 @@ from corpus_health.functions import text, times
 from corpus_health.functions.measures import big_sum, gb, pct, total
 from corpus_health.params import Params, check_weights
 from corpus_health.plans.skew import heavy_join, heavy_keys
+from corpus_health.sources.shared import landed
 
 SITE_KEY = ("site_url",)
 DIMENSIONS = tuple(c.WEIGHTS)
@@ -116,10 +117,10 @@ def dup_volume(
         .agg(
             F.count("*").alias("n"),
             F.min(F.coalesce("path", F.lit(""))).alias("path"),
-            # of the group; as a value of the row, filters on it leave the rows below alone: one scan for all
-            F.max(F.xxhash64(*copy_of)).alias("_key"),
+            F.max(F.xxhash64(*copy_of)).alias("_key"),  # of the group
         )
     )
+    by_folder = landed(by_folder, "folders-of-copies")  # read below by sketch, kept copies and both joins: one scan of the files
     kept = (
         by_folder.groupBy(*copy_of)
         .agg(F.min(F.struct("path", "folder")).alias("kept"), F.sum("n").alias("copies"), F.max("_key").alias("_key"))

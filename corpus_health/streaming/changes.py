@@ -55,8 +55,10 @@ class ChangeLog:
         due = []
         for b in buckets:
             base = max(bases.get(b, []), default=-1)
-            size = self._size(self._folder("base", b, base)) if base >= 0 else 0
-            if sum(self._size(self._folder("changes", b, n)) for n in changes.get(b, []) if n > base) >= FOLD * size:
+            parts = [self._folder("base", b, base)] * (base >= 0)
+            parts += [self._folder("changes", b, n) for n in sorted(changes.get(b, [])) if n > base]
+            first, *rest = (self._size(p) for p in parts)  # a bucket's first changes do for its base
+            if rest and sum(rest) >= FOLD * first:
                 due.append(b)
         if not due:
             return

@@ -96,7 +96,7 @@ def test_a_batch_writes_what_it_changes(spark, frame, tmp_path):
         ([row("a", r[4], 0, 1) for r in many[:3000]], 0),  # late
         (many[:3000] + few, 0),  # known
         (few[:1] * 40 + [row("a", r[4], 3, 5) for r in few[:2]], 2),  # repeated, and two newer
-        ([row("b", "new.pdf", 0, 5)], 2),  # the first of its bucket: its base too
+        ([row("b", "new.pdf", 0, 5)], 1),
     ):
         n, size = written(*batch)
         assert n == rows and size < first / 10
