@@ -1,17 +1,25 @@
 """N-gram Jaccard join by a forest of MinHash prefix tries.
 
 Texts with the same five-word shingles are one unit. A unit's MinHash signature
-starts a path in each of TREES tries; two units are candidates where they share a
-path's prefix. The prefix is first shortened to the depth at which the target
-recall is reached at the threshold. Under a node with few units all pairs are
-candidates. Under a node with many, each unit is a candidate with the node's centre,
-and units that cannot be near it are compared by their sketches with all others of
+is a path in each of TREES tries. The paths of all tries are sorted once, in ranges
+over all tasks, and a scan gives each path the longest prefix that it has in common
+with a neighbour; paths without one go.
+
+The search begins at the longest prefixes. Units under one node that can be near
+each other become a group. Then matched prefixes are shortened, node by node: a
+node is opened again only if its shorter prefix brings together units that are not
+in one group yet, and only those are compared. It goes on until a pair at the
+threshold meets under some node with the target recall.
+
+In a node with few units all pairs of different groups are candidates. In a node
+with many, each unit is a candidate with the node's centre, and units that are
+neither near it nor of its group are compared by their sketches with all others of
 the node, in blocks against blocks, so every pair under a node is looked at.
 
-Candidates whose sketches and sizes cannot reach the threshold are dropped, the
-rest make groups, and inside each group every pair is verified exactly by its
-shingle sets. A large group is verified in blocks against blocks, so no task holds
-more than two blocks; pairs are counted there and never emitted.
+Candidates whose sketches and sizes cannot reach the threshold are dropped. Inside
+each group every pair is verified exactly by its shingle sets. A large group is
+verified in blocks against blocks, so no task holds more than two blocks; pairs are
+counted there and never emitted.
 """
 
 from __future__ import annotations
@@ -58,7 +66,12 @@ def _factors() -> tuple[np.ndarray, np.ndarray]:
 
 def depth(threshold: float = THRESHOLD, target: float = TARGET_RECALL) -> int:
     """The longest prefix at which pairs at the threshold meet in some trie with the target probability."""
-    return next((d for d in range(HASHES, 1, -1) if 1 - (1 - threshold**d) ** TREES >= target), 1)
+    return next((d for d in range(HASHES, 1, -1) if recall(d, threshold) >= target), 1)
+
+
+def recall(depth: int, similarity: float) -> float:
+    """The probability that a pair of this similarity has a prefix of this length in common in some trie."""
+    return 1 - (1 - similarity**depth) ** TREES
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
@@ -124,43 +137,100 @@ def sign(docs: DataFrame, depths: tuple[int, ...]) -> DataFrame:
     return land(signed.withColumn("row", F.monotonically_increasing_id()), "signed")
 
 
+def sorted_paths(signed: DataFrame, depths: tuple[int, ...]) -> DataFrame:
+    """unit, shared, and the prefixes of each depth, of the paths that have a prefix in common with another; landed.
+
+    `depths` go from the shortest to the longest; `shared` is the longest of them at
+    which the path agrees with the one before or after it in the order of all paths.
+    The order is cut into ranges by path and unit, so a frequent prefix is spread over
+    tasks. The first and the last path of a batch have neighbours elsewhere and stay as
+    if they agreed with them; a prefix that no other path has is dropped later.
+    """
+    keys = [f"k{d}" for d in depths]
+    rows = signed.select("unit", F.explode(F.arrays_zip(*keys)).alias("path")).select("unit", "path.*")
+    ordered = rows.repartitionByRange(*keys, "unit").sortWithinPartitions(*keys, "unit")
+
+    def scan(batches):
+        for batch in batches:
+            values = [batch.column(k).to_numpy() for k in keys]
+            agree = np.ones(max(batch.num_rows - 1, 0), dtype=bool)
+            common = np.zeros(batch.num_rows + 1, dtype=np.int32)  # with the path before, of each path and the end
+            common[0] = common[-1] = depths[-1]
+            for d, v in zip(depths, values, strict=True):
+                agree &= v[1:] == v[:-1]
+                common[1:-1][agree] = d
+            shared = np.maximum(common[:-1], common[1:])
+            kept = shared > 0
+            columns = [batch.column("unit").to_numpy()[kept], shared[kept], *(v[kept] for v in values)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["unit", "shared", *keys])
+
+    schema = ", ".join(["unit bigint, shared int", *(f"{k} bigint" for k in keys)])
+    return land(ordered.mapInArrow(scan, schema), "paths")
+
+
+def forest_groups(units: DataFrame, paths: DataFrame, depths: tuple[int, ...], threshold: float = THRESHOLD) -> DataFrame:
+    """node, label: the units that are in a group with another, from the longest prefixes to the shortest."""
+    labels = None
+    for d in reversed(depths):
+        rows = paths.where(F.col("shared") >= d).select(F.col(f"k{d}").alias("key"), "unit")
+        if labels is None:
+            rows = rows.withColumn("of", F.col("unit"))
+        else:
+            known = labels.select(F.col("node").alias("unit"), F.col("label").alias("of"))
+            rows = rows.join(known, "unit", "left").withColumn("of", F.coalesce("of", "unit"))
+        links = land(candidates(units, rows, threshold), "likely")
+        if labels is None:
+            labels = components(links)
+        elif not links.isEmpty():
+            labels = components(links.union(labels.select("node", "label")))
+    return labels
+
+
 def _pairs_of_few(nodes: DataFrame) -> DataFrame:
-    """All pairs of the units under each node: FEW units at most."""
-    members = nodes.groupBy("key").agg(F.sort_array(F.collect_set("unit")).alias("u"))
+    """All pairs of units of different groups under each node: FEW units at most."""
+    members = nodes.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("unit", "of"))).alias("u"))
     pairs = F.flatten(
         F.transform(
             "u",
-            lambda x, i: F.transform(F.slice("u", i + 2, F.size("u")), lambda y: F.struct(x.alias("a"), y.alias("b"))),
+            lambda x, i: F.transform(
+                F.filter(F.slice("u", i + 2, F.size("u")), lambda y: y["of"] != x["of"]),
+                lambda y: F.struct(x["unit"].alias("a"), y["unit"].alias("b")),
+            ),
         )
     )
     return members.select(F.explode(pairs).alias("p")).select("p.a", "p.b")
 
 
-def candidates(units: DataFrame, depth: int, threshold: float = THRESHOLD) -> DataFrame:
-    """a, b: links that connect all units that share a prefix and can be near, each once.
+def candidates(units: DataFrame, rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """a, b: links that connect all units that share a node and can be near, each once.
 
-    Of a full node these are the pairs with its centre. Units near the centre are one group
-    and verified together; the rest are compared with every other unit of the node.
+    `rows` has key (the node), unit and of (the unit's group so far). Nodes of one group
+    are done. Of a full node these are the pairs with its centre. Units near the centre
+    or of its group are one group and verified together; the rest are compared with
+    every other unit of the node.
     """
-    rows = units.select("unit", F.explode(f"k{depth}").alias("key"))
     sizes = rows.groupBy("key").agg(
-        F.count(F.lit(1)).alias("size"), F.min(F.struct(F.xxhash64("unit").alias("h"), "unit")).alias("c")
+        F.count(F.lit(1)).alias("size"),
+        (F.min("of") != F.max("of")).alias("open"),
+        F.min(F.struct(F.xxhash64("unit").alias("h"), "unit", "of")).alias("c"),
     )
     # landed before it is joined: a join of two shuffled tables can split a frequent key
-    shared = land(sizes.where("size > 1").select("key", "size", F.col("c.unit").alias("centre")), "shared")
-    nodes = land(rows.join(shared, "key"), "nodes")
+    shared = sizes.where("size > 1 and open").select("key", "size", F.col("c.unit").alias("centre"), F.col("c.of").alias("centre_of"))
+    nodes = land(rows.join(land(shared, "shared"), "key"), "nodes")
     few = _pairs_of_few(nodes.where(F.col("size") <= FEW)).distinct()
     pairs = _with_facts(few, units, "a", "b").where(_near(threshold)).select("a", "b")
     star = _with_facts(nodes.where(F.col("size") > FEW).where("unit != centre"), units, "unit", "centre")
-    star = land(star.select("key", "unit", "centre", _near(threshold).alias("near")), "stars")
-    spokes = star.where("near").select(F.least("unit", "centre").alias("a"), F.greatest("unit", "centre").alias("b"))
+    one = F.col("of") == F.col("centre_of")
+    star = land(star.select("key", "unit", "centre", one.alias("one"), (one | _near(threshold)).alias("near")), "stars")
+    ends = F.least("unit", "centre").alias("a"), F.greatest("unit", "centre").alias("b")
+    spokes = star.where("near and not one").select(*ends)
     return pairs.union(spokes).union(_links_of_rest(star, units, threshold)).distinct()
 
 
 def _links_of_rest(star: DataFrame, units: DataFrame, threshold: float) -> DataFrame:
     """a, b: links that connect the units of each full node as do its pairs that can be near and are not both near the centre.
 
-    The units that are not near the centre meet all of the node, block by block; pairs are
+    The units that are neither near the centre nor of its group meet all of the node, block by block; pairs are
     not emitted, only each unit with the least that it is connected to in two blocks.
     """
     counts = star.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.count_if(~F.col("near")).alias("rest"))
@@ -268,7 +338,8 @@ def verify(docs: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
     `groups` has unit, label (the group), set_id, copies, and doc_id and text_key of a row
     that has the unit's text; ids may be null or repeat.
     """
-    sizes = groups.groupBy("label").agg(F.count(F.lit(1)).alias("m"))
+    # landed before it is joined, so that a large group can be split
+    sizes = land(groups.groupBy("label").agg(F.count(F.lit(1)).alias("m")), "group-sizes")
     wide = groups.join(sizes, "label").withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
     wide = wide.withColumn("block", F.pmod(F.xxhash64("unit"), F.col("blocks")).cast("int")).drop("m")
     rows = docs.select(F.col("doc_id").alias("id"), _text_key().alias("key"), "text")
@@ -315,8 +386,8 @@ def join(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def _classes(docs: DataFrame, threshold: float) -> DataFrame:
     """What `sign` gives of each row, with label, class_id and n_links of its class, null without words."""
-    first = depth(threshold)
-    signed = sign(docs.withColumn("text_key", _text_key()), (first,))
+    depths = tuple(range(depth(threshold), HASHES + 1))
+    signed = sign(docs.withColumn("text_key", _text_key()), depths)
     sets = land(
         signed.where("set_id is not null")
         .groupBy("set_id")
@@ -324,15 +395,16 @@ def _classes(docs: DataFrame, threshold: float) -> DataFrame:
         .select("*", "at.*").drop("at"),
         "sets",
     )
-    units = signed.drop("doc_id", "set_id", "text_key").withColumnRenamed("row", "unit").join(sets.select("unit"), "unit")
-    likely = land(candidates(units, first, threshold), "likely")
-    groups = components(likely).withColumnRenamed("node", "unit").join(sets, "unit")
+    one = signed.withColumnRenamed("row", "unit").join(sets.select("unit"), "unit")
+    units = land(one.select("unit", "n", *_WORDS), "units")
+    paths = sorted_paths(one, depths)
+    groups = land(forest_groups(units, paths, depths, threshold).withColumnRenamed("node", "unit").join(sets, "unit"), "groups")
     checked = verify(docs, groups, threshold)
     links = checked.groupBy("unit").agg(F.sum("links").alias("links"))
     classes = components(checked.select(F.col("unit").alias("a"), F.col("least").alias("b")))
     of = sets.join(links, "unit", "left").join(classes.withColumnRenamed("node", "unit"), "unit", "left")
-    of = of.withColumn("label", F.coalesce("label", "unit"))
-    names = of.groupBy("label").agg(F.min("least_id").alias("class_id"))
+    of = land(of.withColumn("label", F.coalesce("label", "unit")), "of")
+    names = land(of.groupBy("label").agg(F.min("least_id").alias("class_id")), "names")
     named = of.join(names, "label").select("set_id", "label", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     return signed.select("doc_id", "set_id", *(c for c in signed.columns if c == "text_id")).join(named, "set_id", "left")
 

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from corpus_health.llm import fingerprints, jaccard, repeats
@@ -134,6 +135,72 @@ def test_recall_at_the_threshold():
         assert (pa == pb).any()
 
 
+def test_shortening_stops_where_the_recall_is_reached():
+    """The last prefix tried is the longest that reaches the target; a looser threshold needs a shorter one."""
+    for threshold in (0.5, 0.7, 0.8, 0.9):
+        d = jaccard.depth(threshold)
+        assert d == 1 or jaccard.recall(d, threshold) >= jaccard.TARGET_RECALL
+        assert d == jaccard.HASHES or jaccard.recall(d + 1, threshold) < jaccard.TARGET_RECALL
+
+
+def test_paths_and_their_longest_common_prefix(spark):
+    """Paths that agree with none go, the others say how far they agree with a neighbour in the sorted order."""
+    paths = [(1, 10, 20, 30), (2, 10, 20, 30), (3, 10, 20, 31), (4, 10, 21, 32), (5, 11, 22, 33), (6, 12, 23, 34), (7, 12, 24, 35)]
+    rows = [(u, [a, 900 + u], [b, 900 + u], [c, 900 + u]) for u, a, b, c in paths]
+    # paths before and after all others, so that those of interest are inside a batch
+    rows += [(0, [-1], [-1], [-1]), (99, [9999], [9999], [9999])]
+    signed = spark.createDataFrame(rows, "unit bigint, k4 array<bigint>, k5 array<bigint>, k6 array<bigint>").coalesce(1)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        got = {r.unit: r.shared for r in jaccard.sorted_paths(signed, (4, 5, 6)).where("k4 between 10 and 12").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got == {1: 6, 2: 6, 3: 5, 4: 4, 6: 4, 7: 4}
+
+
+def test_only_open_nodes_are_shortened(spark, monkeypatch):
+    """A node whose units are one group is not looked at again; one with two groups is."""
+    from corpus_health.llm.jaccard import _WORDS
+
+    units = spark.createDataFrame([(u, 100, *(0 for _ in _WORDS)) for u in range(1, 7)], "unit bigint, n bigint, " + ", ".join(f"{w} bigint" for w in _WORDS))
+    rows = [(7, 1, 1), (7, 2, 1), (8, 3, 3), (8, 4, 4), (9, 5, 5)]
+    for few_ in (8, 1):
+        monkeypatch.setattr(jaccard, "FEW", few_)
+        got = jaccard.candidates(units, spark.createDataFrame(rows, "key bigint, unit bigint, of bigint"))
+        assert [tuple(r) for r in got.collect()] == [(3, 4)]
+
+
+@pytest.mark.parametrize("low, high", [(0.8, 0.85), (0.85, 0.9), (0.9, 1.0)])
+def test_recall_by_tier(tiers, low, high):
+    """Of the pairs in each tier of similarity at least nine in ten are in one class."""
+    classes, pairs = tiers
+    found = [classes[a] == classes[b] for a, b, s in pairs if low <= s < high]
+    assert len(found) >= 20
+    assert sum(found) >= 0.9 * len(found)
+
+
+@pytest.fixture(scope="module")
+def tiers(spark):
+    """Classes of the join, and the pairs of different texts at the threshold with their exact similarity."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    edited = [(10_000_000 + 1000 * s + i, t) for s in range(12) for i, t in enumerate(variants(8, 180, 700 + s, 4))]
+    docs = docs.union(spark.createDataFrame(edited, docs.schema))
+    classes = {r.doc_id: r.class_id for r in jaccard.join(docs).collect()}
+    sets = {r.doc_id: frozenset(shingles(r.text)) for r in docs.collect()}
+    own = defaultdict(list)
+    for i, s in sets.items():
+        for x in s:
+            own[x].append(i)
+    pairs = []
+    for i, s in sets.items():
+        for j, k in Counter(j for x in s for j in own[x] if j > i).items():
+            similarity = k / (len(s) + len(sets[j]) - k)
+            if 0.8 <= similarity < 1:
+                pairs.append((i, j, similarity))
+    return classes, pairs
+
+
 def test_words_are_those_of_the_pattern():
     text = "a\x0bb\x1cc\xa0d e \x85f\tg\r\nh"
     assert len(shingle_set(text)) == len(shingles(text))
@@ -292,6 +359,60 @@ def test_equal_texts_have_equal_fingerprints(docs):
     assert same.groupBy("text").agg(F.count_distinct("fingerprint").alias("n")).where("n > 1").count() == 0
 
 
+def plain_bins(text):
+    """A second version of the fingerprint: each empty bin draws until it comes to a filled one."""
+    hashed = lambda data, seed: xxhash.xxh64_intdigest(data, seed)
+    long = lambda v: (v & (2**64 - 1)).to_bytes(8, "little")
+    short = lambda v: v.to_bytes(4, "little")
+    words = [hashed(w.encode(), 42) for w in WORD.findall(text)]
+    if not words:
+        return []
+    own = {}
+    for i in range(max(1, len(words) - 4)):
+        h = 42
+        for w in words[i : i + 5]:
+            h = hashed(long(w), h)
+        h &= 2**63 - 1
+        b, v = h >> 55, h & (2**55 - 1)
+        own[b] = min(v, own.get(b, v))
+    out = []
+    for j in range(256):
+        draws = (((j + 1) * (random.Random(k).getrandbits(31) | 1) & (2**31 - 1)) >> 23 for k in range(fingerprints.ASKED))
+        first = j if j in own else next((b for b in draws if b in own), None)
+        if first is None:
+            signed = lambda h: h - 2**64 if h >> 63 else h
+            first = min(own, key=lambda b: signed(hashed(short(j), hashed(short(b), 42))))
+        out.append(hashed(short(j), hashed(long(own[first]), 42)) & 15)
+    return out
+
+
+def test_fingerprints_are_those_of_the_plain_version(docs, few):
+    lone = [" ".join(f"w{n}x{i}" for i in range(n + 4)) for n in (1, 2, 5, 20, 50, 100, 300)]
+    rows = [(10**7 + i, t) for i, t in enumerate([*lone, "two words", ""])]
+    frame = few(*rows).union(docs.limit(40))
+    got = {r.text: r.fingerprint for r in frame.join(fingerprints.fingerprint(frame), "doc_id").select("text", "fingerprint").collect()}
+    assert len(got) > 40
+    for text, digits in got.items():
+        assert digits == "".join(f"{b:x}" for b in plain_bins(text or ""))
+
+
+@pytest.mark.parametrize("n", [5, 20, 50])
+def test_spread_of_short_texts(few, n):
+    """The estimate of pairs of n shingles is right on average and spreads no more than n fresh draws would."""
+    rows, truth = [], []
+    for i in range(150):
+        words = [f"a{i}x{j}" for j in range(n + 4)]
+        other = words[: (n + 4) // 2 + 3] + [f"b{i}x{j}" for j in range(n + 4 - (n + 4) // 2 - 3)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+        a, b = shingles(rows[-2][1]), shingles(rows[-1][1])
+        truth.append(len(a & b) / len(a | b))
+    bins = {r.doc_id: np.array([int(x, 16) for x in r.fingerprint]) for r in fingerprints.fingerprint(few(*rows)).collect()}
+    got = np.array([((bins[2 * i] == bins[2 * i + 1]).mean() - 1 / 16) / (15 / 16) for i in range(150)])
+    error = got - np.array(truth)
+    assert abs(error.mean()) < 3 * error.std() / 150**0.5 + 0.01
+    assert error.std() < (truth[0] * (1 - truth[0]) / n) ** 0.5 + 0.03
+
+
 def test_likeness_is_not_biased(few):
     """Pairs of known similarity, of few and of many shingles: the mean estimate is close."""
     for size in (30, 300):
