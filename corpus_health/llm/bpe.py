@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from corpus_health.llm.common import map_rows
 
 #: Characters of a leaf of a text, bytes of a leaf of one long match, ids of a leaf in decoding.
-LEAF_CHARS = 2048
+LEAF_CHARS = 128
 LEAF_BYTES = 256
 LEAF_IDS = 4096
 
@@ -57,28 +57,27 @@ class TreeCodec:
         self._token = encoding.decode_single_token_bytes
         self._bytes = encoding.decode_bytes
         self._matches = regex.compile(pattern).finditer
-        self._long_run = regex.compile(r"\S{%d}|\s{%d}" % (self.leaf_chars, self.leaf_chars)).search
+        #: Leaves that were joined with a neighbour so far.
+        self.joins = 0
 
     # -- encoding ---------------------------------------------------------
 
     def encode(self, text: str) -> np.ndarray:
-        return self._half(text, 0, len(text))
+        return np.array(self._half(text, 0, len(text)), dtype="<u4")
 
-    def _half(self, text: str, lo: int, hi: int) -> np.ndarray:
+    def _half(self, text: str, lo: int, hi: int) -> list[int]:
         if hi - lo <= self.leaf_chars:
-            return self._leaf(text[lo:hi])
+            return self._ids(text[lo:hi])
         mid = (lo + hi) // 2
         return self._join(text, lo, mid, hi, self._half(text, lo, mid), self._half(text, mid, hi))
 
-    def _leaf(self, text: str) -> np.ndarray:
-        return np.array(self._ids(text), dtype="<u4")
-
     @staticmethod
     def _is_cut(text: str, at: int) -> bool:
         return text[at] in _SPACES and text[at - 1].isalnum()
 
-    def _join(self, text: str, lo: int, mid: int, hi: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    def _join(self, text: str, lo: int, mid: int, hi: int, left: list[int], right: list[int]) -> list[int]:
         """Both sides' ids, with those around the seam made anew from a window that grows to the next cuts."""
+        self.joins += 1
         start = stop = mid
         if not self._is_cut(text, mid):
             start -= 1
@@ -87,33 +86,37 @@ class TreeCodec:
             stop += 1
             while stop < hi and not (stop - 1 > mid and self._is_cut(text, stop)):
                 stop += 1
-        window = text[start:stop]
-        made = self._leaf(window) if len(window) <= self.leaf_chars else self._window(window)
-        keep = self._back(left, len(text[start:mid].encode()))
-        skip = self._front(right, len(text[mid:stop].encode()))
-        return np.concatenate([left[:keep], made, right[skip:]])
-
-    def _back(self, ids: np.ndarray, n_bytes: int) -> int:
+            window = text[start:stop]
+            made = self._ids(window) if len(window) <= self.leaf_chars else self._window(window)
+            skip = self._front(right, len(text[mid:stop].encode()))
+            del left[self._back(left, len(text[start:mid].encode())) :]
+            left += made
+            left += right[skip:]
+        else:
+            left += right
+        return left
+
+    def _back(self, ids: list[int], n_bytes: int) -> int:
         """How many ids stand before the last `n_bytes` bytes."""
         at = len(ids)
         while n_bytes > 0:
             at -= 1
-            n_bytes -= len(self._token(int(ids[at])))
+            n_bytes -= len(self._token(ids[at]))
         return at
 
-    def _front(self, ids: np.ndarray, n_bytes: int) -> int:
+    def _front(self, ids: list[int], n_bytes: int) -> int:
         at = 0
         while n_bytes > 0:
-            n_bytes -= len(self._token(int(ids[at])))
+            n_bytes -= len(self._token(ids[at]))
             at += 1
         return at
 
-    def _window(self, text: str) -> np.ndarray:
+    def _window(self, text: str) -> list[int]:
         """A long window: its matches one by one, long ones by halves of their bytes."""
         out: list[int] = []
         for m in self._matches(text):
             out += self._run(m.group().encode())
-        return np.array(out, dtype="<u4")
+        return out
 
     def _run(self, data: bytes) -> list[int]:
         if len(data) <= self.leaf_bytes:

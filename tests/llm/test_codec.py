@@ -56,6 +56,19 @@ def test_table(docs, texts, plain):
     check(bpe.round_trip(docs, RANKS), texts.items(), plain)
 
 
+def test_texts_of_the_table_are_joined(texts, plain):
+    """All but short texts are made by joins: nearly all documents, with a join for each leaf but one."""
+    codec = bpe.TreeCodec(plain, P.PATTERN)
+    met = 0
+    for text in texts.values():
+        before = codec.joins
+        assert codec.encode(text or "").tolist() == plain.encode_ordinary(text or "")
+        joins = codec.joins - before
+        assert joins >= len(text or "") // bpe.LEAF_CHARS - 1
+        met += joins > 0
+    assert met >= 0.9 * len(texts)
+
+
 def test_odd_rows(clashing, plain):
     rows = [(r.doc_id, r.text) for r in clashing.select("doc_id", "text").collect()]
     check(bpe.round_trip(clashing, RANKS), rows, plain)
