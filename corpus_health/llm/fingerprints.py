@@ -3,7 +3,9 @@
 Each five-word shingle is hashed once. The top bits of the hash name a bin, and a
 bin keeps its least hash. Empty bins are filled by optimal densification: bin j
 asks the bins that a fixed random sequence of its own names, and takes the value
-of the first that has one. Of each bin the low bits are kept and packed as text,
+of the first that has one itself; borrowed values are never lent on. The sequence
+is ASKED independent draws and then all bins in an order of j's own, so it always
+comes to a filled bin. Of each bin the low bits are kept and packed as text,
 one hexadecimal digit a bin. Two fingerprints' likeness is the share of equal
 bins, corrected for the bits that agree by chance.
 """
@@ -21,9 +23,8 @@ from corpus_health.llm.words import SHINGLE, words
 BIN_BITS = 8
 BINS = 1 << BIN_BITS
 KEPT_BITS = 4
-#: Bins that an empty bin asks in one round, and rounds; what is left after them takes the least value of all.
-ASKED = 8
-ROUNDS = 4
+#: Draws of an empty bin before it goes through the filled bins in its own order.
+ASKED = 16
 
 _REST = 63 - BIN_BITS
 _MASK = (1 << _REST) - 1
@@ -35,11 +36,13 @@ def _asks(bin_: Column, k: int) -> Column:
     return F.shiftright(((bin_ + 1).cast("bigint") * factor).bitwiseAND(F.lit((1 << 31) - 1)), 31 - BIN_BITS).cast("int")
 
 
-def _asked_round(bins: str) -> Column:
-    """The bins, empty ones with the value of the first that they ask and that has one."""
+def _densified(bins: str, filled: str) -> Column:
+    """The bins, empty ones with the value of the first filled one in their sequence."""
 
     def fill(x: Column, j: Column) -> Column:
-        return F.coalesce(x, *(F.get(F.col(bins), _asks(j, k)) for k in range(ASKED)))
+        draws = (F.get(F.col(bins), _asks(j, k)) for k in range(ASKED))
+        ordered = F.transform(filled, lambda f: F.struct(F.xxhash64(f["bin"], j).alias("order"), f["value"].alias("value")))
+        return F.coalesce(x, *draws, F.array_min(ordered)["value"])
 
     return F.transform(bins, fill)
 
@@ -49,7 +52,7 @@ def with_bins(df: DataFrame, text: str, into: str) -> DataFrame:
 
     A text with fewer than five words is one shingle. Null is the empty text.
     """
-    w, h, s, p, m, d = (f"_{into}_{x}" for x in "whspmd")
+    w, h, s, p, m, f, d = (f"_{into}_{x}" for x in "whspmfd")
     n = F.size(h)
     df = df.withColumn(w, words(F.col(text)))
     df = df.withColumn(h, F.transform(w, lambda x: F.xxhash64(x)))
@@ -66,19 +69,15 @@ def with_bins(df: DataFrame, text: str, into: str) -> DataFrame:
     )
     rest = F.transform(firsts, lambda x: F.nullif(x.bitwiseAND(F.lit(_MASK)), F.lit(_MASK)))
     df = df.withColumn(m, rest)
-    last = m
-    for r in range(ROUNDS):
-        df = df.withColumn(f"{d}{r}", _asked_round(last))
-        last = f"{d}{r}"
-    least = F.array_min(last)
-    df = df.withColumn(f"{d}least", least)
+    own = F.transform(m, lambda x, j: F.struct(j.alias("bin"), x.alias("value")))
+    df = df.withColumn(f, F.filter(own, lambda x: x["value"].isNotNull())).withColumn(d, _densified(m, f))
     # the bin's number goes into its bits, so that one value in many bins agrees by chance in each anew
     low = F.transform(
-        last,
-        lambda x, j: F.xxhash64(F.coalesce(x, F.col(f"{d}least")), j).bitwiseAND(F.lit((1 << KEPT_BITS) - 1)).cast("tinyint"),
+        d,
+        lambda x, j: F.xxhash64(x, j).bitwiseAND(F.lit((1 << KEPT_BITS) - 1)).cast("tinyint"),
     )
     df = df.withColumn(into, F.when(n > 0, low).otherwise(F.array().cast("array<tinyint>")))
-    return df.drop(w, h, s, p, m, f"{d}least", *(f"{d}{r}" for r in range(ROUNDS)))
+    return df.drop(w, h, s, p, m, f, d)
 
 
 def packed(bins: Column) -> Column:
