@@ -282,13 +282,14 @@ def repeated(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     """doc_id, part, first, last: ranges of starts of the strings that also start elsewhere."""
     rows = _identified(docs)
     anchors = _anchors(rows)
-    often = anchors.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    # keys are landed before they are joined: Spark can then split a frequent one
+    often = land(anchors.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "often")
     flagged = land(anchors.join(often, "key"), "anchors")
     ends = F.struct("doc_id", "part", "first", "more", "anchor")
     contexts = land(flagged.groupBy("key", "context").agg(F.count(F.lit(1)).alias("n"), F.min(ends).alias("at")), "contexts")
-    several = contexts.where("n > 1").select("key", "context")
+    several = land(contexts.where("n > 1").select("key", "context"), "several")
     whole = flagged.join(several, ["key", "context"]).select("doc_id", "part", "first", (F.col("first") + F.col("more")).alias("last"))
-    mixed = contexts.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
+    mixed = land(contexts.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key"), "mixed")
     open_ = contexts.join(mixed, "key").select("key", (F.col("n") > 1).alias("several"), "at.*")
     pieces = land(_pieces(_packed(rows), open_), "pieces")
     crowds = pieces.groupBy("key", "core").agg(F.count(F.lit(1)).alias("crowd")).where("crowd > 1")
