@@ -123,3 +123,17 @@ def test_union_of_noise_reads_the_files_twice_and_repeats_nothing(landed):
     similar = health.dup_volume(landed, similar=0.5)
     for df in (union, similar):
         assert "Generate" not in df._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("name", ["c3_parse_times", "i5_normalize_listing", "s9_duplicates"])
+def test_files_are_joined_once_for_all_queries(plan, name):
+    physical = plan(name).split("== Physical Plan ==")[1]
+    assert "Join" not in physical
+
+
+def test_rows_of_a_site_meet_before_they_are_added_up(files):
+    from corpus_health.plans import store
+
+    logical = store.summed(files({}), catalog.PARAMS)._jdf.queryExecution().optimizedPlan().toString()
+    below = logical[logical.index("Expand"):]
+    assert "RebalancePartitions [site_url" in below
