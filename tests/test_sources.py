@@ -210,3 +210,10 @@ def test_one_site_and_one_file_are_found_without_reading_the_rest(spark, tmp_pat
     assert (len(every), len(one), len(none)) == (0, 1, 0)
     assert len(site) == rows.where("site_url = 'https://t/sites/s77'").count()
     assert bytes_of_one < all_bytes / 5 and bytes_of_site < all_bytes / 5 and bytes_of_none < all_bytes / 5
+
+
+def test_ingested_files_are_not_made_again_by_each_use(spark, folder, params):
+    files, rows, _ = surveys.ingest(spark, str(folder), params)
+    plan = files._jdf.queryExecution().toString()
+    assert "Window" not in plan and "Scan csv" not in plan and "Scan parquet" in plan
+    assert files.count() > 0
