@@ -162,10 +162,26 @@ def site_metrics(
 
 
 def _run(changes: DataFrame, update, checkpoint: str) -> StreamingQuery:
+    adaptive = "spark.sql.adaptive.enabled"
+    wanted = changes.sparkSession.conf.get(adaptive)
+
+    def sized(batch: DataFrame, batch_id: int) -> None:
+        """Spark turns adaptive plans off in a stream, as state has a fixed number of parts; a batch at hand has none.
+
+        Without them nothing is rebalanced, and each task of the state writes a file for each bucket.
+        """
+        conf = batch.sparkSession.conf
+        fixed = conf.get(adaptive)
+        conf.set(adaptive, wanted)
+        try:
+            update(batch, batch_id)
+        finally:
+            conf.set(adaptive, fixed)
+
     return (
         changes.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(update)
+        .foreachBatch(sized)
         .trigger(availableNow=True)
         .start()
     )

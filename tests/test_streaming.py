@@ -202,3 +202,23 @@ def test_landed_rows_arrive_once(spark, frame, tmp_path):
 def test_index_trend(frame):
     rows = frame("survey_no int, bytes bigint, health double", (1, 1, 10.0), (1, 3, 50.0), (2, 1, 60.0), (4, 1, 55.0))
     assert collect(health.index_trend(rows)) == [(1, 40.0, None), (2, 60.0, 20.0), (4, 55.0, -5.0)]
+
+
+@pytest.mark.parametrize("run", ["snapshot", "metrics"])
+def test_a_batch_writes_few_parts_for_each_bucket(spark, frame, params, tmp_path, run):
+    """Each task of the state has rows of every bucket; they meet before they are written, and the stream's settings stay."""
+    landed, out, cp = (str(tmp_path / n) for n in ("landed", "out", "cp"))
+    rows = [row(s, f"f{i}.pdf", 1, i) for s in "abcdefghijkl" for i in range(40)]
+    frame(FILES, *rows).write.parquet(landed)
+    stream = streams.stream_files(spark, landed)
+    if run == "snapshot":
+        query = streams.stream_snapshot(stream, out, cp, buckets=8)
+    else:
+        query = streams.stream_site_metrics(stream, params, out, cp, buckets=8)
+    query.awaitTermination()
+    for part in ("files", "cells")[: 1 + (run == "metrics")]:
+        found = list((tmp_path / "out" / part / "changes").rglob("*.parquet"))
+        buckets = {p.parent for p in found}
+        assert len(buckets) > 3 and len(found) < 2 * len(buckets)
+    want = frame(FILES, *rows)
+    assert collect(streams.read_snapshot(spark, out).select(*want.columns)) == collect(want)
