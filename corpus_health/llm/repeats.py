@@ -86,40 +86,12 @@ def _chosen(hashes: np.ndarray) -> np.ndarray:
     return (np.minimum(least[:n], least[span - length : span - length + n]) & _LOW).astype(np.int64)
 
 
-def _contexts(texts: list[bytes]):
-    """(text, anchor's hash, context's hash, first start, last start, anchor's position) of each context.
+def _looks(texts: list[bytes]):
+    """Texts as they are looked at: lists of (text, offset, bytes).
 
     Texts are looked at together up to CHUNK bytes; longer ones in chunks that overlap,
     so that each string is in one.
     """
-
-    def look(parts: list[tuple[int, int, bytes]]):
-        data = b"".join(p for _, _, p in parts)
-        if len(data) < LENGTH:
-            return
-        hashes = _gram_hashes(np.frombuffer(data, dtype=np.uint8))
-        chosen = _chosen(hashes)
-        size = np.array([len(p) for _, _, p in parts])
-        end = np.cumsum(size)
-        owner = np.searchsorted(end, np.arange(len(chosen)), side="right")
-        inside = np.arange(len(chosen)) + LENGTH <= end[owner]
-        new = inside.copy()
-        new[1:] &= ~inside[:-1] | (chosen[1:] != chosen[:-1]) | (owner[1:] != owner[:-1])
-        firsts = np.flatnonzero(new)
-        stop = inside.copy()
-        stop[:-1] &= ~inside[1:] | new[1:]
-        lasts = np.flatnonzero(stop)
-        anchors = chosen[firsts]
-        keys = hashes[anchors].astype(np.int64).tolist()
-        start = (end - size)[owner[firsts]]
-        digest = xxhash.xxh3_64_intdigest
-        for key, a, b, p, o, base in zip(
-            keys, firsts.tolist(), lasts.tolist(), anchors.tolist(), owner[firsts].tolist(), start.tolist(), strict=True
-        ):
-            number, offset, _ = parts[o]
-            context = digest(data[a : b + LENGTH], p - a)
-            yield number, key, context - (1 << 63), a - base + offset, b - base + offset, p - base + offset
-
     together, total = [], 0
     for number, text in enumerate(texts):
         for at in range(0, max(1, len(text) - LENGTH + 1), CHUNK - LENGTH):
@@ -127,11 +99,48 @@ def _contexts(texts: list[bytes]):
             if len(part) < LENGTH:
                 continue
             if total + len(part) > CHUNK:
-                yield from look(together)
+                yield together
                 together, total = [], 0
             together.append((number, at, part))
             total += len(part)
-    yield from look(together)
+    if together:
+        yield together
+
+
+def _runs(parts: list[tuple[int, int, bytes]], data: bytes):
+    """The contexts in texts put together: anchors' hashes, first and last starts, anchors' positions, owner among the parts."""
+    hashes = _gram_hashes(np.frombuffer(data, dtype=np.uint8))
+    chosen = _chosen(hashes)
+    size = np.array([len(p) for _, _, p in parts])
+    end = np.cumsum(size)
+    owner = np.repeat(np.arange(len(parts)), size)[: len(chosen)]
+    inside = np.arange(len(chosen)) + LENGTH <= end[owner]
+    new = inside.copy()
+    new[1:] &= ~inside[:-1] | (chosen[1:] != chosen[:-1]) | (owner[1:] != owner[:-1])
+    firsts = np.flatnonzero(new)
+    stop = inside.copy()
+    stop[:-1] &= ~inside[1:] | new[1:]
+    anchors = chosen[firsts]
+    return hashes[anchors].view(np.int64), firsts, np.flatnonzero(stop), anchors, owner[firsts], (end - size)[owner[firsts]]
+
+
+def _context_columns(texts: list[bytes]):
+    """(text, anchor's hash, context's hash, first start, last start, anchor's position) of the contexts, as arrays."""
+    digest = xxhash.xxh3_64_intdigest
+    for parts in _looks(texts):
+        data = b"".join(p for _, _, p in parts)
+        keys, firsts, lasts, anchors, owner, start = _runs(parts, data)
+        ends = (lasts + LENGTH).tolist()
+        found = [digest(data[a:z], seed) for a, z, seed in zip(firsts.tolist(), ends, (anchors - firsts).tolist(), strict=True)]
+        contexts = (np.array(found, dtype=np.uint64) ^ np.uint64(1 << 63)).view(np.int64)
+        shift = np.array([at for _, at, _ in parts])[owner] - start
+        yield np.array([n for n, _, _ in parts])[owner], keys, contexts, firsts + shift, lasts + shift, anchors + shift
+
+
+def _contexts(texts: list[bytes]):
+    """The same as tuples."""
+    for columns in _context_columns(texts):
+        yield from zip(*(c.tolist() for c in columns), strict=True)
 
 
 def _identified(docs: DataFrame) -> DataFrame:
@@ -140,14 +149,28 @@ def _identified(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.hash(text).alias("part"), text.alias("text"))
 
 
+def _keys(rows: DataFrame) -> DataFrame:
+    """key of each row of `_anchors`, without what else is in it."""
+
+    def begin():
+        def run(texts):
+            looks = _looks([t.encode("utf-8", "surrogatepass") for t in texts])
+            found = [_runs(parts, b"".join(p for _, _, p in parts))[0] for parts in looks]
+            return (_joined(found),)
+
+        return run
+
+    return map_rows(rows.select("text"), "key bigint", begin)
+
+
 def _anchors(rows: DataFrame) -> DataFrame:
     def begin():
         def run(ids, parts, texts):
-            out = [[] for _ in range(7)]
-            for n, key, context, a, b, p in _contexts([t.encode("utf-8", "surrogatepass") for t in texts]):
-                for o, v in zip(out, (key, context, ids[n], parts[n], a, b - a, p - a), strict=True):
-                    o.append(v)
-            return out
+            found = list(_context_columns([t.encode("utf-8", "surrogatepass") for t in texts]))
+            n, key, context, first, last, at = (_joined([c[i] for c in found]) for i in range(6))
+            owners = n.tolist()
+            own = [ids[i] for i in owners], [parts[i] for i in owners]
+            return key, context, *own, first, (last - first).astype(np.int32), (at - first).astype(np.int32)
 
         return run
 
@@ -155,6 +178,10 @@ def _anchors(rows: DataFrame) -> DataFrame:
     return map_rows(rows, schema, begin)
 
 
+def _joined(arrays: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate(arrays) if arrays else np.empty(0, dtype=np.int64)
+
+
 def _packed(rows: DataFrame) -> DataFrame:
     """The rows with their text compressed: what the shuffles below carry."""
 
@@ -283,7 +310,7 @@ def repeated(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     rows = _identified(docs)
     anchors = _anchors(rows)
     # keys are landed before they are joined: Spark can then split a frequent one
-    often = land(anchors.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "often")
+    often = land(_keys(rows).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "often")
     flagged = land(anchors.join(often, "key"), "anchors")
     ends = F.struct("doc_id", "part", "first", "more", "anchor")
     contexts = land(flagged.groupBy("key", "context").agg(F.count(F.lit(1)).alias("n"), F.min(ends).alias("at")), "contexts")
@@ -298,12 +325,10 @@ def repeated(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     return whole.unionByName(found.select("doc_id", "part", F.col("start").alias("first"), F.col("start").alias("last")))
 
 
-def _covered(size: int, ranges) -> np.ndarray:
-    """Bounds of the maximal runs that strings starting in the ranges cover, as (start, end) rows."""
-    change = np.zeros(size + 1, dtype=np.int64)
-    for r in ranges:
-        change[r["first"]] += 1
-        change[r["last"] + LENGTH] -= 1
+def _covered(size: int, ranges: list[int]) -> np.ndarray:
+    """Bounds of the maximal runs that strings starting in the ranges (first, last, first, ...) cover, as (start, end) rows."""
+    bounds = np.array(ranges, dtype=np.int64).reshape(-1, 2)
+    change = np.bincount(bounds[:, 0], minlength=size + 1) - np.bincount(bounds[:, 1] + LENGTH, minlength=size + 1)
     gone = np.concatenate([[0], (np.cumsum(change)[:size] > 0).astype(np.int8), [0]])
     edge = np.diff(gone)
     return np.stack([np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)], axis=1)
@@ -317,7 +342,8 @@ def remove(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     empty, texts under LENGTH bytes stay, equal rows repeat each other.
     """
     ranges = repeated(docs, crowd)
-    found = ranges.groupBy("doc_id", "part").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))  # of one text
+    pairs = F.flatten(F.collect_list(F.array("first", "last")))
+    found = ranges.groupBy("doc_id", "part").agg(pairs.alias("ranges"))  # of one text
     packed = _packed(_identified(docs))
     every = packed.join(found, _same(packed, found), "left").select(packed["doc_id"], "packed", "ranges")
 

@@ -305,6 +305,14 @@ def test_repeats_of_long_texts_in_chunks(few, monkeypatch):
     assert len(cut) == len(set(cut)) and set(cut) == whole == set(range(60_000 - 199))
 
 
+def test_keys_of_repeats_are_counted_without_their_contexts(few):
+    """The first pass over the texts makes anchors' hashes only, one for each row of the second."""
+    rows = repeats._identified(few(*passages(), (200, ""), (201, None), (202, "short")))
+    keys = repeats._keys(rows)
+    assert keys.columns == ["key"]
+    assert sorted(r.key for r in keys.collect()) == sorted(r.key for r in repeats._anchors(rows).collect())
+
+
 def test_repeats_of_the_table(docs, texts):
     assert removed(docs) == brute_repeats(list(texts.items()))
 
