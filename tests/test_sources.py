@@ -217,3 +217,27 @@ def test_ingested_files_are_not_made_again_by_each_use(spark, folder, params):
     plan = files._jdf.queryExecution().toString()
     assert "Window" not in plan and "Scan csv" not in plan and "Scan parquet" in plan
     assert files.count() > 0
+
+
+def test_packed_surveys_are_read_like_plain_ones(spark, tmp_path):
+    """Single files and folders of parts, one without a byte; a header of its own is found in packed lines too."""
+    import gzip
+
+    write(tmp_path, "Cl_B_Docs_North_20210101_080000.csv", HEADER, ROW, {**ROW, "Nombre_Archivo": 'a,"b"'}, bom=True)
+    write(tmp_path, "South.csv", HEADER[::-1], {**ROW, "Sitio": "S"}, tail='"too","few"\r\n')
+    packed = tmp_path / "Cl_B_Docs_South_20210102_080000.csv.gz"
+    packed.write_bytes(gzip.compress((tmp_path / "South.csv").read_bytes()))
+    part = tmp_path / "Cl_B_Docs_West_20210103_080000.csv"
+    part.mkdir()
+    write(tmp_path, "West.csv", HEADER, {**ROW, "Sitio": "W"})
+    (part / "part-00000-x.csv.gz").write_bytes(gzip.compress((tmp_path / "West.csv").read_bytes()))
+    (tmp_path / "Cl_B_Docs_Void_20210104_080000.csv.gz").write_bytes(b"")
+    good, bad = surveys.quarantine(surveys.read_surveys(spark, str(tmp_path), "Cl"))
+    assert collect(good, "site", "file_name", "survey_ts") == [
+        ("A", "NA", datetime(2021, 1, 1, 8)), ("A", 'a,"b"', datetime(2021, 1, 1, 8)),
+        ("S", "NA", datetime(2021, 1, 2, 8)), ("W", "NA", datetime(2021, 1, 3, 8)),
+    ]
+    assert [r.line for r in bad.collect()] == ['"too","few"']
+    assert [r.path.rsplit("/", 1)[1] for r in surveys.bad_files(spark, str(tmp_path), "Cl").collect()] == [
+        "Cl_B_Docs_Void_20210104_080000.csv.gz"
+    ]
