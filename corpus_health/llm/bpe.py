@@ -6,8 +6,8 @@ change, only the window is encoded again, and the tokens outside are kept.
 
 Two facts make the ends of a window final:
 
-* The split pattern never matches across a white space character that follows a
-  letter or a number, wherever the match starts and whatever follows, so such a
+* The split pattern never matches across a white space character that follows
+  any other character, wherever the match starts and whatever follows, so such a
   place always starts a new match and what is left and right of it is encoded
   independently.
 * Inside one match, a sequence of tokens is the encoding of its bytes if and
@@ -22,6 +22,8 @@ therefore reduced by the second rule, everything else by the first.
 from __future__ import annotations
 
 import base64
+import re
+from bisect import bisect_left
 
 import numpy as np
 import public_tokenizers
@@ -36,7 +38,8 @@ LEAF_CHARS = 128
 LEAF_BYTES = 256
 LEAF_IDS = 4096
 
-_SPACES = frozenset(" \n\t\r")
+#: What stands around a cut. \S leaves out all that the split pattern takes for white space, and some more.
+_AROUND_CUT = re.compile(r"\S[ \n\t\r]")
 
 
 def load(rank_file: bytes, pattern: str) -> tiktoken.Encoding:
@@ -55,6 +58,10 @@ class TreeCodec:
         self._ids = encoding.encode_ordinary
         self._piece = encoding._encode_single_piece
         self._token = encoding.decode_single_token_bytes
+        #: Bytes of each token, by its id; ids that no token has are never asked for.
+        self._sizes = [0] * encoding.n_vocab
+        for token in encoding.token_byte_values():
+            self._sizes[encoding.encode_single_token(token)] = len(token)
         self._bytes = encoding.decode_bytes
         self._matches = regex.compile(pattern).finditer
         #: Leaves that were joined with a neighbour so far.
@@ -63,51 +70,46 @@ class TreeCodec:
     # -- encoding ---------------------------------------------------------
 
     def encode(self, text: str) -> np.ndarray:
-        return np.array(self._half(text, 0, len(text)), dtype="<u4")
+        cuts = [m.end() - 1 for m in _AROUND_CUT.finditer(text)] if len(text) > self.leaf_chars else []
+        return np.array(self._half(text, cuts, 0, len(text)), dtype="<u4")
 
-    def _half(self, text: str, lo: int, hi: int) -> list[int]:
+    def _half(self, text: str, cuts: list[int], lo: int, hi: int) -> list[int]:
         if hi - lo <= self.leaf_chars:
             return self._ids(text[lo:hi])
         mid = (lo + hi) // 2
-        return self._join(text, lo, mid, hi, self._half(text, lo, mid), self._half(text, mid, hi))
+        return self._join(text, cuts, lo, mid, hi, self._half(text, cuts, lo, mid), self._half(text, cuts, mid, hi))
 
-    @staticmethod
-    def _is_cut(text: str, at: int) -> bool:
-        return text[at] in _SPACES and text[at - 1].isalnum()
-
-    def _join(self, text: str, lo: int, mid: int, hi: int, left: list[int], right: list[int]) -> list[int]:
-        """Both sides' ids, with those around the seam made anew from a window that grows to the next cuts."""
+    def _join(
+        self, text: str, cuts: list[int], lo: int, mid: int, hi: int, left: list[int], right: list[int]
+    ) -> list[int]:
+        """Both sides' ids, with those around the seam made anew from a window that reaches to the next cuts."""
         self.joins += 1
-        start = stop = mid
-        if not self._is_cut(text, mid):
-            start -= 1
-            while start > lo and not self._is_cut(text, start):
-                start -= 1
-            stop += 1
-            while stop < hi and not (stop - 1 > mid and self._is_cut(text, stop)):
-                stop += 1
-            window = text[start:stop]
-            made = self._ids(window) if len(window) <= self.leaf_chars else self._window(window)
-            skip = self._front(right, len(text[mid:stop].encode()))
-            del left[self._back(left, len(text[start:mid].encode())) :]
-            left += made
-            left += right[skip:]
-        else:
+        at = bisect_left(cuts, mid)
+        stop = min(cuts[at], hi) if at < len(cuts) else hi
+        if stop == mid:
             left += right
+            return left
+        start = max(cuts[at - 1], lo) if at else lo
+        window = text[start:stop]
+        made = self._ids(window) if len(window) <= self.leaf_chars else self._window(window)
+        skip = self._front(right, len(text[mid:stop].encode()))
+        del left[self._back(left, len(text[start:mid].encode())) :]
+        left += made
+        left += right[skip:]
         return left
 
     def _back(self, ids: list[int], n_bytes: int) -> int:
         """How many ids stand before the last `n_bytes` bytes."""
-        at = len(ids)
+        at, sizes = len(ids), self._sizes
         while n_bytes > 0:
             at -= 1
-            n_bytes -= len(self._token(ids[at]))
+            n_bytes -= sizes[ids[at]]
         return at
 
     def _front(self, ids: list[int], n_bytes: int) -> int:
-        at = 0
+        at, sizes = 0, self._sizes
         while n_bytes > 0:
-            n_bytes -= len(self._token(ids[at]))
+            n_bytes -= sizes[ids[at]]
             at += 1
         return at
 

@@ -41,6 +41,25 @@ def test_long_runs_without_a_cut(plain, tiny):
         assert tiny.encode(text).tolist() == plain.encode_ordinary(text)
 
 
+def test_windows_end_at_white_space_after_any_character(plain, monkeypatch):
+    """Words of symbols end a window as words of letters do: no window reaches over its node."""
+    codec = bpe.TreeCodec(plain, P.PATTERN)
+    windows = []
+    monkeypatch.setattr(codec, "_window", lambda text: windows.append(text) or plain.encode_ordinary(text))
+    for text in ("-- ;; \n.. (!) " * 200, "+\t== " * 300, "a\x1c\n \xa0\n?? " * 200):
+        assert codec.encode(text).tolist() == plain.encode_ordinary(text)
+    assert not windows
+
+
+def test_joins_at_white_space_of_all_kinds(plain, tiny):
+    draw = random.Random(7)
+    spaces = [" ", "\n", "\t", "\r", "\x0b", "\x0c", "\x1c", "\x1f", "\x85", "\xa0", "\u2028", "\u3000", "\u180e", "\u200b"]
+    others = ["'", "'s", "x", "é", "7", "½", "-", "…", "\u0301", "\x00", "\U0001f600"]
+    for _ in range(3000):
+        text = "".join(draw.choice(draw.choice((spaces, others))) for _ in range(draw.randint(0, 40)))
+        assert tiny.encode(text).tolist() == plain.encode_ordinary(text), text
+
+
 def check(df, rows, plain):
     got = sorted((r.doc_id is None, r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in df.collect())
     want = []
