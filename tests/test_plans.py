@@ -137,3 +137,13 @@ def test_rows_of_a_site_meet_before_they_are_added_up(files):
     logical = store.summed(files({}), catalog.PARAMS)._jdf.queryExecution().optimizedPlan().toString()
     below = logical[logical.index("Expand"):]
     assert "RebalancePartitions [site_url" in below
+
+
+def test_rows_of_a_site_meet_before_they_are_summarized(files):
+    from corpus_health.operators import clean, tenant
+
+    summary = tenant.site_summary(clean.enrich(files({}), catalog.PARAMS))
+    logical = summary._jdf.queryExecution().optimizedPlan().toString()
+    below = logical[logical.index("Expand"):]
+    assert "RebalancePartitions [site_url" in below
+    assert "folder" not in below[: below.index("RebalancePartitions")] and "created_by" not in logical.split("Rebalance")[0]
