@@ -222,3 +222,85 @@ def test_a_batch_writes_few_parts_for_each_bucket(spark, frame, params, tmp_path
         assert len(buckets) > 3 and len(found) < 2 * len(buckets)
     want = frame(FILES, *rows)
     assert collect(streams.read_snapshot(spark, out).select(*want.columns)) == collect(want)
+
+
+def test_a_batch_leaves_nothing_but_its_changes(spark, frame, tmp_path):
+    """What a stream keeps on disk are the rows of its files, once: its checkpoint does not hold them again."""
+    landed, out, cp = (str(tmp_path / n) for n in ("landed", "out", "cp"))
+    frame(FILES, *[row("a", f"f{i}-{i * 7919 % 10_007}.pdf", 1, i) for i in range(5_000)]).write.parquet(landed)
+    streams.stream_snapshot(streams.stream_files(spark, landed), out, cp, buckets=2).awaitTermination()
+    size = {n: sum(p.stat().st_size for p in (tmp_path / n).rglob("*") if p.is_file()) for n in ("out", "cp")}
+    assert size["cp"] < size["out"] / 4
+
+
+def test_a_bucket_whose_rows_all_count_is_not_merged(spark, frame, tmp_path):
+    """New files are large beside the base, but nothing is gained by writing them again; rows that take a place are merged."""
+    landed, out, cp = (str(tmp_path / n) for n in ("landed", "out", "cp"))
+
+    def update(*rows):
+        frame(FILES, *rows).write.mode("append").parquet(landed)
+        streams.stream_snapshot(streams.stream_files(spark, landed), out, cp, buckets=1).awaitTermination()
+        return sorted(p.name for p in (tmp_path / "out" / "files").glob("base/bucket=0/batch_id=*"))
+
+    for n in range(3):
+        assert update(*[row("a", f"f{n}-{i}.pdf", 1, i) for i in range(60)]) == []
+    assert update(*[row("a", f"f{n}-{i}.pdf", 2, i) for n in range(3) for i in range(60)]) == ["batch_id=3"]
+    assert {r.survey_no for r in streams.read_snapshot(spark, out).collect()} == {2}
+    assert streams.read_snapshot(spark, out).count() == 180
+
+
+def _versions(seed):
+    """Batches of rows of few files: late, equal, repeated, and of one version with other values or nulls."""
+    import random
+
+    draw = random.Random(seed)
+    batches = []
+    for _ in range(4):
+        batch = []
+        for _ in range(draw.randrange(60)):
+            r = list(row(draw.choice("abc"), f"f{draw.randrange(8)}.pdf", draw.choice([0, 1, 1, 2, 3, None]), draw.randrange(3)))
+            r[8], r[9] = draw.choice([(None, "x"), ("x", None), ("x", "x")])  # equal to a hash that passes over nulls
+            batch.append(tuple(r))
+        batches.append(batch)
+    return batches
+
+
+@pytest.mark.parametrize("drop", [False, True])
+def test_changes_of_raw_batches_give_the_snapshot(spark, frame, params, drop):
+    """Raw batches, not one row for each file: rows kept and signed cells are those of all rows so far."""
+    schema = "site string, site_url string, library string, folder string, file_name string, size_bytes bigint," + (
+        " modified_ts timestamp_ntz, path string, created_by string, modified_by string, survey_no int"
+    )
+
+    def of(rows):
+        made = [(r[0], r[1], r[2], r[3], r[4], r[5], DAY, r[12], r[8], r[9], r[11]) for r in rows]
+        return frame(schema, *made)
+
+    batches = _versions(7)
+    log, cells, seen = of([]), [], []
+    for batch in batches:
+        new, old = of(batch), log
+        kept = streams.changed_files(new, old, buckets=2).select(*new.columns)
+        signed = streams.signed_changes(new, old, drop_missing=drop, buckets=2)
+        added = metrics.cells(signed, params)
+        cells += [tuple(r) for r in added.collect()]
+        log = frame(schema, *[tuple(r) for r in old.unionByName(kept).collect()])
+        seen += batch
+        want = refresh.latest_snapshot(of(seen), drop_missing=drop)
+        assert collect(refresh.latest_snapshot(log, drop_missing=drop), *want.columns) == collect(want)
+        sums = metrics.merged(metrics.cells(want.withColumn("sign", F.lit(1)), params))
+        assert collect(metrics.merged(frame(added.schema, *cells)), *sums.columns) == collect(sums)
+        again = streams.changed_files(new, log, buckets=2)
+        assert again.count() == 0  # known
+
+
+def test_a_survey_lands_as_one_batch(spark, frame, monkeypatch, tmp_path):
+    """In no more files than a trigger takes, however many tasks write it."""
+    import catalog
+
+    e = catalog.Estate(spark, "nowhere")
+    e.files = frame(FILES, *[row("a", f"f{i}.pdf", i % 3, i) for i in range(300)]).repartition(20)
+    monkeypatch.setattr(e, "folder", lambda name: str(tmp_path / name), raising=False)
+    found = catalog._landed_batches(e)
+    assert spark.read.parquet(found).count() == 300
+    assert len(list((tmp_path / "landed").glob("*.parquet"))) == 3 * catalog.FILES_PER_TRIGGER
