@@ -6,7 +6,7 @@ from conftest import collect
 from pyspark.sql import functions as F
 
 from corpus_health.operators import clean
-from corpus_health.schemas import INVENTORY_COLUMNS, RUN_COLUMNS, SURVEY_COLUMNS
+from corpus_health.schemas import INVENTORY_COLUMNS, REQUIRED_SURVEY_COLUMNS, RUN_COLUMNS, SURVEY_COLUMNS
 from corpus_health.sources import inventory, manifest, sinks, surveys
 from corpus_health.sources.shared import work_dir
 
@@ -241,3 +241,22 @@ def test_packed_surveys_are_read_like_plain_ones(spark, tmp_path):
     assert [r.path.rsplit("/", 1)[1] for r in surveys.bad_files(spark, str(tmp_path), "Cl").collect()] == [
         "Cl_B_Docs_Void_20210104_080000.csv.gz"
     ]
+
+
+def test_paths_are_looked_at_once_a_file(spark, tmp_path):
+    """The run time of a row is looked for in the end of its path, and a path is decoded for its header only."""
+    name = "Client_B_Docs_A_20200101_000000.csv"  # a folder with a name like the survey's in front of it
+    names = [theirs for theirs, ours in SURVEY_COLUMNS.items() if ours in REQUIRED_SURVEY_COLUMNS]
+    folder = tmp_path / "Old_20190101_000000.csv" / "x"
+    for at in (folder / "Client_B_Docs_A_20210102_030405.csv" / "part-1_20220101_000000.csv", folder / "a b+c" / name):
+        at.parent.mkdir(parents=True)
+        at.write_text(",".join(names) + "\n" + ",".join("1" for _ in names) + "\n")
+    rows = surveys.read_surveys(spark, str(tmp_path))
+    assert sorted(str(r.survey_ts) for r in rows.collect()) == ["2020-01-01 00:00:00", "2021-01-02 03:04:05"]
+    assert surveys.SURVEY_PATH not in rows._jdf.queryExecution().analyzed().toString()
+    paths = [str(p) for p in tmp_path.rglob("*.csv") if p.is_file()]
+    found = manifest.headers(spark, paths)
+    assert {r.path for r in found.collect()} == {f"file://{p}" for p in paths}
+    assert {r.header for r in found.collect()} == {",".join(names)}
+    grouped, _, below = found._jdf.queryExecution().optimizedPlan().toString().partition("Aggregate")[2].partition("\n")
+    assert "decode" in grouped and "decode" not in below
